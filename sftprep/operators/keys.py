@@ -26,33 +26,37 @@ def order_hash(key: Key, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("\x1f", *parts)))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """md5 of a row's whole content."""
+    return F.md5(F.to_json(F.struct(*df.columns)))
+
+
+def repeat_rows(df: DataFrame, copies: str, number: str) -> DataFrame:
+    """Each row as often as its ``copies`` column says, numbered from 1.
+
+    A row with very many copies is spread over tasks in chunks.
+    """
+    rest = [c for c in df.columns if c != copies]
+    few = df.filter(F.col(copies) <= COPIES_PER_CHUNK).select(
+        *rest, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(number)
+    )
+    starts = F.sequence(F.lit(1), F.col(copies), F.lit(COPIES_PER_CHUNK))
+    chunks = df.filter(F.col(copies) > COPIES_PER_CHUNK).select(
+        *df.columns, F.explode(starts).alias("_first")
+    )
+    last = F.least(F.col("_first") + (COPIES_PER_CHUNK - 1), F.col(copies))
+    many = chunks.repartition("_first", *rest).select(
+        *rest, F.explode(F.sequence(F.col("_first"), last)).alias(number)
+    )
+    return few.unionByName(many)
+
+
 def with_row_key(df: DataFrame, name: str = "example_id") -> DataFrame:
     """Add a string key to a table that has none: content hash and copy number.
 
     Equal rows are counted (partly before the shuffle, so a row that makes up a
     third of the table is no hot spot) and then written out again once per copy.
-    A row with very many copies is spread over tasks in chunks while doing so.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    content = F.md5(F.to_json(F.struct(*df.columns)))
-
-    few = counted.filter(F.col("_copies") <= COPIES_PER_CHUNK).select(
-        content.alias("_content"),
-        *df.columns,
-        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
-    )
-    chunks = counted.filter(F.col("_copies") > COPIES_PER_CHUNK).select(
-        content.alias("_content"),
-        *df.columns,
-        "_copies",
-        F.explode(
-            F.sequence(F.lit(1), F.col("_copies"), F.lit(COPIES_PER_CHUNK))
-        ).alias("_first"),
-    )
-    last = F.least(F.col("_first") + (COPIES_PER_CHUNK - 1), F.col("_copies"))
-    many = chunks.repartition("_content", "_first").select(
-        "_content", *df.columns, F.explode(F.sequence(F.col("_first"), last)).alias("_copy")
-    )
-    return few.unionByName(many).select(
-        F.concat_ws(":", "_content", F.col("_copy").cast("string")).alias(name), *df.columns
-    )
+    key = F.concat_ws(":", row_hash(df), F.col("_copy").cast("string"))
+    return repeat_rows(counted, "_copies", "_copy").select(key.alias(name), *df.columns)

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..sources.tables import SPLIT
-from .keys import Key, key_columns, order_hash
+from .keys import Key, key_columns, order_hash, repeat_rows, row_hash
 
 # A sample of this many rows or fewer goes through one task as a top-k.
 TOP_K_ROWS = 10_000
@@ -25,8 +27,11 @@ MAX_DIGITS = 12
 
 
 def shuffle_by_hash(df: DataFrame, key: Key, seed: int | str) -> DataFrame:
-    """All rows in seeded random order (a range-partitioned sort)."""
-    return df.orderBy(order_hash(key, seed), *key_columns(key))
+    """All rows in seeded random order (a range-partitioned sort).  Rows that
+    share a key are ordered by their other columns."""
+    keys = key_columns(key)
+    rest = [f.name for f in df.schema if f.name not in keys and _sortable(f.dataType)]
+    return df.orderBy(order_hash(key, seed), *keys, *rest)
 
 
 def take_n(df: DataFrame, n: int, strict: bool = True) -> DataFrame:
@@ -50,12 +55,14 @@ def sample_n(
     _check_count(n)
     if n <= TOP_K_ROWS:
         return take_n(shuffle_by_hash(df, key, seed), n, strict)
-    cut = _row_at_rank(df, key, seed, lambda rows: n)
+    cut = _cut(df, key, seed, lambda rows: n)
     if cut is None:
         if strict:
             raise ValueError(f"asked for {n} rows of {df.count()}")
         return df
-    return df.filter(order_hash(key, seed) <= cut)
+    if cut.keep == cut.size:
+        return df.filter(cut.before | cut.group)
+    return df.filter(cut.before).unionByName(_copies(df, cut, cut.keep))
 
 
 def train_test_split(
@@ -79,17 +86,26 @@ def train_test_split(
             raise ValueError(f"{n} test rows of {rows} leave no train rows")
         return n
 
-    cut = _row_at_rank(df, key, seed, n_test)
-    is_test = order_hash(key, seed) <= cut
-    return df.withColumn(SPLIT, F.when(is_test, "test").otherwise("train"))
+    cut = _cut(df, key, seed, n_test)
+
+    def marked(rows: DataFrame, is_test: Column) -> DataFrame:
+        return rows.withColumn(SPLIT, F.when(is_test, "test").otherwise("train"))
+
+    if cut.keep == cut.size:
+        return marked(df, cut.before | cut.group)
+    return (
+        marked(df.filter(~cut.group), cut.before)
+        .unionByName(marked(_copies(df, cut, cut.keep), F.lit(True)))
+        .unionByName(marked(_copies(df, cut, cut.size - cut.keep), F.lit(False)))
+    )
 
 
 def row_at(df: DataFrame, key: Key, i: int, seed: int | str) -> DataFrame:
     """The row at 0-based position i of the seeded order."""
-    cut = None if i < 0 else _row_at_rank(df, key, seed, lambda rows: i + 1)
+    cut = None if i < 0 else _cut(df, key, seed, lambda rows: i + 1)
     if cut is None:
         raise IndexError(f"no row at position {i}")
-    return df.filter(order_hash(key, seed) == cut)
+    return df.filter(cut.group).limit(1)
 
 
 def pick_row(df: DataFrame, key: Key, seed: int | str) -> DataFrame:
@@ -102,17 +118,61 @@ def _check_count(n: int) -> None:
         raise ValueError("a number of rows cannot be negative")
 
 
-def _row_at_rank(
-    df: DataFrame, key: Key, seed: int | str, rank: Callable[[int], int]
-) -> str | None:
-    """Hash of the row whose 1-based rank ``rank`` gives from the number of rows;
-    None when the table has fewer.
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind)
+    return not isinstance(kind, MapType) and kind.typeName() != "variant"
+
+
+@dataclass(frozen=True)
+class _Cut:
+    """Where a rank falls in the seeded order."""
+
+    before: Column  # the rows before the group
+    group: Column  # the row of that rank, and rows equal to it in every column
+    keep: int  # how many of the group are within the rank
+    size: int  # rows in the group
+
+
+def _cut(df: DataFrame, key: Key, seed: int | str, rank: Callable[[int], int]) -> _Cut | None:
+    """The cut behind the row whose 1-based rank ``rank`` gives from the number of
+    rows; None when the table has fewer.
+
+    Rows that share a key are told apart by their content, so that only copies of
+    one row can remain together.
+    """
+    order = order_hash(key, seed)
+    hit = _nth_hash(df.select(order.alias("hash")), rank)
+    if hit is None:
+        return None
+    value, keep, size = hit
+    before, group = order < value, order == value
+    if size > 1:
+        content, place = row_hash(df), keep
+        value, keep, size = _nth_hash(
+            df.filter(group).select(content.alias("hash")), lambda rows: place
+        )
+        before, group = before | (group & (content < value)), group & (content == value)
+    return _Cut(before, group, keep, size)
+
+
+def _copies(df: DataFrame, cut: _Cut, n: int) -> DataFrame:
+    """n copies of the one row that the group of a cut consists of."""
+    one = df.filter(cut.group).limit(1).withColumn("_copies", F.lit(n).cast("long"))
+    return repeat_rows(one, "_copies", "_copy").drop("_copy")
+
+
+def _nth_hash(
+    hashes: DataFrame, rank: Callable[[int], int]
+) -> tuple[str, int, int] | None:
+    """The hash at a rank, the rank among the rows with that hash, their number.
 
     Each step counts the rows per hash prefix among those that share the prefix
     found so far, reading only the key columns.  One step leaves rows / 65,536
     candidates, so two are enough below some 10 ** 13 rows.
     """
-    hashes = df.select(order_hash(key, seed).alias("hash"))
     wanted = None
     before = 0
     prefix = ""
@@ -128,10 +188,8 @@ def _row_at_rank(
         hashes = hashes.filter(F.startswith("hash", F.lit(prefix)))
         if n <= TOP_K_ROWS or digits >= MAX_DIGITS:
             break
-    found, n, _ = _bucket_of(_counters(hashes, F.col("hash")), before, wanted)
-    if n > 1:
-        raise ValueError(f"{n} rows share one key; see with_row_key")
-    return found
+    found, n, before = _bucket_of(_counters(hashes, F.col("hash")), before, wanted)
+    return found, wanted - before, n
 
 
 def _counters(hashes: DataFrame, bucket: Column) -> list[tuple[str, int]]:

@@ -248,11 +248,12 @@ def sample_examples(spark, sf_dir):
     return sample_n(fx.examples(spark, sf_dir), "example_id", 100, seed=11, strict=False)
 
 
-@query(f"""select l_orderkey, l_linenumber, l_quantity from lineitem
-    order by {order_sql(5, 'l_orderkey', 'l_linenumber')}, l_orderkey, l_linenumber limit 20000""")
+@query(f"""select l_orderkey, l_linenumber, l_partkey from lineitem
+    order by {order_sql(5, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 20000""")
 def sample_large(spark, sf_dir):
-    items = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return sample_n(items, ["l_orderkey", "l_linenumber"], 20_000, seed=5, strict=False)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    items = fx.table(spark, sf_dir, "lineitem").select(*keys)
+    return sample_n(items, keys, 20_000, seed=5, strict=False)
 
 
 @query(f"select doc_id, {order_sql(7, 'doc_id')} as order_hash from documents")
@@ -286,12 +287,11 @@ def split_select(spark, sf_dir):
     return select_split(train_test_split(docs, "doc_id", 0.8, seed=7), "train")
 
 
-@query(f"""select l_orderkey, l_linenumber, l_quantity from lineitem
-    order by {order_sql(9, 'l_orderkey', 'l_linenumber')}, l_orderkey, l_linenumber
-    limit 1 offset 345""")
+@query(f"""select l_orderkey, l_linenumber, l_partkey from lineitem
+    order by {order_sql(9, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 1 offset 345""")
 def row_at_position(spark, sf_dir):
-    items = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return row_at(items, ["l_orderkey", "l_linenumber"], 345, seed=9)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return row_at(fx.table(spark, sf_dir, "lineitem").select(*keys), keys, 345, seed=9)
 
 
 @query(f"""select * from conversations
