@@ -1,11 +1,13 @@
 """Packing many short id sequences into full blocks of one length.
 
 The rows form a single id stream in seeded order, and block b is the b-th run of
-``length`` ids of it.  No step looks at the whole stream: rows are put in buckets
-by a prefix of their hash, the totals of the buckets (65,536 small rows at most)
-give each bucket its start, and a running sum inside the bucket gives each row
-its own.  Rows are then cut into pieces at block borders and the pieces, at most
+``length`` ids of it.  No step looks at the whole stream.  Rows are put in up to
+16 ** 6 buckets by a prefix of their hash.  The totals of the buckets give each
+bucket its start in the stream, a running sum inside the bucket gives each row
+its own.  Rows are then cut into pieces at block borders, and the pieces, at most
 ``length`` per block, are put together.
+
+The ids are shuffled twice: to the buckets and to the blocks.
 """
 
 from __future__ import annotations
@@ -13,9 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.tokens import append_eos
-from .keys import Key, key_columns, order_hash
+from ..sources.scratch import settle
+from .keys import Key, key_columns, order_hash, repeat_rows
 
-BUCKET_DIGITS = 4
+# A bucket should hold few rows (a window buffers them) but the table of buckets
+# must stay small beside the rows: 6 digits give some 6,000 rows per bucket for
+# 10 ** 11 rows.
+BUCKET_DIGITS = 6
+# Buckets are summed up in groups by this shorter prefix: 65,536 at most.
+GROUP_DIGITS = 4
+# More rows than this in a bucket, and four times the mean, tell of repeated keys.
+HOT_BUCKET_ROWS = 100_000
 
 
 def pack(
@@ -29,62 +39,105 @@ def pack(
     """Blocks ``block, input_ids`` of exactly ``length`` ids; the short rest at
     the end of the stream is dropped.  ``sep`` is appended to every row first.
 
-    The id column is read by two passes, so give a written table when making it
-    is costly.  Keys must be unique: the hash of a unique key spreads the rows
-    evenly over the buckets, whatever the distribution of their contents.
+    The id column is read by two passes, the first of which runs on the call; so
+    give a written table when making it is costly.  Rows that share a key follow
+    each other in the order of their ids.  Should one key have so many rows that
+    its bucket would become a hot spot, the order is drawn anew, with the content
+    and a copy number in the key, which spreads them.
     """
     if length < 1:
         raise ValueError("length must be positive")
     keys = key_columns(key)
-    ids = F.col(column) if sep is None else append_eos(column, sep)
-    rows = df.select(*keys, order_hash(key, seed).alias("_hash"), ids.alias("_ids")).withColumn(
-        "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
+    rows, totals = _bucketed(df.select(*keys, F.col(column).alias("_ids")), keys, seed, sep)
+    if _is_hot(totals):
+        counted = df.groupBy(*keys, F.col(column).alias("_ids")).agg(
+            F.count(F.lit(1)).alias("_copies")
+        )
+        keys = [*keys, "_content", "_copy"]
+        content = F.md5(F.array_join("_ids", ","))
+        spread = repeat_rows(counted.withColumn("_content", content), "_copies", "_copy")
+        rows, totals = _bucketed(spread, keys, seed, sep)
+    return _blocks(_located(rows, totals, keys), length)
+
+
+def _bucketed(
+    df: DataFrame, keys: list[str], seed: int | str, sep: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their bucket and size, and the written totals per bucket."""
+    order = order_hash(keys, seed)
+    ids = F.col("_ids") if sep is None else append_eos("_ids", sep)
+    rows = df.select(
+        *keys,
+        order.alias("_hash"),
+        F.substring(order, 1, BUCKET_DIGITS).alias("_bucket"),
+        ids.alias("_ids"),
+        F.coalesce(F.size("_ids") + (0 if sep is None else 1), F.lit(0)).cast("long").alias("_size"),
+    )
+    totals = rows.groupBy("_bucket").agg(
+        F.sum("_size").alias("_total"), F.count(F.lit(1)).alias("_rows")
+    )
+    return rows, settle(totals)
+
+
+def _is_hot(totals: DataFrame) -> bool:
+    most, rows = totals.agg(F.max("_rows"), F.sum("_rows")).first()
+    return most is not None and most > max(HOT_BUCKET_ROWS, 4 * rows / 16**BUCKET_DIGITS)
+
+
+def _starts(totals: DataFrame) -> DataFrame:
+    """Where each bucket starts in the stream: the total of all groups before its
+    own (a window over 65,536 rows at most) and of the buckets before it inside."""
+    grouped = totals.select("*", F.substring("_bucket", 1, GROUP_DIGITS).alias("_group"))
+    groups = grouped.groupBy("_group").agg(F.sum("_total").alias("_total"))
+
+    def before(window) -> Column:
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_total").over(earlier), F.lit(0))
+
+    bases = groups.select("_group", before(Window.orderBy("_group")).alias("_base"))
+    inside = before(Window.partitionBy("_group").orderBy("_bucket"))
+    # bases has 16 ** GROUP_DIGITS rows at most, whatever the size of the data
+    return grouped.withColumn("_inside", inside).join(F.broadcast(bases), "_group").select(
+        "_bucket", (F.col("_base") + F.col("_inside")).alias("_start")
     )
-    size = F.coalesce(F.size("_ids"), F.lit(0)).cast("long")
 
-    totals = rows.groupBy("_bucket").agg(F.sum(size).alias("_total"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base")
+
+def _located(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the stream positions of their first and last id.
+
+    The window has the rows partitioned by bucket, so the join shuffles only the
+    bucket starts, if it does not broadcast them for being small.
+    """
+    inside = Window.partitionBy("_bucket").orderBy("_hash", *keys, "_ids")
+    upto = F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = rows.withColumn("_upto", upto).join(_starts(totals), "_bucket")
+    end = F.col("_start") + F.col("_upto")
+    return placed.select(
+        "_ids", (end - F.col("_size")).alias("_first"), (end - 1).alias("_last")
     )
 
-    inside = Window.partitionBy("_bucket").orderBy("_hash", *keys)
-    upto = F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # 16 ** BUCKET_DIGITS rows at most, so this side is always small
-    placed = rows.withColumn("_upto", upto).join(F.broadcast(starts), "_bucket")
-    start = F.col("_base") + F.col("_upto") - size
-    end = F.col("_base") + F.col("_upto") - 1
-    located = placed.select("_ids", start.alias("_start"), end.alias("_end"))
 
-    borders = F.sequence(_block_of("_start", length), _block_of("_end", length))
+def _blocks(located: DataFrame, length: int) -> DataFrame:
+    first, last = F.col("_first"), F.col("_last")
 
     def piece(block: Column) -> Column:
-        offset = F.greatest(block * length, F.col("_start"))
-        stop = F.least(block * length + (length - 1), F.col("_end"))
-        ids = F.slice(
-            "_ids",
-            (offset - F.col("_start") + 1).cast("int"),
-            (stop - offset + 1).cast("int"),
-        )
+        offset = F.greatest(block * length, first)
+        stop = F.least(block * length + (length - 1), last)
+        ids = F.slice("_ids", (offset - first + 1).cast("int"), (stop - offset + 1).cast("int"))
         return F.struct(block.alias("block"), offset.alias("offset"), ids.alias("ids"))
 
-    # explode_outer and the null test after it keep rows without ids away from
-    # sequence (it would run backwards) without computing the pieces twice
-    pieces = located.select(
-        F.explode_outer(
-            F.when(F.col("_start") <= F.col("_end"), F.transform(borders, piece))
-        ).alias("p")
-    ).filter(F.col("p").isNotNull())
+    def block_of(position: Column) -> Column:
+        return F.call_function("div", position, F.lit(length))
+
+    # A row without ids has no block (sequence would run backwards).  Outer, as
+    # the filter that a plain explode brings along would compute the pieces twice.
+    touched = F.when(first <= last, F.sequence(block_of(first), block_of(last)))
+    pieces = located.select(F.explode_outer(F.transform(touched, piece)).alias("p")).filter(
+        F.col("p").isNotNull()
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("p.offset", "p.ids")))
     blocks = pieces.groupBy(F.col("p.block").alias("block")).agg(
         F.sum(F.size("p.ids")).alias("_size"),
-        F.flatten(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("p.offset", "p.ids"))), lambda p: p["ids"]
-            )
-        ).alias("input_ids"),
+        F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("input_ids"),
     )
     return blocks.filter(F.col("_size") == length).select("block", "input_ids")
-
-
-def _block_of(position: str, length: int) -> Column:
-    return F.call_function("div", F.col(position), F.lit(length))
