@@ -36,8 +36,7 @@ def strip_markers(
 
 def cut_prompt(raw: Column | str, prompt: Column | str) -> Column:
     """Drop as many characters (code points) as the prompt has."""
-    raw = _col(raw)
-    return F.substr(raw, F.char_length(_col(prompt)) + 1, F.char_length(raw))
+    return F.substr(_col(raw), F.char_length(_col(prompt)) + 1)
 
 
 def echo_ok(raw: Column | str, prompt: Column | str) -> Column:

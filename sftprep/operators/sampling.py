@@ -61,7 +61,7 @@ def sample_n(
             raise ValueError(f"asked for {n} rows of {df.count()}")
         return df
     if cut.keep == cut.size:
-        return df.filter(cut.before | cut.group)
+        return df.filter(cut.upto)
     return df.filter(cut.before).unionByName(_copies(df, cut, cut.keep))
 
 
@@ -92,7 +92,7 @@ def train_test_split(
         return rows.withColumn(SPLIT, F.when(is_test, "test").otherwise("train"))
 
     if cut.keep == cut.size:
-        return marked(df, cut.before | cut.group)
+        return marked(df, cut.upto)
     return (
         marked(df.filter(~cut.group), cut.before)
         .unionByName(marked(_copies(df, cut, cut.keep), F.lit(True)))
@@ -131,6 +131,7 @@ class _Cut:
     """Where a rank falls in the seeded order."""
 
     before: Column  # the rows before the group
+    upto: Column  # the rows before it and the group
     group: Column  # the row of that rank, and rows equal to it in every column
     keep: int  # how many of the group are within the rank
     size: int  # rows in the group
@@ -148,14 +149,16 @@ def _cut(df: DataFrame, key: Key, seed: int | str, rank: Callable[[int], int]) -
     if hit is None:
         return None
     value, keep, size = hit
-    before, group = order < value, order == value
+    before, upto, group = order < value, order <= value, order == value
     if size > 1:
         content, place = row_hash(df), keep
         value, keep, size = _nth_hash(
             df.filter(group).select(content.alias("hash")), lambda rows: place
         )
-        before, group = before | (group & (content < value)), group & (content == value)
-    return _Cut(before, group, keep, size)
+        upto = before | (group & (content <= value))
+        before = before | (group & (content < value))
+        group = group & (content == value)
+    return _Cut(before, upto, group, keep, size)
 
 
 def _copies(df: DataFrame, cut: _Cut, n: int) -> DataFrame:

@@ -116,18 +116,20 @@ def _looked_up(
 ) -> DataFrame:
     """Map through a hash table of at most ``LOOKUP_ROWS`` pairs; no shuffle of df.
 
-    The table is the value of a scalar subquery.  Catalyst folds the column that
-    holds it into the expression using it, so it is never copied into a row.
+    The table is the value of a scalar subquery.  It must be folded into the one
+    expression that uses it and never become a column of the rows, which would
+    copy it into each.  Catalyst folds two projections when no costly expression
+    of the lower is used twice by the upper.  So the array, which may be such an
+    expression, is used once: if it is to be kept, it travels with its image.
     """
     slots = 1 << 16
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots)).cast("int")
-    entries = pairs.select(
-        slot("from").alias("slot"), F.struct(F.col("from"), F.col("to")).alias("entry")
-    )
-    empty = df.sparkSession.range(slots).select(
-        F.col("id").cast("int").alias("slot"), F.lit(None).cast(entries.schema["entry"].dataType)
-        .alias("entry")
-    )
+
+    def slot(value: Column | str) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(slots)).cast("int")
+
+    entries = pairs.select(slot("from").alias("slot"), F.struct("from", "to").alias("entry"))
+    no_entry = F.lit(None).cast(entries.schema["entry"].dataType).alias("entry")
+    empty = df.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"), no_entry)
     table = (
         entries.union(empty)
         .groupBy("slot")
@@ -142,8 +144,16 @@ def _looked_up(
         found = F.get(F.col("_lookup"), slot(element))[element]
         return found if default is None else F.coalesce(found, F.lit(default))
 
-    others = [c for c in df.columns if c != out]
-    return carried.select(*others, F.transform(column, find).alias(out))
+    kept = [c for c in df.columns if c != out]
+    if column not in kept:
+        return carried.select(*kept, F.transform(column, find).alias(out))
+    both = F.transform(column, lambda e: F.struct(e.alias("from"), find(e).alias("to")))
+    others = [c for c in kept if c != column]
+    mapped = carried.select(*others, both.alias("_both"))
+    return mapped.select(
+        *(F.col("_both.from").alias(c) if c == column else c for c in kept),
+        F.col("_both.to").alias(out),
+    )
 
 
 def _translate_large(

@@ -70,6 +70,7 @@ from .sources import (
     scratch_dir,
     select_split,
     settle,
+    spread,
     write_jsonl,
 )
 
@@ -252,7 +253,7 @@ def sample_examples(spark, sf_dir):
     order by {order_sql(5, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 20000""")
 def sample_large(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    items = fx.table(spark, sf_dir, "lineitem").select(*keys)
+    items = spread(fx.table(spark, sf_dir, "lineitem").select(*keys), *keys)
     return sample_n(items, keys, 20_000, seed=5, strict=False)
 
 
@@ -291,7 +292,8 @@ def split_select(spark, sf_dir):
     order by {order_sql(9, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 1 offset 345""")
 def row_at_position(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return row_at(fx.table(spark, sf_dir, "lineitem").select(*keys), keys, 345, seed=9)
+    items = spread(fx.table(spark, sf_dir, "lineitem").select(*keys), *keys)
+    return row_at(items, keys, 345, seed=9)
 
 
 @query(f"""select * from conversations

@@ -68,7 +68,7 @@ def select_split(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col(SPLIT) == name)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small scan enough partitions to keep every core busy.
 
     A table of one or two small files arrives in fewer partitions than there are
@@ -77,4 +77,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     large table is never shuffled here.  Call it on a plain scan only.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

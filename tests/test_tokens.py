@@ -147,10 +147,35 @@ def test_large_vocabulary_needs_a_key(tokens, vocab, monkeypatch):
         S.encode(tokens, vocab)
 
 
-def test_encode_is_one_narrow_stage(tokens, vocab):
-    """The lookup sits in the expression: no row carries it, no row is shuffled."""
-    plan = S.encode(tokens, vocab, unknown=0).drop("tokens")
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    main = text.split("Subquery")[0] if "Subquery" in text else text
-    assert "AS _lookup" not in text
-    assert "Join" not in main and "Aggregate" not in main.splitlines()[0]
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "use",
+    [
+        lambda ids: ids,
+        lambda ids: ids.drop("tokens"),
+        lambda ids: ids.filter(F.size("input_ids") > 1),
+        lambda ids: ids.select("k", F.size("input_ids"), F.array_join("input_ids", ",")),
+        lambda ids: ids.select("tokens", "k", F.size("tokens"), "input_ids"),
+        lambda ids: ids.withColumn("input_ids", S.append_eos("input_ids", 1)).drop("tokens"),
+    ],
+)
+def test_no_row_carries_the_lookup_table(tokens, vocab, use):
+    for source in (tokens, tokens.withColumn("r", F.rand(1)), tokens.filter("k > 0")):
+        for unknown in (0, None):
+            plan = optimized(use(S.encode(source, vocab, unknown=unknown)))
+            assert "scalar-subquery" in plan and "_lookup" not in plan
+
+
+def test_no_row_carries_the_lookup_table_back(tokens, vocab):
+    ids = S.encode(tokens, vocab, unknown=0)
+    assert "_lookup" not in optimized(S.decode(ids, vocab))
+    assert "_lookup" not in optimized(S.decode(S.settle(ids), vocab))
+
+
+def test_encode_moves_no_rows(tokens, vocab):
+    plan = optimized(S.encode(tokens, vocab, unknown=0))
+    rows = [line for line in plan.splitlines() if not line.lstrip().startswith(":")]
+    assert all("Project" in line or "LogicalRDD" in line or "LocalRelation" in line for line in rows)
