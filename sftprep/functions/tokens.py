@@ -15,7 +15,8 @@ from .templates import _col
 
 Side = Literal["left", "right"]
 
-TOKEN_PATTERN = r"[A-Za-z0-9_]+|[ \t\n\r\f]+|[^A-Za-z0-9_ \t\n\r\f]"
+# The last branch takes the single characters that the first two do not.
+TOKEN_PATTERN = r"(?s)[A-Za-z0-9_]+|[ \t\n\r\f]+|."
 
 
 def _check_side(side: str) -> None:

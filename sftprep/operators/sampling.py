@@ -1,9 +1,8 @@
 """Seeded order, samples, exact splits and positional access.
 
-Small samples are a top-k: every partition keeps its own first n rows.  Larger
-samples and splits never sort the table.  They look up the hash of the n-th row
-by counting rows per hash prefix, and then keep or mark rows by comparing with
-that one value, which needs no shuffle.
+Samples and splits never sort the table.  They look up the hash of the n-th row by
+counting rows per hash prefix (reading only the key columns), and then keep or
+mark rows by comparing with that one value, which needs no shuffle.
 """
 
 from __future__ import annotations
@@ -17,13 +16,12 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..sources.tables import SPLIT
 from .keys import Key, key_columns, order_hash, repeat_rows, row_hash
+from .ranks import value_at_rank
 
-# A sample of this many rows or fewer goes through one task as a top-k.
-TOP_K_ROWS = 10_000
-# Hash digits per counting step: at most 16 ** 4 = 65,536 counters.
-STEP_DIGITS = 4
-# With this many digits fixed, only equal keys still share a prefix.
-MAX_DIGITS = 12
+# A sample of this many rows or fewer comes back in order.
+ORDERED_ROWS = 10_000
+# Past this many hash digits, only equal keys still share a prefix.
+MAX_DIGITS = 14
 
 
 def shuffle_by_hash(df: DataFrame, key: Key, seed: int | str) -> DataFrame:
@@ -38,8 +36,8 @@ def take_n(df: DataFrame, n: int, strict: bool = True) -> DataFrame:
     """The first n rows of an ordered table.
 
     Rows beyond the end raise when ``strict`` (this counts the table); otherwise
-    all rows come back.  The n rows pass through one task, so for a large random
-    sample use :func:`sample_n`.
+    all rows come back.  Every task may send n rows to a last one, so for a random
+    sample of a large table use :func:`sample_n`.
     """
     _check_count(n)
     if strict and (rows := df.count()) < n:
@@ -50,19 +48,27 @@ def take_n(df: DataFrame, n: int, strict: bool = True) -> DataFrame:
 def sample_n(
     df: DataFrame, key: Key, n: int, seed: int | str, strict: bool = True
 ) -> DataFrame:
-    """The first n rows of the seeded order.  Up to ``TOP_K_ROWS`` rows come back
-    in that order; a larger sample is a filter and keeps the table's own order."""
+    """The first n rows of the seeded order.  Up to ``ORDERED_ROWS`` rows come back
+    in that order; a larger sample is a filter and keeps the table's own order.
+
+    The hash of the n-th row is looked up first, so that no task sends on n rows
+    of its own (as a plain top-k would) but only rows of the sample are moved.
+    """
     _check_count(n)
-    if n <= TOP_K_ROWS:
-        return take_n(shuffle_by_hash(df, key, seed), n, strict)
+    if n == 0:
+        return df.limit(0)
     cut = _cut(df, key, seed, lambda rows: n)
     if cut is None:
         if strict:
             raise ValueError(f"asked for {n} rows of {df.count()}")
-        return df
-    if cut.keep == cut.size:
-        return df.filter(cut.upto)
-    return df.filter(cut.before).unionByName(_copies(df, cut, cut.keep))
+        sample = df
+    elif cut.keep == cut.size:
+        sample = df.filter(cut.upto)
+    else:
+        sample = df.filter(cut.before).unionByName(_copies(df, cut, cut.keep))
+    if n > ORDERED_ROWS:
+        return sample
+    return shuffle_by_hash(sample, key, seed).limit(n)
 
 
 def train_test_split(
@@ -145,15 +151,15 @@ def _cut(df: DataFrame, key: Key, seed: int | str, rank: Callable[[int], int]) -
     one row can remain together.
     """
     order = order_hash(key, seed)
-    hit = _nth_hash(df.select(order.alias("hash")), rank)
+    hit = value_at_rank(df, order, rank, MAX_DIGITS)
     if hit is None:
         return None
     value, keep, size = hit
     before, upto, group = order < value, order <= value, order == value
     if size > 1:
         content, place = row_hash(df), keep
-        value, keep, size = _nth_hash(
-            df.filter(group).select(content.alias("hash")), lambda rows: place
+        value, keep, size = value_at_rank(
+            df.filter(group), content, lambda rows: place, MAX_DIGITS
         )
         upto = before | (group & (content <= value))
         before = before | (group & (content < value))
@@ -165,49 +171,3 @@ def _copies(df: DataFrame, cut: _Cut, n: int) -> DataFrame:
     """n copies of the one row that the group of a cut consists of."""
     one = df.filter(cut.group).limit(1).withColumn("_copies", F.lit(n).cast("long"))
     return repeat_rows(one, "_copies", "_copy").drop("_copy")
-
-
-def _nth_hash(
-    hashes: DataFrame, rank: Callable[[int], int]
-) -> tuple[str, int, int] | None:
-    """The hash at a rank, the rank among the rows with that hash, their number.
-
-    Each step counts the rows per hash prefix among those that share the prefix
-    found so far, reading only the key columns.  One step leaves rows / 65,536
-    candidates, so two are enough below some 10 ** 13 rows.
-    """
-    wanted = None
-    before = 0
-    prefix = ""
-    while True:
-        digits = len(prefix) + STEP_DIGITS
-        counts = _counters(hashes, F.substring("hash", 1, digits))
-        if wanted is None:
-            total = sum(n for _, n in counts)
-            wanted = rank(total)
-            if wanted > total:
-                return None
-        prefix, n, before = _bucket_of(counts, before, wanted)
-        hashes = hashes.filter(F.startswith("hash", F.lit(prefix)))
-        if n <= TOP_K_ROWS or digits >= MAX_DIGITS:
-            break
-    found, n, before = _bucket_of(_counters(hashes, F.col("hash")), before, wanted)
-    return found, wanted - before, n
-
-
-def _counters(hashes: DataFrame, bucket: Column) -> list[tuple[str, int]]:
-    """Rows per bucket in bucket order: at most 65,536 counters, or the at most
-    ``TOP_K_ROWS`` hashes of one bucket."""
-    counts = hashes.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    return sorted((row["bucket"], row["n"]) for row in counts.collect())
-
-
-def _bucket_of(
-    counts: list[tuple[str, int]], before: int, wanted: int
-) -> tuple[str, int, int]:
-    """The bucket that holds the wanted rank, its rows and the rows before it."""
-    for bucket, n in counts:
-        if before + n >= wanted:
-            return bucket, n, before
-        before += n
-    raise RuntimeError("the table changed between two passes")

@@ -17,10 +17,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.scratch import settle
 from .keys import Key, key_columns
+from .ranks import value_at_rank
 
 LOOKUP_ROWS = 1 << 18
 MAX_VOCABULARY = 1 << 22
+# With more distinct tokens than this, the rare ones are filtered out before the
+# rest is brought together and numbered.
+SORTED_TOKENS = 1 << 22
+# Hex digits of a count, and of the count and token by which tokens are ranked.
+COUNT_DIGITS = 12
 
 
 def build_vocab(
@@ -32,8 +39,9 @@ def build_vocab(
     """Vocabulary of the tokens in an array column: the specials in the order
     given, then the most frequent tokens, ties in token order, ``max_size`` in all.
 
-    Counting combines on the map side, so a token that fills a third of the table
-    reaches the shuffle as one row per task.
+    Counting runs on the call and its result is written to the shared folder.  It
+    combines on the map side, so a token that fills a third of the table reaches
+    the shuffle as one row per task.
     """
     specials = list(specials)
     if not len(specials) <= max_size <= MAX_VOCABULARY:
@@ -42,9 +50,10 @@ def build_vocab(
     tokens = df.select(F.explode_outer(column).alias("token")).filter(F.col("token").isNotNull())
     if specials:
         tokens = tokens.filter(~F.col("token").isin(specials))
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    room = max_size - len(specials)
     by_count = [F.desc("n"), F.asc("token")]
-    top = counts.orderBy(*by_count).limit(max_size - len(specials))
+    top = _most_frequent(counts, room).orderBy(*by_count).limit(room)
     # the window sees the at most max_size rows of the line above
     rank = F.row_number().over(Window.orderBy(*by_count)) + (len(specials) - 1)
     learned = top.select(
@@ -58,6 +67,17 @@ def build_vocab(
     return given.unionByName(learned)
 
 
+def _most_frequent(counts: DataFrame, n: int) -> DataFrame:
+    """The n most frequent tokens of a long table: a filter, nothing is sorted."""
+    if n == 0 or counts.count() <= SORTED_TOKENS:
+        return counts
+    # hex digits in the order of the ranking: falling counts, then rising tokens
+    falling = F.lit(16**COUNT_DIGITS - 1).cast("long") - F.col("n")
+    rank = F.concat(F.lpad(F.hex(falling), COUNT_DIGITS, "0"), F.hex("token"))
+    cut = value_at_rank(counts, rank, lambda rows: n, max_digits=1 << 20)
+    return counts if cut is None else counts.filter(rank <= cut.value)
+
+
 def special_id(vocab: DataFrame, token: str) -> DataFrame:
     """The id of one special token, as a table of one row."""
     return vocab.filter(F.col("is_special") & (F.col("token") == token)).select("token", "id")

@@ -25,6 +25,7 @@ from ..operators.packing import pack
 from ..operators.sampling import sample_n, train_test_split
 from ..operators.scoring import accuracy, exact_match
 from ..operators.vocabulary import encode
+from ..sources.scratch import settle
 from ..sources.tables import SPLIT, write_jsonl
 
 Style = Literal["turns", "sections", "chatml"]
@@ -40,8 +41,12 @@ def create_dataset(
     path: str | None = None,
 ) -> DataFrame:
     """Sample n examples and split them exactly; with ``messages`` as chat
-    conversations.  Given a path, also write the splits as JSON lines."""
-    splits = train_test_split(sample_n(table, key, n, seed), key, test_size, seed)
+    conversations.  Given a path, also write the splits as JSON lines.
+
+    The sample is written to the shared folder first: the split then reads that
+    and not the whole table again."""
+    sample = settle(sample_n(table, key, n, seed))
+    splits = train_test_split(sample, key, test_size, seed)
     if messages:
         splits = to_messages(splits, key, keep=[SPLIT])
     if path is not None:

@@ -440,7 +440,7 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vocab(tokens: DataFrame) -> DataFrame:
-    return settle(build_vocab(tokens, "tokens", SPECIALS, VOCAB_SIZE))
+    return build_vocab(tokens, "tokens", SPECIALS, VOCAB_SIZE)
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,12 +461,12 @@ def token_counts(spark, sf_dir):
 
 @query(f"with {VOCAB} select token, id, n, is_special from whole_vocab")
 def vocab_top(spark, sf_dir):
-    return build_vocab(_tokens(spark, sf_dir), "tokens", SPECIALS, VOCAB_SIZE)
+    return _vocab(_tokens(spark, sf_dir))
 
 
 @query(f"with {VOCAB} select token, id from whole_vocab where is_special and token = '<eos>'")
 def special_token_id(spark, sf_dir):
-    return special_id(build_vocab(_tokens(spark, sf_dir), "tokens", SPECIALS, VOCAB_SIZE), "<eos>")
+    return special_id(_vocab(_tokens(spark, sf_dir)), "<eos>")
 
 
 @query(f"""with {ENCODED} select doc_id, len(ids) as n_ids, md5(array_to_string(ids, ',')) as ids
@@ -631,9 +631,8 @@ def format_texts(spark, sf_dir):
 # Scoring ---------------------------------------------------------------------
 
 
-def _scored(spark: SparkSession, sf_dir: str, max_tokens: int | None = None) -> DataFrame:
+def _scored(examples: DataFrame, max_tokens: int | None = None) -> DataFrame:
     """Examples through the predictor hook, cleaned, paired and scored."""
-    examples = fx.examples(spark, sf_dir)
     prompts = examples.select(
         "example_id", render_turns("context", "question").alias("prompt"), fx.reply().alias("reply")
     )
@@ -654,7 +653,7 @@ def scored_sql(max_tokens: int | None = None) -> str:
 
 @query(f"with {scored_sql()} select example_id, answer, prediction, score from scored")
 def predict_score(spark, sf_dir):
-    return _scored(spark, sf_dir).select("example_id", "answer", "prediction", "score")
+    return _scored(fx.examples(spark, sf_dir)).select("example_id", "answer", "prediction", "score")
 
 
 _ACC = "count(*) as n, sum(score)::bigint as hits, avg(score) as accuracy"
@@ -662,17 +661,17 @@ _ACC = "count(*) as n, sum(score)::bigint as hits, avg(score) as accuracy"
 
 @query(f"with {scored_sql()} select {_ACC} from scored")
 def accuracy_total(spark, sf_dir):
-    return accuracy(_scored(spark, sf_dir))
+    return accuracy(_scored(fx.examples(spark, sf_dir)))
 
 
 @query(f"with {scored_sql(50)} select {_ACC} from scored")
 def accuracy_capped(spark, sf_dir):
-    return accuracy(_scored(spark, sf_dir, max_tokens=50))
+    return accuracy(_scored(fx.examples(spark, sf_dir), max_tokens=50))
 
 
 @query(f"with {scored_sql()} select turn, {_ACC} from scored group by turn")
 def accuracy_by(spark, sf_dir):
-    return accuracy(_scored(spark, sf_dir), by="turn")
+    return accuracy(_scored(fx.examples(spark, sf_dir)), by="turn")
 
 
 @query(f"""with {RAW}, preds as (select example_id, {clean_sql(None)} as prediction from raws where hit)
@@ -726,7 +725,9 @@ def flag_share_total(spark, sf_dir):
            || prediction || {NL} || repeat('-', 50) as report
     from scored order by {order_sql(19, 'example_id')}, example_id limit 10""")
 def report_sample(spark, sf_dir):
-    return sample_report(_scored(spark, sf_dir), 10, seed=19).select("example_id", "report")
+    """Only the sampled examples are handed to the predictor."""
+    sample = settle(sample_n(fx.examples(spark, sf_dir), "example_id", 10, seed=19))
+    return sample_report(_scored(sample), 10, seed=19).select("example_id", "report")
 
 
 @query(f"""select split, count(*) as n_rows, 'doc_id, text' as columns

@@ -14,7 +14,7 @@ from sftprep import (
     train_test_split,
     with_row_key,
 )
-from sftprep.operators import keys, sampling
+from sftprep.operators import keys, ranks, sampling
 
 
 @pytest.fixture(scope="module")
@@ -23,9 +23,10 @@ def rows(spark):
 
 
 @pytest.fixture
-def by_cut(monkeypatch):
-    """Send every sample through the counting path, however small."""
-    monkeypatch.setattr(sampling, "TOP_K_ROWS", 0)
+def large(monkeypatch):
+    """Treat every sample as a large one, and take every counting step."""
+    monkeypatch.setattr(sampling, "ORDERED_ROWS", 0)
+    monkeypatch.setattr(ranks, "FEW_ROWS", 0)
 
 
 def ranked(seed, ids):
@@ -46,11 +47,11 @@ def test_sample_is_a_prefix_of_the_order(rows, n):
 
 
 @pytest.mark.parametrize("n", [1, 2, 777, 1999, 2000])
-def test_large_sample_equals_small_one(rows, by_cut, n):
+def test_large_sample_equals_small_one(rows, large, n):
     assert sorted(ids(sample_n(rows, "k", n, 7))) == sorted(ranked(7, range(2000))[:n])
 
 
-def test_large_sample_does_not_sort_or_shuffle_rows(rows, by_cut):
+def test_large_sample_does_not_sort_or_shuffle_rows(rows, large):
     plan = sample_n(rows, "k", 500, 7)._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Exchange" not in plan
 
@@ -64,7 +65,7 @@ def test_more_rows_than_there_are(rows, monkeypatch):
     assert take_n(rows, 2001, strict=False).count() == 2000
     with pytest.raises(ValueError):
         sample_n(rows, "k", -1, 7)
-    monkeypatch.setattr(sampling, "TOP_K_ROWS", 10)
+    monkeypatch.setattr(sampling, "ORDERED_ROWS", 10)
     with pytest.raises(ValueError):
         sample_n(rows, "k", 2001, 7)
     assert sample_n(rows, "k", 2001, 7, strict=False).count() == 2000
@@ -111,7 +112,7 @@ def test_positions(rows):
     assert ids(pick_row(rows, "k", 9)) == order[:1]
 
 
-def test_one_key_with_a_third_of_the_rows(spark, by_cut):
+def test_one_key_with_a_third_of_the_rows(spark, large):
     """Same key, different content, the cut in the middle of them."""
     df = spark.range(900).select(
         F.when(F.col("id") < 300, F.lit(-1)).otherwise(F.col("id")).alias("k"),
@@ -131,7 +132,7 @@ def test_one_key_with_a_third_of_the_rows(spark, by_cut):
     assert splits.select("v").distinct().count() == 900
 
 
-def test_copies_that_are_a_third_of_the_rows(spark, by_cut, monkeypatch):
+def test_copies_that_are_a_third_of_the_rows(spark, large, monkeypatch):
     monkeypatch.setattr(keys, "COPIES_PER_CHUNK", 40)
     rows = [("copy",)] * 300 + [(f"t{i}",) for i in range(600)]
     df = spark.createDataFrame(rows, "k string").repartition(7)

@@ -4,7 +4,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import sftprep as S
-from sftprep.operators import vocabulary
+from sftprep.operators import ranks, vocabulary
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def one(spark, column, ids):
@@ -96,9 +100,19 @@ def test_vocabulary_size(tokens):
         S.build_vocab(tokens, "tokens", ["a", "b"], 1)
 
 
-def test_vocabulary_tokenizes_once(tokens):
-    plan = S.build_vocab(tokens, "tokens", [], 10)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_extract_all") == 1
+@pytest.mark.parametrize("few, size", [(3, 3), (3, 5), (0, 8), (10_000, 2), (10_000, 9), (10_000, 50)])
+def test_many_distinct_tokens(tokens, vocab, monkeypatch, few, size):
+    monkeypatch.setattr(vocabulary, "SORTED_TOKENS", 0)
+    monkeypatch.setattr(ranks, "FEW_ROWS", few)
+    got = S.build_vocab(tokens, "tokens", ["<unk>", "<eos>"], size).orderBy("id").collect()
+    assert got == vocab.orderBy("id").limit(size).collect()
+
+
+def test_vocabulary_tokenizes_once(tokens, monkeypatch):
+    plans = []
+    monkeypatch.setattr(vocabulary, "settle", lambda df: plans.append(optimized(df)) or df)
+    S.build_vocab(tokens, "tokens", [], 10)
+    assert plans[0].count("regexp_extract_all") == 1
 
 
 def test_special_id(vocab):
@@ -147,10 +161,6 @@ def test_large_vocabulary_needs_a_key(tokens, vocab, monkeypatch):
         S.encode(tokens, vocab)
 
 
-def optimized(df):
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
 @pytest.mark.parametrize(
     "use",
     [
