@@ -75,8 +75,9 @@ def encoded_texts(
     eos: int | None = None,
 ) -> DataFrame:
     """Render and encode: the key and ``input_ids`` of full length."""
-    tokens = examples.select(*key_columns(key), tokenize(training_text(style)).alias("tokens"))
-    ids = encode(tokens, vocab, unknown=unknown, key=key).drop("tokens")
+    tokens = tokenize(training_text(style)).alias("input_ids")
+    rows = examples.select(*key_columns(key), tokens)
+    ids = encode(rows, vocab, "input_ids", "input_ids", unknown, key)
     return ids if eos is None else ids.withColumn("input_ids", append_eos("input_ids", eos))
 
 

@@ -70,7 +70,6 @@ from .sources import (
     scratch_dir,
     select_split,
     settle,
-    spread,
     write_jsonl,
 )
 
@@ -253,7 +252,7 @@ def sample_examples(spark, sf_dir):
     order by {order_sql(5, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 20000""")
 def sample_large(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    items = spread(fx.table(spark, sf_dir, "lineitem").select(*keys), *keys)
+    items = fx.table(spark, sf_dir, "lineitem").select(*keys)
     return sample_n(items, keys, 20_000, seed=5, strict=False)
 
 
@@ -292,8 +291,7 @@ def split_select(spark, sf_dir):
     order by {order_sql(9, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 1 offset 345""")
 def row_at_position(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    items = spread(fx.table(spark, sf_dir, "lineitem").select(*keys), *keys)
-    return row_at(items, keys, 345, seed=9)
+    return row_at(fx.table(spark, sf_dir, "lineitem").select(*keys), keys, 345, seed=9)
 
 
 @query(f"""select * from conversations
@@ -445,7 +443,8 @@ def _vocab(tokens: DataFrame) -> DataFrame:
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = _tokens(spark, sf_dir)
-    return encode(tokens, _vocab(tokens), unknown=UNK, key="doc_id").drop("tokens")
+    ids = encode(tokens, _vocab(tokens), out="tokens", unknown=UNK, key="doc_id")
+    return ids.withColumnRenamed("tokens", "input_ids")
 
 
 @query(f"""select doc_id, len(t) as n_tokens, md5(array_to_string(t, '|')) as tokens
@@ -488,8 +487,8 @@ def encode_ids(spark, sf_dir):
 def decode_skip_special(spark, sf_dir):
     tokens = _tokens(spark, sf_dir)
     vocab = _vocab(tokens)
-    ids = encode(tokens, vocab, unknown=UNK, key="doc_id").drop("tokens")
-    marked = ids.withColumn("input_ids", append_eos("input_ids", EOS))
+    ids = encode(tokens, vocab, out="tokens", unknown=UNK, key="doc_id")
+    marked = ids.select("doc_id", append_eos("tokens", EOS).alias("input_ids"))
     text = decode(marked, vocab, skip_special=True, key="doc_id")
     return text.select("doc_id", F.md5("text").alias("text"))
 

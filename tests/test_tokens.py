@@ -15,8 +15,8 @@ def one(spark, column, ids):
     return spark.createDataFrame([(ids,)], "ids array<int>").select(column).first()[0]
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(max_size=30), min_size=20, max_size=20))
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(max_size=30), min_size=40, max_size=40))
 def test_tokens_join_to_the_text(spark, texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
@@ -135,6 +135,11 @@ def test_round_trip(tokens, vocab, size):
     ids = S.encode(tokens, vocab, key="k")
     assert ids.columns == ["k", "tokens", "input_ids"]
     assert decoded(ids, vocab, key="k") == dict(enumerate(TEXTS))
+    over = S.encode(tokens, vocab, out="tokens", key="k")
+    assert over.columns == ["k", "tokens"]
+    assert decoded(over.withColumnRenamed("tokens", "input_ids"), vocab, key="k") == dict(
+        enumerate(TEXTS)
+    )
 
 
 def test_unknown_tokens(spark, vocab, size):
