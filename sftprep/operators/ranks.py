@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 FIRST_DIGITS = 2
 MORE_DIGITS = 4
 # A prefix shared by this many rows or fewer is settled by counting whole values.
-FEW_ROWS = 10_000
+FEW_ROWS = 65_536
 
 
 class Ranked(NamedTuple):
@@ -34,7 +34,7 @@ def value_at_rank(
     ``value`` is made of the 16 hex digits.  Past ``max_digits`` of them, hardly
     any two different values may share a prefix.
     """
-    values = df.select(value.alias("value"))
+    everything = values = df.select(value.alias("value"))
     wanted = None
     before = 0
     digits = FIRST_DIGITS
@@ -42,32 +42,41 @@ def value_at_rank(
         bucket = F.substring("value", 1, digits)
         counts = _counters(values, bucket)
         if wanted is None:
-            rows = sum(n for _, n in counts)
+            rows = sum(c.rows for c in counts)
             wanted = rank(rows)
             if wanted > rows:
                 return None
-        prefix, n, before = _bucket_of(counts, before, wanted)
-        values = values.filter(bucket == prefix)
-        if n <= FEW_ROWS or digits >= max_digits or len(prefix) < digits:
+        hit, before = _bucket_of(counts, before, wanted)
+        # the longer prefix replaces the shorter: one comparison per row
+        values = everything.filter(bucket == hit.bucket)
+        few = hit.rows <= FEW_ROWS or hit.same
+        if few or digits >= max_digits or len(hit.bucket) < digits:
             break
         digits += MORE_DIGITS
-    found, n, before = _bucket_of(_counters(values, F.col("value")), before, wanted)
-    return Ranked(found, wanted - before, n)
+    hit, before = _bucket_of(_counters(values, F.col("value")), before, wanted)
+    return Ranked(hit.bucket, wanted - before, hit.rows)
 
 
-def _counters(values: DataFrame, bucket: Column) -> list[tuple[str, int]]:
+class _Counter(NamedTuple):
+    bucket: str
+    rows: int
+    same: bool  # all rows have one value, as far as a second hash tells
+
+
+def _counters(values: DataFrame, bucket: Column) -> list[_Counter]:
     """Rows per bucket in bucket order: 65,536 counters at most, or one for each
     value of the last step."""
-    counts = values.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    return sorted((row["bucket"], row["n"]) for row in counts.collect())
-
-
-def _bucket_of(
-    counts: list[tuple[str, int]], before: int, wanted: int
-) -> tuple[str, int, int]:
-    """The bucket that holds the wanted rank, its rows and the rows before it."""
-    for bucket, n in counts:
-        if before + n >= wanted:
-            return bucket, n, before
-        before += n
+    other = F.xxhash64("value")
+    counts = values.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), (F.min(other) == F.max(other)).alias("same")
+    )
+    return sorted(_Counter(*row) for row in counts.collect())
+
+
+def _bucket_of(counts: list[_Counter], before: int, wanted: int) -> tuple[_Counter, int]:
+    """The bucket that holds the wanted rank and the number of rows before it."""
+    for counter in counts:
+        if before + counter.rows >= wanted:
+            return counter, before
+        before += counter.rows
     raise RuntimeError("the table changed between two passes")

@@ -156,7 +156,7 @@ def _cut(df: DataFrame, key: Key, seed: int | str, rank: Callable[[int], int]) -
         return None
     value, keep, size = hit
     before, upto, group = order < value, order <= value, order == value
-    if size > 1:
+    if size > 1 and set(df.columns) != set(key_columns(key)):
         content, place = row_hash(df), keep
         value, keep, size = value_at_rank(
             df.filter(group), content, lambda rows: place, MAX_DIGITS

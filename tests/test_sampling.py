@@ -132,10 +132,11 @@ def test_one_key_with_a_third_of_the_rows(spark, large):
     assert splits.select("v").distinct().count() == 900
 
 
-def test_copies_that_are_a_third_of_the_rows(spark, large, monkeypatch):
+@pytest.mark.parametrize("more", [[], ["1 as v"]])
+def test_copies_that_are_a_third_of_the_rows(spark, large, monkeypatch, more):
     monkeypatch.setattr(keys, "COPIES_PER_CHUNK", 40)
     rows = [("copy",)] * 300 + [(f"t{i}",) for i in range(600)]
-    df = spark.createDataFrame(rows, "k string").repartition(7)
+    df = spark.createDataFrame(rows, "k string").repartition(7).selectExpr("k", *more)
     order = ranked(4, {r[0] for r in rows})
     cut = order.index("copy") + 123
     counts = Counter(r["k"] for r in sample_n(df, "k", cut, 4).collect())
