@@ -8,13 +8,18 @@ function stay in Arrow form.  Rows are not moved between partitions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
+# Executors need not have this package: its functions are sent with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
+
 Batch = dict[str, list]
 Predictor = Callable[[list[str]], list[str]]
 

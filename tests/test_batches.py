@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from sftprep import format_batches, map_batches, predict_batches
@@ -106,3 +111,24 @@ def test_empty_table(df):
 def test_batch_size_must_be_positive(df):
     with pytest.raises(ValueError):
         map_batches(df, dict, "n int", batch_size=0)
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    """Run from another folder, with the package on the driver's path only."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+row = contract.entry(spark).first()
+assert (row["n"], row["hits"]) == (34, 21)
+n = contract.queries()["map_over_batches"](spark, "/root/testdata/sf0.001").count()
+assert n == 200
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, timeout=120)
+    assert done.returncode == 0
