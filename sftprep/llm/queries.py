@@ -7,13 +7,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftprep.llm import fingerprints, quality
+from sftprep.llm import fingerprints, packing, quality, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """Where the environment keeps a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return tokens.token_counts(docs, _tokenizer("byte_bpe_50k.json"), limit=1024)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.packed(docs, _tokenizer("byte_bpe_50k.json"), with_ids=False)
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edited_half(_table(spark, sf_dir, "documents"))
 
@@ -98,6 +115,8 @@ from measured
 """
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
 }
