@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftprep.llm import fingerprints, packing, quality, tokens
+from sftprep.llm import fingerprints, lm, packing, quality, secrets, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return tokens.token_counts(docs, _tokenizer("byte_bpe_50k.json"), limit=1024)
@@ -42,6 +46,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(_table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = r"""
 with docs as (
     select doc_id, lang, coalesce(text, '') as text,
@@ -115,10 +123,12 @@ from measured
 """
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op2_token_counts": op2_token_counts,
     "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES = {
