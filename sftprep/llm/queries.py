@@ -6,8 +6,9 @@ Where SQL can't express an operator, ``tests/llm`` holds it against brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sftprep.llm import fingerprints, lm, packing, quality, secrets, tokens
+from sftprep.llm import fingerprints, lm, packing, quality, secrets, substrings, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, _tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.without_repeats(_table(spark, sf_dir, "documents"), length=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.packed(docs, _tokenizer("byte_bpe_50k.json"), with_ids=False)
@@ -125,6 +131,7 @@ from measured
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_counts": op2_token_counts,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op9_quality_rules": op9_quality_rules,
