@@ -8,7 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftprep.llm import fingerprints, lm, packing, quality, secrets, substrings, tokens
+from sftprep.llm import (
+    fingerprints,
+    lm,
+    packing,
+    quality,
+    secrets,
+    substrings,
+    suffixes,
+    tokens,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +54,13 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edited_half(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.without_repeats(_table(spark, sf_dir, "documents"), length=100)
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = quality.judged(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -134,6 +150,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
 }

@@ -308,9 +308,9 @@ def by_document(table: pa.Table, *names: str) -> dict:
     columns = [flat(table, n) for n in names]
     order = np.lexsort((columns[0], prints, ids))
     ids, prints = ids[order], prints[order]
-    new = np.flatnonzero(
-        np.concatenate([[True], (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])])
-    ) if len(ids) else np.zeros(0, np.int64)
+    if not len(ids):
+        return {}
+    new = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])]))
     ends = np.append(new[1:], len(ids))
     columns = [c[order] for c in columns]
     return {
