@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: a lost executor costs a read, not a recomputation.  The
     files stay until ``dropped`` or until the folder is cleared, as with checkpoints.
     """
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
+    # files of the shuffles behind it go when their plan does, not at some later time
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    table = spark.read.schema(schema).parquet(path)
     table.stored_path = path
     return table
 

@@ -155,30 +155,30 @@ def with_edited_half(
     Equal rows are one row with a count until the end.  Whole texts are shuffled once,
     and once more the part that goes to another row.
     """
-    rows = docs.select(F.col(key).alias("_k"), text_of(text).alias("_t"))
-    rows = rows.withColumn("_h", F.md5("_t"))
-    keys = rows.groupBy("_k", "_h").agg(F.first(F.length("_t")).alias("n_chars"))
+    rows = docs.select(F.struct(F.col(key).alias("k"), text_of(text).alias("t")).alias("_row"))
+    # one key that is never null, so that grouping and joins share their partitions
+    rows = rows.withColumn("_h", F.md5(F.concat_ws("|", F.col("_row.k").cast("string"), F.col("_row.t"))))
+    keys = rows.groupBy("_h").agg(
+        F.first("_row.k").alias("_k"), F.first(F.length("_row.t")).alias("n_chars")
+    )
     ring = neighbours(keys, [F.col("_k").desc_nulls_last(), F.col("_h").desc()])
     ring = ring.select(
-        F.col("_k"), F.col("_h"),
-        F.col("prev._k").alias("_to_k"), F.col("prev._h").alias("_to_h"),
-        F.expr("prev.n_chars div 2").alias("_half"),
-    )
-    texts = (
-        rows.groupBy("_k", "_h")
-        .agg(F.first("_t").alias("_t"), F.count("*").alias("_copies"))
-        .withColumn("_fp", fingerprint("_t"))
+        "_h", F.col("prev._h").alias("_to"), F.expr("prev.n_chars div 2").alias("_half")
     )
-    same = texts["_h"].eqNullSafe(ring["_h"]) & texts["_k"].eqNullSafe(ring["_k"])
+    # both uses below read the same columns, so that the texts are shuffled once for both
+    texts = rows.groupBy("_h").agg(F.first("_row").alias("_row"), F.count("*").alias("_copies"))
+    texts = texts.where("_copies > 0").withColumn("_fp", fingerprint("_row.t"))
     # what each text gives to the one before it: its beginning and its fingerprint
-    given = texts.join(ring, same).select(
-        "_to_k", "_to_h",
-        F.expr("substring(_t, 1, cast(_half as int))").alias("_head"),
+    given = texts.join(ring, "_h").select(
+        F.col("_to").alias("_h"),
+        F.expr("substring(_row.t, 1, cast(_half as int))").alias("_head"),
         F.col("_fp").alias("_next_fp"),
-    )
-    own = texts["_h"].eqNullSafe(given["_to_h"]) & texts["_k"].eqNullSafe(given["_to_k"])
-    paired = texts.join(given, own).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    )
+    paired = texts.join(given, "_h").select(
+        "*",
+        F.col("_row.k").alias("_k"),
+        F.col("_row.t").alias("_t"),
+        F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"),
     )
     last = F.col("_copy") == F.col("_copies")
     half = F.expr("cast(length(_t) div 2 as int)")
