@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sftprep.llm import (
     fingerprints,
+    jaccard,
     lm,
     packing,
     quality,
@@ -40,6 +41,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, _tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(_table(spark, sf_dir, "documents"), threshold=90).drop("_print")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.without_repeats(_table(spark, sf_dir, "documents"), length=13)
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -147,6 +152,7 @@ from measured
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_counts": op2_token_counts,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
