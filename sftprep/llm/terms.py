@@ -3,8 +3,7 @@
 A term (a word, a pre-token) has a value that all its occurrences share.  The table of
 terms is made in one pass over the texts: each task adds up its own terms before the
 shuffle.  The sums are made in a second pass.  Few terms make up most occurrences: the
-``HEAD`` most of all that hold at least one ``HEAD``-th of all occurrences each (there
-can't be more than ``HEAD`` of them) are looked up where the text is; only the others
+most frequent ones, ``HEAD`` at most, are looked up where the text is; only the others
 go to the join, once for each task and term, with the rows that hold them as a list.
 So neither a frequent term nor a large group of equal rows is a hot key.
 """
@@ -18,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Terms that are looked up in the task: bound of their number and of their length.
-HEAD, LONGEST = 100_000, 64
+#: Terms that are looked up in the task: bound of their number and of their bytes.
+HEAD, LONGEST = 500_000, 64
 #: A task passes on what it has gathered when it holds so many entries.
-HELD = 300_000
+HELD = 150_000
 
 
 def term_counts(docs: DataFrame, text: str, split: Callable[[str], list], term_type: str) -> DataFrame:
@@ -48,11 +47,23 @@ def term_counts(docs: DataFrame, text: str, split: Callable[[str], list], term_t
     return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def head_of(table: DataFrame, total: int, value: str) -> dict:
-    """The most frequent terms and their values; ``table`` has term, n and ``value``."""
-    short = F.octet_length("term") <= LONGEST
-    rows = table.where(short & (F.col("n") * HEAD >= total)).select("term", value).collect()
-    return {(bytes(r[0]) if isinstance(r[0], bytearray) else r[0]): r[1] for r in rows}
+def head_of(table: DataFrame, value: str) -> dict:
+    """The most frequent terms and their values; ``table`` has term, n and ``value``.
+
+    They are all short terms that occur at least so often as leaves ``HEAD`` of them.
+    """
+    short = table.where(F.octet_length("term") <= LONGEST)
+    # counts from 1024 on are taken together by powers of two: some 1100 rows
+    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(1014 + F.floor(F.log2("n")))
+    sizes = short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    least, held = 1 << 62, 0
+    for at, terms in sizes:
+        held += terms
+        if held > HEAD:
+            break
+        least = at if at < 1024 else 1 << (at - 1014)
+    rows = short.where(F.col("n") >= least).select("term", value).toArrow()
+    return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
 
 
 def sums_of_rows(
@@ -63,18 +74,21 @@ def sums_of_rows(
     table: DataFrame,
     head: dict,
     term_type: str,
+    measure: Callable[[pa.Array], list[float]] | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``carried``, n_terms, n_found, total.
+    """One row per row of ``docs``: ``carried``, n_terms, n_found, total, measured.
 
     ``n_found`` counts the occurrences of terms in ``table`` (term, value) and
-    ``total`` sums up their values.  Each row stands for itself, whatever its key.
+    ``total`` sums up their values.  ``measure`` gives a number for each text of a
+    batch, so that one pass serves both.  Each row stands for itself, whatever its key.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(head)
     kind = pa.string() if term_type == "string" else pa.binary()
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carried).schema)
     schema = (
-        f"term {term_type}, _owner long, _rows array<long>, _times array<int>, _sum double, _n long, {kept}"
+        f"term {term_type}, _owner long, _rows array<long>, _times array<int>, _sum double, _n long,"
+        f" measured double, {kept}"
     )
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +100,7 @@ def sums_of_rows(
         def out() -> pa.RecordBatch:
             n, m = len(tail), len(own)
             with_row = [
-                pa.array([*[None] * n, *[x[3 + i] for x in own]], kinds[i]) for i in range(len(carried))
+                pa.array([*[None] * n, *[x[4 + i] for x in own]], kinds[i]) for i in range(len(carried))
             ]
             lists = [tail[t] for t in tail]
             return pa.record_batch(
@@ -97,19 +111,23 @@ def sums_of_rows(
                     pa.array([*[x[1] for x in lists], *[[0]] * m], pa.list_(pa.int32())),
                     pa.array([*[None] * n, *[x[1] for x in own]], pa.float64()),
                     pa.array([*[None] * n, *[x[2] for x in own]], pa.int64()),
+                    pa.array([*[None] * n, *[x[3] for x in own]], pa.float64()),
                     *with_row,
                 ],
-                ["term", "_owner", "_rows", "_times", "_sum", "_n", *carried],
+                ["term", "_owner", "_rows", "_times", "_sum", "_n", "measured", *carried],
             )
 
         kinds = None
         for batch in batches:
             kinds = [c.type for c in batch.columns[2:]]
             others = zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True)
-            for row, value, other in zip(batch.column(0).to_pylist(), batch.column(1), others, strict=True):
+            numbers = measure(batch.column(1)) if measure else [None] * len(batch)
+            for row, value, number, other in zip(
+                batch.column(0).to_pylist(), batch.column(1), numbers, others, strict=True
+            ):
                 terms = split(value.as_py() or "")
                 found = [known[t] for t in terms if t in known]
-                own.append((row, float(sum(found)), len(found), *other))
+                own.append((row, float(sum(found)), len(found), number, *other))
                 if len(found) < len(terms):
                     for term, times in Counter([t for t in terms if t not in known]).items():
                         rows, counts = tail[term]
@@ -131,19 +149,20 @@ def sums_of_rows(
     values = table.select("term", F.lit(-1).cast("long").alias("_owner"), "value")
     looked = parts.join(values, ["term", "_owner"], "left")
     pieces = looked.select(
-        F.explode(F.arrays_zip("_rows", "_times")).alias("e"), "value", "_sum", "_n", *carried
+        F.explode(F.arrays_zip("_rows", "_times")).alias("e"), "value", "_sum", "_n", "measured", *carried
     ).select(
         F.col("e._rows").alias("_row"),
         F.col("e._times").cast("long").alias("_terms"),
         F.when(F.col("value").isNotNull(), F.col("e._times")).otherwise(0).cast("long").alias("_found"),
         (F.coalesce("_sum", F.lit(0.0)) + F.coalesce(F.col("value") * F.col("e._times"), F.lit(0.0))).alias("_sum"),
         "_n",
+        "measured",
         *carried,
     )
     sums = pieces.groupBy("_row").agg(
         (F.sum("_terms") + F.sum(F.coalesce("_n", F.lit(0)))).alias("n_terms"),
         (F.sum("_found") + F.sum(F.coalesce("_n", F.lit(0)))).alias("n_found"),
         F.sum("_sum").alias("total"),
-        *[F.first(c, ignorenulls=True).alias(c) for c in carried],
+        *[F.first(c, ignorenulls=True).alias(c) for c in (*carried, "measured")],
     )
-    return sums.select(*carried, "n_terms", "n_found", "total")
+    return sums.select(*carried, "n_terms", "n_found", "total", "measured")

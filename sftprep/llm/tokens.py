@@ -54,8 +54,7 @@ def token_counts(
     )
     counted = term_counts(rows, "_text", split, "string")
     table = stored(counted.mapInArrow(pieces, "term string, n long, value long"), "pre-tokens")
-    total = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    head = head_of(table, total, "value")
+    head = head_of(table, "value")
     sums = sums_of_rows(rows, "_text", ["_key", "n_bytes"], split, table, head, "string")
     return sums.select(
         F.col("_key").alias(key), "n_bytes", F.col("total").cast("long").alias("n_tokens"),
