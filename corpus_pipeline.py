@@ -1,15 +1,25 @@
 """From raw documents to packed sequences, stage by stage.
 
 Every stage works on the whole result of the one before it, which is written as
-Parquet in the shared folder and read again.
+Parquet in the shared folder and read again.  All stages but the last return the
+columns of ``documents``; where a stage changes a text, ``n_chars`` follows it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sftprep.llm import quality
+from sftprep.llm import jaccard, packing, quality, secrets, substrings
 from sftprep.llm.common import stored
+from sftprep.llm.queries import tokenizer_path
+
+
+def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``n_chars`` of the present text, and the columns in their order."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    return docs.select(columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +27,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.passing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked by shingles of five words and a similarity of 0.8,
+    directly or by others, the one with the smallest key stays."""
+    return jaccard.one_of_each(docs, threshold=80, shingle=5)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that an earlier document has go; so do documents of which
+    nothing is left."""
+    left = substrings.without_repeats(docs, length=50)
+    left = left.where((F.col("n_removed") == 0) | (F.col("kept") != ""))
+    return _with_length(left.withColumn("text", F.col("kept")), docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark."""
+    return _with_length(secrets.redacted(docs), docs.columns)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids and their places in sequences of 2048."""
+    return packing.packed(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram jaccard join", near_duplicates),
+    ("substring dedup", substring_dedup),
+    ("secret scans", secret_scans),
+    ("packing", packed_sequences),
 ]
 
 #: SQL can't express the stages; tests/llm holds them against brute force.

@@ -1,7 +1,7 @@
 """Operator 3: n-gram Jaccard join with a token-group matrix, and its components.
 
-A document's set holds its distinct shingles of three lower-case words; a text of one
-or two words is one shingle, a text without words has no set and no links.  Two sets
+A document's set holds its distinct shingles of ``shingle`` lower-case words; a text of
+fewer words is one shingle, a text without words has no set and no links.  Two sets
 are linked if their Jaccard similarity is at least ``threshold`` (a percentage).
 
 Documents with one set are one node.  Shingles have an order, rare ones first; linked
@@ -50,7 +50,6 @@ from sftprep.llm.windows import (
     word_sequence,
 )
 
-SHINGLE = 3
 #: Nodes in a part of a group.
 PART = 16
 #: A shingle is frequent if it is in one of so many documents of a task.
@@ -59,18 +58,18 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def sets_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sets_of(raw: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Text number and shingle, each once, by text and shingle."""
     seq = word_sequence(raw, offsets, _LOWER)
     words = np.bincount(seq.owner, minlength=len(offsets) - 1)
     n = len(seq.symbols)
     owners, tokens = [], []
     with np.errstate(over="ignore"):
-        if n >= SHINGLE:
-            inside = np.flatnonzero(seq.owner[: n - SHINGLE + 1] == seq.owner[SHINGLE - 1 :])
+        if n >= shingle:
+            inside = np.flatnonzero(seq.owner[: n - shingle + 1] == seq.owner[shingle - 1 :])
             owners.append(seq.owner[inside])
-            tokens.append(mixed(rolled(seq.symbols, SHINGLE)[inside]))
-        for count in range(1, SHINGLE):
+            tokens.append(mixed(rolled(seq.symbols, shingle)[inside]))
+        for count in range(1, shingle):
             few = np.flatnonzero(words == count)
             owners.append(few)
             if len(few):
@@ -85,13 +84,13 @@ def sets_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return owner, token
 
 
-def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in many documents of some task and how many: at most ``FREQUENT`` times
     the mean size of a set."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [sets_of(raw, offsets)[1] for _, _, raw, offsets in chunks(batch.column(0))]
+            held = [sets_of(raw, offsets, shingle)[1] for _, _, raw, offsets in chunks(batch.column(0))]
             token, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
             many = n >= max(8, len(batch) / FREQUENT)
             yield pa.record_batch(
@@ -110,15 +109,15 @@ def prefix_length(n: Column | np.ndarray, threshold: int):
     return n - (n * threshold + 99) // 100 + 1
 
 
-def document_sets(rows: DataFrame, threshold: int) -> DataFrame:
+def document_sets(rows: DataFrame, threshold: int, shingle: int) -> DataFrame:
     """Per row: _id, _print, k (128-bit name of the set, null without words), n, prefix."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
+    shared = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, shingle))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, times = shared.value
         for batch in batches:
             for first, last, raw, offsets in chunks(batch.column(2)):
-                owner, token = sets_of(raw, offsets)
+                owner, token = sets_of(raw, offsets, shingle)
                 count = last - first
                 n = np.bincount(owner, minlength=count)
                 rank = np.zeros(len(token), np.int64)
@@ -229,7 +228,7 @@ def leader_pairs(postings: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def linked(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+def linked(pairs: DataFrame, texts: DataFrame, threshold: int, shingle: int) -> DataFrame:
     """The pairs (a, b) whose sets are linked; ``texts`` has k and text of each node."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +237,8 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
             for first, last, raw, offsets in chunks(batch.column(2)):
                 part = batch.column(3).slice(first, last - first)
                 for low, high, raw2, offsets2 in chunks(part):
-                    one = sets_of(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-                    two = sets_of(raw2, offsets2)
+                    one = sets_of(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], shingle)
+                    two = sets_of(raw2, offsets2, shingle)
                     owner = np.concatenate([one[0], two[0]])
                     token = np.concatenate([one[1], two[1]])
                     order = np.lexsort((token, owner))
@@ -338,11 +337,11 @@ def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int) ->
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def joined(docs: DataFrame, threshold: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
+def joined(docs: DataFrame, threshold: int = 90, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, its text's hash ``_print``, n_shingles and component_id."""
     rows = keyed(docs, key, text)
     groups = group_count(rows, "_text")
-    sets = stored(document_sets(rows, threshold), "sets")
+    sets = stored(document_sets(rows, threshold, shingle), "sets")
     postings = stored(shared_postings(sets, groups), "shared-postings")
     # one text for each node that shares a shingle with another
     flat_names = postings.mapInArrow(_names, "k binary").distinct()
@@ -353,9 +352,9 @@ def joined(docs: DataFrame, threshold: int = 90, key: str = "doc_id", text: str
     pairs = leader_pairs(postings, threshold)
     # a first look at those that meet often; the others are left to the matrix
     likely = pairs.where(F.col("times") * 3 >= prefix_length_sql(threshold))
-    first = stored(linked(likely, texts, threshold), "first-links")
+    first = stored(linked(likely, texts, threshold, shingle), "first-links")
     alike = components(first)
-    more = linked(queries_of_parts(postings, alike, threshold), texts, threshold)
+    more = linked(queries_of_parts(postings, alike, threshold), texts, threshold, shingle)
     every = components(first.union(more))
     named = sets.join(every, "k", "left").withColumn("c", F.coalesce("c", "k"))
     least = named.where("k is not null").groupBy("c").agg(F.min("_id").alias("component"))
@@ -380,11 +379,13 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([x.tobytes() for x in names], pa.binary())], ["k"])
 
 
-def one_of_each(docs: DataFrame, threshold: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, threshold: int = 80, shingle: int = 5, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """The rows of ``docs`` whose key names their component; of equal rows one stays."""
     names = docs.columns
     rows = keyed(docs, key, text)
-    own = joined(docs, threshold, key, text)
+    own = joined(docs, threshold, shingle, key, text)
     same = F.coalesce(F.col(key), F.lit(LAST_KEY)) == F.coalesce("component_id", F.lit(LAST_KEY))
     stay = own.where(same).select(F.col(key).alias("_k"), "_print").distinct()
     kept = rows.join(stay.select("_print"), "_print", "left_semi")

@@ -13,6 +13,7 @@ from sftprep.llm import (
     jaccard,
     lm,
     packing,
+    pieces,
     quality,
     secrets,
     substrings,
@@ -25,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     """Where the environment keeps a public tokenizer's file."""
     import public_tokenizers
 
@@ -38,7 +39,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return tokens.token_counts(docs, _tokenizer("byte_bpe_50k.json"), limit=1024)
+    return tokens.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), limit=1024)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return packing.packed(docs, _tokenizer("byte_bpe_50k.json"), with_ids=False)
+    return packing.packed(docs, tokenizer_path("byte_bpe_50k.json"), with_ids=False)
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,11 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    return pieces.sampled(_table(spark, sf_dir, "documents"), model, seed=8, with_ids=False)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = quality.judged(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -157,6 +163,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
 }
