@@ -16,8 +16,15 @@ from functools import lru_cache
 _VISIBLE = "!-~¡-¬®-ɏ"
 _ODD = re.compile(f" (?![{_VISIBLE}])")
 _CUT = re.compile(f" (?=[{_VISIBLE}])")
-#: Longer parts are encoded each time; the cache is emptied beyond so many parts.
-LONGEST, MOST = 100, 400_000
+#: The tokenizer's splitting of parts made of visible characters and plain white space
+#: (fixed values: letters and numbers among them).
+_PLAIN = re.compile(f"[{_VISIBLE} \t\n\r]*")
+_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_PIECE = re.compile(
+    f"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_N}]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
+)
+#: Longer parts are encoded each time; the caches are emptied beyond so many entries.
+LONGEST, MOST_PARTS, MOST_PIECES = 100, 700_000, 1_200_000
 
 
 def pre_tokens(text: str, special: str) -> list[str] | None:
@@ -43,7 +50,8 @@ class Encoder:
         if len(specials) > 1:
             raise ValueError("files with one special token at most are supported")
         self.special = specials[0] if specials else ""
-        self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def lengths(self, texts: list[str]) -> list[int]:
         """How many ids each text has."""
@@ -53,24 +61,40 @@ class Encoder:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array.array("I", x.ids).tobytes() for x in done]
 
+    def _of_parts(self, parts: list[str]) -> list[bytes]:
+        """Parts share pieces, as a word with and without a comma; these are encoded."""
+        split = [_PIECE.findall(p) if _PLAIN.fullmatch(p) else [p] for p in parts]
+        if len(self.pieces) > MOST_PIECES:
+            self.pieces.clear()
+        known = self.pieces
+        new = list({x for pieces in split for x in pieces if x not in known})
+        known.update(zip(new, self._bytes(new), strict=True))
+        done = [b"".join([known[x] for x in pieces]) for pieces in split]
+        for x in new:
+            if len(x) > LONGEST:
+                del known[x]
+        return done
+
     def ids(self, text: str) -> bytes:
         parts = pre_tokens(text, self.special)
         if parts is None:
             return self._bytes([text])[0]
-        cache = self.cache
-        new = {p for p in parts[1:] if p not in cache}
-        long_ones = {}
-        if new:
-            if len(cache) + len(new) > MOST:
-                cache.clear()
-                new = set(parts[1:])
-            names = list(new)
-            for name, ids in zip(names, self._bytes([" " + p for p in names]), strict=True):
-                (cache if len(name) <= LONGEST else long_ones)[name] = ids
-        first = self._bytes(parts[:1])
-        if long_ones:
-            return b"".join(first + [cache.get(p) or long_ones[p] for p in parts[1:]])
-        return b"".join(first + [cache[p] for p in parts[1:]])
+        known = self.parts
+        first = parts[0]
+        found = list(map(known.get, parts))
+        found[0] = None  # the first part has no space before it
+        missing = [i for i, x in enumerate(found) if x is None]
+        new = list({parts[i] for i in missing[1:]})
+        start, *made = self._of_parts([first, *[" " + p for p in new]])
+        if missing[1:]:
+            if len(known) > MOST_PARTS:
+                known.clear()
+            by_part = dict(zip(new, made, strict=True))
+            for i in missing[1:]:
+                found[i] = by_part[parts[i]]
+            known.update((p, x) for p, x in by_part.items() if len(p) <= LONGEST)
+        found[0] = start
+        return b"".join(found)
 
 
 @lru_cache(maxsize=2)
