@@ -7,11 +7,14 @@ columns of ``documents``; where a stage changes a text, ``n_chars`` follows it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftprep.llm import jaccard, packing, quality, secrets, substrings
-from sftprep.llm.common import stored
+from sftprep.llm.common import dropped, held_tables, stored
 from sftprep.llm.queries import tokenizer_path
 
 
@@ -51,12 +54,33 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.packed(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
+_left: list[DataFrame] = []
+
+
+def _stage(function: Callable) -> Callable:
+    """The stage without what the one before it left in the shared folder.
+
+    A stage begins when the one before it has been written, so its tables can go.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        dropped(*_left)
+        _left.clear()
+        with held_tables() as tables:
+            result = function(spark, docs, sf_dir)
+        _left.extend(tables)
+        return result
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("n-gram jaccard join", near_duplicates),
-    ("substring dedup", substring_dedup),
-    ("secret scans", secret_scans),
-    ("packing", packed_sequences),
+    ("quality rules", _stage(quality_rules)),
+    ("n-gram jaccard join", _stage(near_duplicates)),
+    ("substring dedup", _stage(substring_dedup)),
+    ("secret scans", _stage(secret_scans)),
+    ("packing", _stage(packed_sequences)),
 ]
 
 #: SQL can't express the stages; tests/llm holds them against brute force.

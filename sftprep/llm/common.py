@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,22 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/intermediate").rstrip("/")
 
 
+_holders: list[list[DataFrame]] = []
+
+
+@contextmanager
+def held_tables() -> Iterator[list[DataFrame]]:
+    """Collect the tables that ``stored`` writes meanwhile, for ``dropped``."""
+    tables: list[DataFrame] = []
+    _holders.append(tables)
+    try:
+        yield tables
+    finally:
+        _holders.pop()
+        if _holders:
+            _holders[-1].extend(tables)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -29,16 +48,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    released(spark)
     df.write.parquet(path)
-    # files of the shuffles behind it go when their plan does, not at some later time
-    del df
-    gc.collect()
-    spark._jvm.System.gc()
     table = spark.read.schema(schema).parquet(path)
     table.stored_path = path
+    if _holders:
+        _holders[-1].append(table)
     return table
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps that are over.
+
+    It does so when the plans behind them are garbage, which may be collected late; a
+    plan is found to be garbage only after the Python objects that hold it.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete the files of ``stored`` tables that no later result reads."""
     for table in tables:

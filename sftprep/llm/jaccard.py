@@ -10,8 +10,9 @@ there has a lower bound.  The work then goes in two steps, so that no group of s
 documents is ever compared pair by pair:
 
 1. *Groups.*  Of the nodes that share a prefix shingle each is compared with one or
-   two leaders.  The components of these links are the groups of similar documents.
-   Links that this step doesn't look at are not lost, they are step 2's.
+   two leaders, and then with the part (see 2) that it has most in common with.  The
+   components of these links are the groups of similar documents.  Links that this
+   step doesn't look at are not lost, they are step 2's.
 2. *Token-group matrix.*  A group is split into parts of about ``PART`` nodes.  The
    matrix holds for each prefix shingle the parts in whose union it is.  A query is a
    node that shares a shingle with a larger group; its overlap with each part's union
@@ -33,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftprep.llm.common import stored
+from sftprep.llm.common import dropped, held_tables, released, stored
 from sftprep.llm.windows import (
     LAST_KEY,
     blocks,
@@ -186,7 +188,11 @@ def shared_postings(sets: DataFrame, groups: int) -> DataFrame:
 
 
 def leader_pairs(postings: DataFrame, threshold: int) -> DataFrame:
-    """Nodes to compare with a leader: a, b, and on how many shingles they meet."""
+    """Each node with the two leaders that it meets on most shingles: a, b.
+
+    Of a shingle's nodes the smallest set is a leader, and one at random; where sizes
+    rule the first one out, the next smaller set takes its place.
+    """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,36 +202,31 @@ def leader_pairs(postings: DataFrame, threshold: int) -> DataFrame:
                 continue
             found = []
             starts = np.concatenate([[True], token[1:] != token[:-1]])
+            lead_place = np.maximum.accumulate(np.where(starts, np.arange(len(token)), 0))
             with np.errstate(over="ignore"):
                 other = mixed(k1.view(np.uint64)).view(np.int64)
-            for order in (np.lexsort((k2, k1, n, token)), np.lexsort((k2, other, token))):
-                # the leader is the first node of the shingle, or of its size
-                lead = order[np.maximum.accumulate(np.where(starts, np.arange(len(token)), 0))]
-                near = 100 * np.minimum(n[lead], n[order]) >= threshold * np.maximum(n[lead], n[order])
-                found.append((lead[near], order[near]))
-                # beyond the first leader's sizes: the neighbour in order of size
-                far = np.flatnonzero(~near & ~starts)
-                found.append((order[far - 1], order[far]))
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            small = (k1[a] < k1[b]) | ((k1[a] == k1[b]) & (k2[a] < k2[b]))
-            a, b = np.where(small, a, b), np.where(small, b, a)
+            for rule, order in enumerate((np.lexsort((k2, k1, n, token)), np.lexsort((k2, other, token)))):
+                lead = lead_place.copy()
+                near = 100 * np.minimum(n[order[lead]], n[order]) >= threshold * np.maximum(n[order[lead]], n[order])
+                lead = np.where(near | starts, lead, np.arange(len(token)) - 1)
+                found.append((order[lead], order, np.full(len(token), rule)))
+            a, b, rule = (np.concatenate(x) for x in zip(*found, strict=True))
             ok = (a != b) & (100 * np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]))
-            a, b = a[ok], b[ok]
-            both = np.stack([k1[a], k2[a], k1[b], k2[b]], 1)
+            a, b, rule = a[ok], b[ok], rule[ok]
+            both = np.stack([rule, k1[b], k2[b], k1[a], k2[a]], 1)
             pairs, first, times = np.unique(both, axis=0, return_index=True, return_counts=True)
-            names = np.ascontiguousarray(pairs)
             yield pa.record_batch(
                 [
-                    pa.array([x[:2].tobytes() for x in names], pa.binary()), pa.array([x[2:].tobytes() for x in names], pa.binary()),
-                    pa.array(n[a][first]), pa.array(n[b][first]), pa.array(times.astype(np.int32)),
+                    pa.array([x[3:].tobytes() for x in pairs], pa.binary()), pa.array([x[1:3].tobytes() for x in pairs], pa.binary()),
+                    pa.array(np.minimum(n[a], n[b])[first]), pa.array(times.astype(np.int32)), pa.array(pairs[:, 0]),
                 ],
-                ["a", "b", "na", "nb", "times"],
+                ["a", "b", "n", "times", "rule"],
             )
 
-    found = postings.mapInArrow(pair, "a binary, b binary, na int, nb int, times int")
-    return found.groupBy("a", "b").agg(
-        F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("times").alias("times")
-    )
+    found = postings.mapInArrow(pair, "a binary, b binary, n int, times int, rule long")
+    met = found.groupBy("a", "b", "rule").agg(F.first("n").alias("n"), F.sum("times").alias("times"))
+    best = met.groupBy("b", "rule").agg(F.max(F.struct("times", "a", "n")).alias("l"))
+    return best.select(F.least("l.a", "b").alias("a"), F.greatest("l.a", "b").alias("b")).distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, threshold: int, shingle: int) -> DataFrame:
@@ -267,19 +268,23 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         small = down.groupBy("a").agg(F.min("b").alias("m"))
         star = down.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        state = stored(star.union(small.select("a", F.col("m").alias("b"))).distinct(), "links")
+        last, state = state, stored(star.union(small.select("a", F.col("m").alias("b"))).distinct(), "links")
+        dropped(last)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     roots = state.select(F.col("b").alias("k"), F.col("b").alias("c")).distinct()
-    return state.select(F.col("a").alias("k"), F.col("b").alias("c")).union(roots).distinct()
+    found = stored(state.select(F.col("a").alias("k"), F.col("b").alias("c")).union(roots).distinct(), "components")
+    dropped(state)
+    return found
 
 
-def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
+def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int, best: bool) -> DataFrame:
     """Pairs of nodes that the token-group matrix can't rule out: a, b.
 
     ``groups`` has k and c of the nodes with links; other nodes are groups of their own.
+    With ``best`` each query opens the part alone that it has most in common with.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,6 +334,9 @@ def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int) ->
     of_query = needed(least) - F.ceil(F.col("n") * threshold / 100 - 1e-9) + 1
     of_other = needed(most) - F.ceil(most * threshold / 100 - 1e-9) + 1
     open_ = overlap.where(F.col("common") >= F.least(of_query, of_other))
+    if best:
+        open_ = open_.groupBy("k").agg(F.max(F.struct("common", "c", "part", "n")).alias("o"))
+        open_ = open_.select("k", "o.c", "o.part", "o.n")
     members = posted.select("c", "part", F.col("k").alias("b"), F.col("n").alias("nb")).distinct()
     opened = open_.select("c", "part", F.col("k").alias("a"), "n").join(members, ["c", "part"])
     near = opened.where(
@@ -337,11 +345,7 @@ def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int) ->
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def joined(docs: DataFrame, threshold: int = 90, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, its text's hash ``_print``, n_shingles and component_id."""
-    rows = keyed(docs, key, text)
-    groups = group_count(rows, "_text")
-    sets = stored(document_sets(rows, threshold, shingle), "sets")
+def _components_of(rows: DataFrame, sets: DataFrame, groups: int, threshold: int, shingle: int) -> DataFrame:
     postings = stored(shared_postings(sets, groups), "shared-postings")
     # one text for each node that shares a shingle with another
     flat_names = postings.mapInArrow(_names, "k binary").distinct()
@@ -349,13 +353,24 @@ def joined(docs: DataFrame, threshold: int = 90, shingle: int = 3, key: str = "d
     chosen = chosen.join(flat_names, "k", "left_semi").select("k", "d._id", "d._print")
     texts = rows.select("_id", "_print", F.col("_text").alias("text")).join(chosen, ["_id", "_print"])
     texts = stored(texts.select("k", "text"), "node-texts")
-    pairs = leader_pairs(postings, threshold)
-    # a first look at those that meet often; the others are left to the matrix
-    likely = pairs.where(F.col("times") * 3 >= prefix_length_sql(threshold))
-    first = stored(linked(likely, texts, threshold, shingle), "first-links")
-    alike = components(first)
-    more = linked(queries_of_parts(postings, alike, threshold), texts, threshold, shingle)
-    every = components(first.union(more))
+    links = stored(linked(leader_pairs(postings, threshold), texts, threshold, shingle), "links")
+    for best in (True, False):  # one part for each query joins most groups; then all that is left
+        alike = components(links)
+        more = linked(queries_of_parts(postings, alike, threshold, best), texts, threshold, shingle)
+        last, links = links, stored(links.union(more), "links")
+        dropped(last)
+    return components(links)
+
+
+def joined(docs: DataFrame, threshold: int = 90, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: key, its text's hash ``_print``, n_shingles and component_id."""
+    rows = keyed(docs, key, text)
+    groups = group_count(rows, "_text")
+    sets = stored(document_sets(rows, threshold, shingle), "sets")
+    with held_tables() as tables:
+        every = _components_of(rows, sets, groups, threshold, shingle)
+    dropped(*[t for t in tables if t is not every])
+    released(docs.sparkSession)
     named = sets.join(every, "k", "left").withColumn("c", F.coalesce("c", "k"))
     least = named.where("k is not null").groupBy("c").agg(F.min("_id").alias("component"))
     done = named.join(least, "c", "left").select(
@@ -368,10 +383,6 @@ def joined(docs: DataFrame, threshold: int = 90, shingle: int = 3, key: str = "d
     )
 
 
-def prefix_length_sql(threshold: int) -> Column:
-    return F.expr(f"least(na, nb) - (least(na, nb) * {threshold} + 99) div 100 + 1")
-
-
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         table = pa.Table.from_batches([batch])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftprep.llm.common import stored
+from sftprep.llm.common import dropped, released, stored
 from sftprep.llm.windows import (
     RUNS,
     anchors_of,
@@ -200,7 +200,9 @@ def removed_runs(rows: DataFrame, groups: int, length: int) -> DataFrame:
     documents = in_groups(rows, groups, "_id", "_print", "_text").groupBy("_to")
     schema = f"_to long, {_STRETCHES}, {RUNS}"
     found = documents.cogroup(again.groupBy("_to")).applyInArrow(stretches, schema)
-    return stored(found.groupBy("_to").applyInArrow(subtrees, f"_to long, {RUNS}"), "removed-windows")
+    gone = stored(found.groupBy("_to").applyInArrow(subtrees, f"_to long, {RUNS}"), "removed-windows")
+    dropped(again)
+    return gone
 
 
 _SCHEMA = ["_to", "text", "first", "windows", "of_text", "of_print", "at", "id", "print", "start", "count"]
@@ -247,6 +249,7 @@ def without_repeats(
     rows = keyed(docs, key, text)
     groups = group_count(rows, "_text")
     gone = removed_runs(rows, groups, length)
+    released(docs.sparkSession)
 
     def cut(content: str, runs_: list | None) -> tuple:
         words = content.encode().split()

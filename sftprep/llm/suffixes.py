@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
-from sftprep.llm.common import stored
+from sftprep.llm.common import dropped, released, stored
 from sftprep.llm.windows import (
     RUNS,
     anchors_of,
@@ -69,7 +70,7 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     than every byte and differs from all other marks, the earlier the smaller.
     """
     n = len(text)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # bytes to the mark
+    left = _to_mark(ends)
     # seven bytes and how many of them there are; a suffix with fewer is unique
     padded = np.zeros(n + 7, np.uint64)
     padded[:n] = text
@@ -77,7 +78,9 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     for i in range(7):
         start = (start << np.uint64(8)) | np.where(left > i, padded[i : i + n], 0)
     start = (start << np.uint64(8)) | np.minimum(left, 7).astype(np.uint64)
-    order = np.argsort(start, kind="stable")
+    order = np.argsort(start)
+    few = np.flatnonzero(left[order] < 7)  # of equal ones the earlier mark comes first
+    order[few] = order[few][np.lexsort((order[few], start[order[few]]))]
     sorted_ = start[order]
     new = np.concatenate([[True], sorted_[1:] != sorted_[:-1]]) | (left[order] < 7)
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -89,7 +92,7 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     while len(open_):
         suffix = order[open_]
         keys = (rank[suffix] << 32) | rank[suffix + step]
-        inside = np.argsort(keys, kind="stable")
+        inside = np.argsort(keys)
         suffix, keys = suffix[inside], keys[inside]
         order[open_] = suffix
         new = np.concatenate([[True], keys[1:] != keys[:-1]])
@@ -101,13 +104,18 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return order
 
 
+def _to_mark(ends: np.ndarray) -> np.ndarray:
+    """Of each place: bytes to the mark of its stretch."""
+    return np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(int(ends[-1]) + 1)
+
+
 def common_prefixes(text: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Of each place of the suffix array: bytes in common with the suffix before it."""
     n = len(text)
     before = np.empty(n, np.int64)  # of each text position: the suffix before it
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    left = _to_mark(ends)
     mark = np.zeros(n, bool)
     mark[ends] = True
     # a position whose left neighbour equals that of the suffix before it inherits
@@ -147,39 +155,38 @@ def later_starts(text: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
     return later
 
 
-def merged(runs_: list[tuple]) -> np.ndarray:
+def merged(runs_: list[tuple], other: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Numbers of the strings that start earlier in another sorted array.
 
-    An array has the two halves of the fingerprints (sorted), and as columns key,
-    print and place of the start, and a number.
+    An array has fingerprints, sorted, and the strings' numbers; ``other`` is the
+    second half of the fingerprints and ``start`` the order of the starts, by number.
     """
-    lost = []
+    lost: list[np.ndarray] = [np.zeros(0, np.int64)]
     while len(runs_) > 1:
-        paired = [
-            _merge(runs_[i], runs_[i + 1], lost) if i + 1 < len(runs_) else runs_[i]
+        runs_ = [
+            _merge(*runs_[i], *runs_[i + 1], other, start, lost) if i + 1 < len(runs_) else runs_[i]
             for i in range(0, len(runs_), 2)
         ]
-        runs_ = paired
-    return np.concatenate(lost) if lost else np.zeros(0, np.int64)
-
-
-def _merge(a: tuple, b: tuple, lost: list) -> tuple:
-    place = np.searchsorted(a[0], b[0])
-    place[place == len(a[0])] = 0
-    same = (a[0][place] == b[0]) & (a[1][place] == b[1])
-    of_a, of_b = place[same], np.flatnonzero(same)
-    b_first = np.zeros(len(of_a), bool)
-    tie = np.ones(len(of_a), bool)
-    for x, y in zip(a[2:5], b[2:5], strict=True):
-        b_first |= tie & (y[of_b] < x[of_a])
-        tie &= y[of_b] == x[of_a]
-    lost += [a[5][of_a[b_first]], b[5][of_b[~b_first]]]
-    keep_a, keep_b = np.ones(len(a[0]), bool), np.ones(len(b[0]), bool)
-    keep_a[of_a[b_first]] = False
-    keep_b[of_b[~b_first]] = False
-    both = [np.concatenate([x[keep_a], y[keep_b]]) for x, y in zip(a, b, strict=True)]
-    order = np.argsort(both[0], kind="stable")
-    return tuple(x[order] for x in both)
+    return np.concatenate(lost)
+
+
+def _merge(a, a_number, b, b_number, other, start, lost: list) -> tuple:
+    place = np.searchsorted(a, b)
+    place[place == len(a)] = 0
+    hit = np.flatnonzero(a[place] == b)
+    of_a, of_b = a_number[place[hit]], b_number[hit]
+    same = other[of_a] == other[of_b]
+    hit, of_a, of_b = hit[same], of_a[same], of_b[same]
+    earlier = start[of_b] < start[of_a]
+    lost += [of_a[earlier], of_b[~earlier]]
+    # the place in a keeps the earlier start; what else b has is merged in
+    a_number = a_number.copy()
+    a_number[place[hit[earlier]]] = of_b[earlier]
+    new = np.ones(len(b), bool)
+    new[hit] = False
+    keys, numbers = np.concatenate([a, b[new]]), np.concatenate([a_number, b_number[new]])
+    order = np.argsort(keys, kind="stable")  # two sorted runs
+    return keys[order], numbers[order]
 
 
 def removed_runs(rows: DataFrame, groups: int, length: int) -> DataFrame:
@@ -228,40 +235,45 @@ def removed_runs(rows: DataFrame, groups: int, length: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         found = [joined_runs(*(flat(table, c) for c in ("id", "print", "start", "count")))]
-        sorted_runs, where, number = [], [], 0
-        for row in range(len(table)):  # a row is one shard
-            part = table.slice(row, 1)
-            texts = part.column("text").combine_chunks().flatten()
-            if not len(texts):
-                continue
+        texts = pa.concat_arrays([c.flatten() for c in table.column("text").chunks]) if len(table) else []
+        if len(texts):
             raw, offsets = whole(texts)
-            ids, prints, at = (flat(part, c) for c in ("first", "of_print", "at"))
+            ids, prints, at = (flat(table, c) for c in ("first", "of_print", "at"))
+            # documents by number, in the order of starts
+            order = np.lexsort((prints, ids))
+            new = (np.diff(ids[order], prepend=ids[order[0]]) != 0) | (np.diff(prints[order], prepend=prints[order[0]]) != 0)
+            document = np.empty(len(ids), np.int64)
+            document[order] = np.cumsum(new)
             count = np.diff(offsets) - length + 1
-            start = ranges(offsets[:-1], count)
-            text_of = np.repeat(np.arange(len(count)), count)
+            begin = ranges(offsets[:-1], count)
             seq = byte_sequence(raw, offsets).symbols
-            one, two = mixed(rolled(seq, length)[start]), rolled(seq, length, _OTHER_BASE)[start]
-            place = at[text_of] + start - offsets[text_of]
-            order = np.lexsort((place, prints[text_of], ids[text_of], two, one))
-            new = np.concatenate(
-                [[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])]
-            )  # starts that go in their shard are here again, behind the first of their string
-            order = order[new]
-            columns = ids[text_of][order], prints[text_of][order], place[order]
-            sorted_runs.append((one[order], two[order], *columns, number + np.arange(len(order))))
-            where.append(columns)
-            number += len(order)
-        lost = merged(sorted_runs)
-        if len(lost):
-            ids, prints, place = (np.concatenate(x) for x in zip(*where, strict=True))
-            found.append(joined_runs(ids[lost], prints[lost], place[lost], np.ones(len(lost), np.int64)))
+            one, two = mixed(rolled(seq, length)[begin]), rolled(seq, length, _OTHER_BASE)[begin]
+            shift = (document << 32) + at - offsets[:-1]
+            start = np.repeat(shift, count) + begin
+            # a row is one shard: sorted by fingerprint, of equal ones the first start
+            rows_of = pa.compute.fill_null(pa.compute.list_value_length(table.column("text")), 0).to_numpy()
+            borders = np.cumsum(np.append(0, count))[np.cumsum(np.append(0, rows_of))]
+            sorted_runs = []
+            for low, high in zip(borders[:-1], borders[1:], strict=True):
+                if low == high:
+                    continue
+                number = low + np.argsort(one[low:high], kind="stable")
+                first = np.append(True, (one[number[1:]] != one[number[:-1]]) | (two[number[1:]] != two[number[:-1]]))
+                number = number[first]
+                sorted_runs.append((one[number], number))
+            lost = merged(sorted_runs, two, start)
+            text_of = np.searchsorted(np.cumsum(count), lost, "right")
+            place = at[text_of] + begin[lost] - offsets[text_of]
+            found.append(joined_runs(ids[text_of], prints[text_of], place, np.ones(len(lost), np.int64)))
         joined = joined_runs(*(np.concatenate([f[c] for f in found]) for c in ("id", "print", "start", "count")))
         to = hash_group(joined["id"], joined["print"], groups)
         return pa.Table.from_batches([blocks(to, groups, joined)])
 
     documents = in_groups(rows, groups, "_id", "_print", "_text").groupBy("_to")
     found = documents.cogroup(again.groupBy("_to")).applyInArrow(shard, f"_to long, {_LISTS}, {RUNS}")
-    return stored(found.groupBy("_to").applyInArrow(merge, f"_to long, {RUNS}"), "removed-strings")
+    gone = stored(found.groupBy("_to").applyInArrow(merge, f"_to long, {RUNS}"), "removed-strings")
+    dropped(again)
+    return gone
 
 
 def _of_shard(held: list[tuple], length: int, groups: int) -> list[pa.Table]:
@@ -330,6 +342,7 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
     rows = keyed(docs, key, text)
     groups = group_count(rows, "_text")
     gone = removed_runs(rows, groups, length)
+    released(docs.sparkSession)
 
     def cut(content: str, runs_: list | None) -> tuple:
         data = content.encode()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftprep.llm.bpe import encoder, pre_tokens
-from sftprep.llm.common import stored, text_of
+from sftprep.llm.common import released, stored, text_of
 from sftprep.llm.terms import head_of, sums_of_rows, term_counts
 
 
@@ -55,6 +55,8 @@ def token_counts(
     counted = term_counts(rows, "_text", split, "string")
     table = stored(counted.mapInArrow(pieces, "term string, n long, value long"), "pre-tokens")
     head = head_of(table, "value")
+    del counted
+    released(docs.sparkSession)
     sums = sums_of_rows(rows, "_text", ["_key", "n_bytes"], split, table, head, "string")
     return sums.select(
         F.col("_key").alias(key), "n_bytes", F.col("total").cast("long").alias("n_tokens"),

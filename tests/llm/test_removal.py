@@ -160,7 +160,7 @@ def test_components_of_near_copies(table, threshold, shingle):
 
 def test_matrix_finds_what_leaders_miss(table, monkeypatch):
     monkeypatch.setattr(jaccard, "leader_pairs", lambda p, t: p.sparkSession.createDataFrame(
-        [], "a binary, b binary, times int, n int"))
+        [], "a binary, b binary"))
     rows = chain(5)
     found = jaccard.joined(table(rows), 80, 3).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == classes(rows, 80, 3)
