@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.cleanup import py_strip
@@ -45,9 +46,17 @@ def accuracy(df: DataFrame, by: str | Sequence[str] | None = None, score: str =
     )
 
 
+def _percent_text(values: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(v) else f"{v:.2f}%" for v in values], dtype=object)
+
+
 def percent(share: Column | str) -> Column:
-    """A share as percent text with two decimals; exact ties round up."""
-    return F.format_string("%.2f%%", _col(share).cast("double") * 100)
+    """A share as percent text with two decimals.
+
+    The binary value itself is rounded, ties to even; no built-in function does that
+    (they round the shortest decimal).  Meant for results, which are few rows.
+    """
+    return F.pandas_udf(_percent_text, "string")(_col(share).cast("double") * 100)
 
 
 def flag_share(

@@ -6,7 +6,6 @@ the loss of an executor, unlike cached or locally checkpointed blocks.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path (not yet created) below the shared folder.
 
-    Where no folder is set, a local session gets a temporary one; a cluster
-    session is refused, as its executors would not see the same local disk.
+    Where no folder is set it lies in the warehouse, which is shared as well; never on
+    the local disk of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="sftprep-")
+    base = base or spark.conf.get("spark.sql.warehouse.dir") + "/intermediate"
     return f"{base.rstrip('/')}/sftprep-{uuid.uuid4().hex}"
 
 

@@ -166,3 +166,13 @@ def test_null_key(spark):
     df = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "k int, v int")
     splits = train_test_split(df, "k", 1, 5)
     assert splits.groupBy("split").count().filter("split = 'test'").first()["count"] == 1
+
+
+def test_rows_that_differ_below_a_millisecond_are_all_kept(spark):
+    rows = spark.sql(
+        "select 1 as id, timestamp'2024-01-01 00:00:00.123456' as at union all "
+        "select 1, timestamp'2024-01-01 00:00:00.123999' union all select 2, null"
+    )
+    split = train_test_split(rows, "id", 1, seed=3)
+    assert sorted(map(str, split.select("at").collect())) == sorted(map(str, rows.select("at").collect()))
+    assert with_row_key(rows).select("example_id").distinct().count() == 3

@@ -48,7 +48,11 @@ def test_accuracy_of_nothing_and_of_groups(spark):
 
 
 @pytest.mark.parametrize(
-    "share, text", [(0.592, "59.20%"), (1.0, "100.00%"), (0.0, "0.00%"), (0.00125, "0.13%")]
+    "share, text",
+    [
+        (0.592, "59.20%"), (1.0, "100.00%"), (0.0, "0.00%"), (None, None),
+        (0.02675, "2.67%"), (0.01005, "1.00%"), (0.59205, "59.20%"), (0.00145, "0.14%"), (0.00125, "0.12%"),
+    ],
 )
 def test_percent(spark, share, text):
     assert spark.range(1).select(S.percent(F.lit(share))).first()[0] == text
