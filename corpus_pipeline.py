@@ -38,8 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document has go; so do documents of which
-    nothing is left."""
-    left = substrings.without_repeats(docs, length=50)
+    nothing is left.  Other words, and documents without such a passage, stay as they are."""
+    left = substrings.without_repeats(docs, length=50, spaces=True)
     left = left.where((F.col("n_removed") == 0) | (F.col("kept") != ""))
     return _with_length(left.withColumn("text", F.col("kept")), docs.columns)
 

@@ -19,7 +19,8 @@ times, so copies in large groups cost one row for each task.
 
 Defined results: a null text has no words; a null key counts as the largest key; rows
 of equal keys never take passages from one another; the kept words are joined by one
-space, so the empty text is what remains of a text without words.
+space, so the empty text is what remains of a text without words.  With ``spaces`` the
+words stand as they stood in the input.
 """
 
 from __future__ import annotations
@@ -239,14 +240,40 @@ def _both(texts: pa.RecordBatch, owners: pa.RecordBatch) -> pa.Table:
     return _filled(batch)
 
 
+def text_left(content: str, gone: np.ndarray) -> str:
+    """``content`` without its words marked in ``gone``; all other bytes stay.
+
+    Of the white space on the two sides of removed words one goes: that after them, or
+    that before them if it has fewer line breaks or no word follows.  Without a word
+    left the text is empty.
+    """
+    if not gone.any():
+        return content
+    if gone.all():
+        return ""
+    raw = content.encode()
+    seq = word_sequence(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64))
+    first, size = runs(gone)
+    parts, at = [], 0
+    for a, b in zip(first.tolist(), (first + size).tolist(), strict=True):
+        start, end = int(seq.begin[a]), int(seq.end[b - 1])
+        before = int(seq.end[a - 1]) if a else 0
+        after = int(seq.begin[b]) if b < len(gone) else len(raw)
+        drop_before = b == len(gone) or (a and raw.count(b"\n", before, start) < raw.count(b"\n", end, after))
+        parts.append(raw[at : before if drop_before else start])
+        at = end if drop_before else after
+    return b"".join([*parts, raw[at:]]).decode()
+
+
 def without_repeats(
-    docs: DataFrame, length: int = 13, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, length: int = 13, key: str = "doc_id", text: str = "text", spaces: bool = False
 ) -> DataFrame:
     """All columns of ``docs`` but the text, and n_words, n_removed, kept (the text left).
 
-    Columns of these names are replaced.
+    Columns of these names are replaced.  With ``spaces`` the text left keeps its white
+    space (``text_left``), and a text that loses nothing, null too, is unchanged.
     """
-    rows = keyed(docs, key, text)
+    rows = keyed(docs.withColumn("_no_text", F.col(text).isNull()), key, text)
     groups = group_count(rows, "_text")
     gone = removed_runs(rows, groups, length)
     released(docs.sparkSession)
@@ -254,10 +281,15 @@ def without_repeats(
     def cut(content: str, runs_: list | None) -> tuple:
         words = content.encode().split()
         if runs_ is None:
-            return len(words), 0, b" ".join(words).decode()
+            return len(words), 0, content if spaces else b" ".join(words).decode()
         flags = covered(len(words), *runs_, length)
         kept = [w for w, f in zip(words, flags.tolist(), strict=True) if not f]
-        return len(words), len(words) - len(kept), b" ".join(kept).decode()
+        left = text_left(content, flags) if spaces else b" ".join(kept).decode()
+        return len(words), len(words) - len(kept), left
 
     names = [c for c in docs.columns if c not in (text, "n_words", "n_removed", "kept")]
-    return without_runs(rows, gone, groups, names, cut, "n_words long, n_removed long, kept string")
+    added = "n_words long, n_removed long, kept string"
+    left = without_runs(rows, gone, groups, [*names, "_no_text"], cut, added)
+    if spaces:
+        left = left.withColumn("kept", F.when(~F.col("_no_text"), F.col("kept")))
+    return left.drop("_no_text")

@@ -44,3 +44,10 @@ def test_stages(spark, table, folder, tmp_path):
     packed = step("packing", clean)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in clean.collect()}
     assert corpus_pipeline.run.__doc__
+
+
+def test_substring_stage_leaves_clean_texts_alone(spark, table, folder, tmp_path):
+    rows = [(1, "def f():\n    return  1\n"), (2, "a\tb  c\r\n"), (3, "")]
+    docs = table(rows).selectExpr("doc_id", "text", "cast(length(text) as long) as n_chars")
+    out = dict(corpus_pipeline.STAGES)["substring dedup"](spark, docs, str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == [(i, t, len(t)) for i, t in rows]

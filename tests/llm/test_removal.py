@@ -46,6 +46,34 @@ def test_passages(table, monkeypatch, length, large):
     assert sum(g[2] for g in got) > 0
 
 
+def test_text_left_keeps_white_space(table):
+    passage = " ".join(f"p{n}" for n in range(8))
+    rows = [
+        (1, f"def f():\n    return  1\n\n{passage}\n"),
+        (2, f"\tone  two\n\n{passage}\n\nthree\t four \n"),
+        (3, f"  {passage}  tail\n"),
+        (4, f"head\n {passage} \n"),
+        (5, f"a\tb {passage}\n\n\nc  d"),
+        (6, passage),
+        (7, "  clean\r\n\ttext  "),
+        (8, None),
+        (9, " \n "),
+    ]
+    left = substrings.without_repeats(table(rows), 8, spaces=True)
+    assert {r.doc_id: (r.n_removed, r.kept) for r in left.collect()} == {
+        1: (0, rows[0][1]), 2: (8, "\tone  two\n\nthree\t four \n"), 3: (8, "  tail\n"), 4: (8, "head \n"),
+        5: (8, "a\tb\n\n\nc  d"), 6: (8, ""), 7: (0, rows[6][1]), 8: (0, None), 9: (0, " \n "),
+    }
+
+
+def test_text_left_has_the_words_that_are_joined_otherwise(table):
+    rows = documents()
+    joined = {(r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.without_repeats(table(rows), 5).collect()}
+    spaced = substrings.without_repeats(table(rows), 5, spaces=True).collect()
+    words = {(r.doc_id, r.n_words, r.n_removed, b" ".join((r.kept or "").encode().split()).decode()) for r in spaced}
+    assert words == joined
+
+
 def byte_strings(rows, length):
     first = {}
     rows = sorted({(order(i), (t or "").encode()) for i, t in rows})
