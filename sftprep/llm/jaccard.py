@@ -325,14 +325,15 @@ def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int, bes
         F.first("q.n").alias("n"), F.min("g.low").alias("low"), F.max("g.high").alias("high"), F.count("*").alias("common")
     )
     # least number of shared prefix shingles of the query and a set of low to high shingles
-    most = F.expr(f"least(high, n * 100 div {threshold})")
+    most = f"least(high, n * 100 div {threshold})"
     least = F.expr(f"greatest(low, (n * {threshold} + 99) div 100)")
-
-    def needed(m: Column) -> Column:
-        return F.ceil((F.col("n") + m) * threshold / (100 + threshold) - 1e-9)
-
-    of_query = needed(least) - F.ceil(F.col("n") * threshold / 100 - 1e-9) + 1
-    of_other = needed(most) - F.ceil(most * threshold / 100 - 1e-9) + 1
+    of_both = F.ceil((F.col("n") + least) * threshold / (100 + threshold) - 1e-9)
+    of_query = of_both - F.ceil(F.col("n") * threshold / 100 - 1e-9) + 1
+    # for a set of m it is ceil((n + m) t / (100 + t)) - ceil(m t / 100) + 1, which goes up
+    # and down with m, but is above t (100 n - t m) / (100 (100 + t)), which only falls
+    of_other = F.expr(
+        f"{threshold}L * (100L * n - {threshold}L * {most}) div {100 * (100 + threshold)}L + 1"
+    )
     open_ = overlap.where(F.col("common") >= F.least(of_query, of_other))
     if best:
         open_ = open_.groupBy("k").agg(F.max(F.struct("common", "c", "part", "n")).alias("o"))

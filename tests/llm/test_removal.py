@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sftprep.llm import jaccard, substrings, suffixes, windows
 
@@ -194,6 +195,55 @@ def test_matrix_finds_what_leaders_miss(table, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == classes(rows, 80, 3)
 
 
+def test_matrix_opens_a_part_of_sets_of_two_sizes(spark, folder):
+    # the sets of 95 and 99 have 92 in common, of which 3 are in both prefixes
+    def node(name):
+        return np.frombuffer(name, np.int64).tolist()
+
+    q, y, z = b"q" * 16, b"y" * 16, b"z" * 16
+    rows = [(t, *node(k), n) for t in (1, 2, 3) for k, n in ((q, 95), (y, 99), (z, 100))]
+    token, k1, k2, n = map(list, zip(*rows, strict=True))
+    postings = spark.createDataFrame([(0, token, k1, k2, n)], f"_to long, {jaccard._POSTINGS}")
+    groups = spark.createDataFrame([(bytearray(y), bytearray(y)), (bytearray(z), bytearray(y))], "k binary, c binary")
+    for best in (True, False):
+        found = jaccard.queries_of_parts(postings, groups, 90, best).collect()
+        assert (q, y) in {(bytes(r.a), bytes(r.b)) for r in found}
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 90, 97])
+def test_least_common_prefix_is_no_more_than_any_size_needs(spark, threshold):
+    def up(x, y):
+        return -(-x // y)
+
+    for n in range(1, 140):
+        for most in range(up(n * threshold, 100), n * 100 // threshold + 1):
+            bound = threshold * (100 * n - threshold * most) // (100 * (100 + threshold)) + 1
+            sizes = range(up(n * threshold, 100), most + 1)
+            assert bound <= min(up((n + m) * threshold, 100 + threshold) - up(m * threshold, 100) + 1 for m in sizes)
+
+
+def test_links_of_sets_of_95_and_99(table, monkeypatch):
+    words = [f"w{i}" for i in range(103)]
+    raw = " ".join(words).encode()
+    _, token = jaccard.sets_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 1)
+    rank = {w: np.searchsorted(token, jaccard.sets_of(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]), 1)[1])[0] for w in words}
+    words.sort(key=rank.get)
+    # the words of one text alone come first in the prefixes of the larger ones
+    rows = [(1, " ".join(words[8:])), (2, " ".join(words[1:100])), (3, " ".join(words[:100]))]
+    pairs = jaccard.leader_pairs
+
+    def without_smallest(postings, threshold):
+        every = postings.selectExpr("explode(arrays_zip(token, k1, k2, n)) e").select("e.*").where("n > 95")
+        lists = [f"collect_list({c}) {c}" for c in ("token", "k1", "k2", "n")]
+        by_token = every.repartition(1).sortWithinPartitions("token").selectExpr("0L _to", "*")
+        return pairs(by_token.groupBy("_to").agg(*[F.expr(x) for x in lists]), threshold)
+
+    monkeypatch.setattr(jaccard, "leader_pairs", without_smallest)
+    found = jaccard.joined(table(rows), 90, 1).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == classes(rows, 90, 1)
+    assert {r.component_id for r in found} == {1}
+
+
 def test_one_of_each_class_stays(table):
     rows = documents(3) + chain()
     stay = jaccard.one_of_each(table(rows), 80, 5)
