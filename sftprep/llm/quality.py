@@ -134,28 +134,23 @@ def certified_cutoffs(
     key: str = "doc_id",
     risk: float = 0.02,
     level: float = 0.05,
-    max_labels: int = 200_000,
     label_key: str | None = None,
 ) -> DataFrame:
     """One row per stratum and rule with a certified cutoff: stratum, rule, cutoff.
 
-    ``labels`` has ``key`` and ``quality`` (1 good, 0 bad).  ``max_labels`` bounds the
-    holdout: of more labelled documents a share is taken by the hash of their key.
-    A stratum appears only if it has enough good labels for a certificate, about
-    ``log(level) / log(1 - risk / rules)`` of them, which bounds the result's rows by
-    ``max_labels`` over that number (times the rules).
+    ``labels`` has ``key`` and ``quality`` (1 good, 0 bad).  Every labelled document
+    counts, whatever their number.  A stratum appears only if it has enough good labels
+    for a certificate, about ``log(level) / log(1 - risk / rules)`` of them.
     """
     id_ = label_key or key
     known = labels.where(F.col(id_).isNotNull() & F.col("quality").isNotNull())
     known = known.groupBy(F.col(id_).alias("_key")).agg(F.min("quality").alias("_good"))
-    share = max_labels / max(1, known.count())
-    taken = known.where(F.pmod(F.xxhash64("_key"), F.lit(1_000_000)) < 1_000_000 * share)
     judged = (
         measured.where(~base_failed())
         .select(
             F.col(key).alias("_key"), F.coalesce(F.col(stratum), F.lit("\0")).alias("stratum"), *RULES
         )
-        .join(taken.select("_key", "_good"), "_key")
+        .join(known, "_key")
     )
     pairs = F.array(
         *[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES]
@@ -255,15 +250,17 @@ def passing(
 
 
 def _cut_columns(cutoffs: DataFrame) -> DataFrame:
-    return cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(
+    """One row per certified stratum, written, so that Spark knows the size when it
+    chooses the join."""
+    cuts = cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(
         *[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]
     )
+    return stored(cuts, "quality-cutoffs")
 
 
 def _with_kept(measured: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
-    # certified strata only: their number has a bound, see certified_cutoffs
     joined = measured.withColumn("_stratum", F.coalesce(F.col(stratum), F.lit("\0"))).join(
-        F.broadcast(cuts), "_stratum", "left"
+        cuts, "_stratum", "left"
     )
     broken = F.lit(False)
     for rule in RULES:

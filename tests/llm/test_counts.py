@@ -289,6 +289,19 @@ def test_cutoffs_reject_bad_and_keep_good_documents(spark, table):
     assert unlabelled.where("kept").count() == 8001
 
 
+def test_every_label_counts(spark):
+    # 1500 good documents certify the small stratum's cutoffs, half of them would not
+    n = 400_000
+    lang = F.when(F.col("doc_id") < 1600, "small").otherwise("large")
+    bad = F.col("doc_id") % 16 == 0
+    measured = spark.range(n).select(F.col("id").alias("doc_id")).withColumns(
+        {"lang": lang, "n_words": F.lit(100), "n_repeat_words": F.lit(0), **{r: F.lit(0.0) for r in quality.RULES[1:]}}
+    ).withColumn("symbol_share", F.when(bad, 0.9).otherwise(0.0))
+    labels = measured.select("doc_id", (~bad).cast("int").alias("quality"))
+    found = quality.certified_cutoffs(measured, labels, "lang").collect()
+    assert sorted(map(tuple, found)) == [("large", "symbol_share", 0.8), ("small", "symbol_share", 0.8)]
+
+
 def test_fingerprints(table):
     rows = documents()
     found = fingerprints.with_edited_half(table(rows)).collect()
