@@ -11,15 +11,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh path (not yet created) below the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
 
-    Where no folder is set it lies in the warehouse, which is shared as well; never on
-    the local disk of one machine.
+    A session on one machine may leave it unset and gets one beside its warehouse; on a
+    cluster there is no folder that is known to be shared, so that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.conf.get("spark.sql.warehouse.dir") + "/intermediate"
-    return f"{base.rstrip('/')}/sftprep-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/intermediate"
+    return folder.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh path (not yet created) in the shared folder."""
+    return f"{shared_folder(spark)}/sftprep-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
