@@ -80,3 +80,15 @@ def dropped(*tables: DataFrame) -> None:
 def text_of(column: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which null equals null; ``on`` is kept once."""
+    if not on:
+        return left.join(F.broadcast(right), how=how)  # the sum over one group: one row
+    named = right.withColumnsRenamed({c: f"_right{i}" for i, c in enumerate(on)})
+    same = None
+    for i, c in enumerate(on):
+        one = left[c].eqNullSafe(named[f"_right{i}"])
+        same = one if same is None else same & one
+    return left.join(named, same, how).drop(*[f"_right{i}" for i in range(len(on))])

@@ -12,9 +12,13 @@ from sftprep.llm import (
     fingerprints,
     jaccard,
     lm,
+    merkle,
+    mixing,
+    oracles,
     packing,
     pieces,
     quality,
+    repair,
     secrets,
     substrings,
     suffixes,
@@ -83,6 +87,19 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, repeats=2)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.with_tampering(_table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = r"""
 with docs as (
     select doc_id, lang, coalesce(text, '') as text,
@@ -166,8 +183,13 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_source_mixing": op11_source_mixing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
     "op9_quality_rules": OP9_SQL,
+    "op11_source_mixing": oracles.MIXING,
+    "op13_merkle_manifest": oracles.MERKLE,
 }
