@@ -3,62 +3,60 @@
 A vocabulary is a table ``token, id, n, is_special``.  Ids follow the counts, so
 a low id is a frequent token.
 
-Translating works row by row with no shuffle while the vocabulary is at most
-``LOOKUP_ROWS`` long (checked on each call): it is turned into one hash table
-value that every task gets, and looked up inside the array expression.  A longer
-vocabulary has its most frequent ``LOOKUP_ROWS`` entries handled the same way.
-Only the remaining, rare tokens are joined on the shuffled token, where none of
-them is frequent enough to make a hot key.
+Translating keeps every row where it is.  The entries with the lowest ids are turned into
+one hash table value that every task gets, and looked up inside the array expression;
+they are at most ``LOOKUP_ROWS`` entries of at most ``LOOKUP_BYTES`` bytes each, whatever
+the vocabulary.  When it has more entries, each row's remaining distinct elements are
+joined with them, come back as one small map for the row, and are looked up there.  An
+element's place in the array, and the row's other columns, have no part in the join, so
+neither a row key nor any order is needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.scratch import settle
-from .keys import Key, key_columns
-from .ranks import value_at_rank
+from .positions import numbered
 
-LOOKUP_ROWS = 1 << 18
-MAX_VOCABULARY = 1 << 22
-# With more distinct tokens than this, the rare ones are filtered out before the
-# rest is brought together and numbered.
-SORTED_TOKENS = 1 << 22
-# Hex digits of a count, and of the count and token by which tokens are ranked.
-COUNT_DIGITS = 12
+# Entries that are looked up in the row expression, and their longest token in bytes:
+# 24 MB at most (tokens of a usual vocabulary have 6 bytes on average).
+LOOKUP_ROWS, LOOKUP_BYTES = 1 << 18, 96
+# An element that makes up more than this share of those that are joined is looked up too.
+HOT_SHARE, HOT_BYTES = 1 / 1000, 4096
+# The map of a row is searched in so many parts.
+MAP_PARTS = 64
 
 
 def build_vocab(
     df: DataFrame,
     column: str = "tokens",
     specials: Sequence[str] = (),
-    max_size: int = 50_000,
+    max_size: int | None = None,
 ) -> DataFrame:
     """Vocabulary of the tokens in an array column: the specials in the order
-    given, then the most frequent tokens, ties in token order, ``max_size`` in all.
+    given, then all other tokens by falling count, ties in token order.  ``max_size``
+    is the number of entries to keep, specials included.
 
-    Counting runs on the call and its result is written to the shared folder.  It
-    combines on the map side, so a token that fills a third of the table reaches
-    the shuffle as one row per task.
+    Counting and numbering run on the call and their results are written to the shared
+    folder.  Counting combines on the map side, so a token that fills a third of the
+    table reaches the shuffle as one row per task.  Ids are given by a range-partitioned
+    sort, whose tasks number their own tokens; no task sees the whole vocabulary.
     """
     specials = list(specials)
-    if not len(specials) <= max_size <= MAX_VOCABULARY:
-        raise ValueError(f"max_size must lie between {len(specials)} and {MAX_VOCABULARY}")
+    if max_size is not None and max_size < len(specials):
+        raise ValueError(f"max_size must be {len(specials)} at least")
     # explode_outer: plain explode would have the tokens computed again in a filter
     tokens = df.select(F.explode_outer(column).alias("token")).filter(F.col("token").isNotNull())
     if specials:
         tokens = tokens.filter(~F.col("token").isin(specials))
     counts = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    room = max_size - len(specials)
-    by_count = [F.desc("n"), F.asc("token")]
-    top = _most_frequent(counts, room).orderBy(*by_count).limit(room)
-    # the window sees the at most max_size rows of the line above
-    rank = F.row_number().over(Window.orderBy(*by_count)) + (len(specials) - 1)
-    learned = top.select(
-        "token", rank.cast("int").alias("id"), "n", F.lit(False).alias("is_special")
-    )
+    ranked = numbered(counts, [F.desc("n"), F.asc("token")], "id", first=len(specials))
+    if max_size is not None:
+        ranked = ranked.filter(F.col("id") < max_size)
+    learned = ranked.select("token", F.col("id").cast("int").alias("id"), "n", F.lit(False).alias("is_special"))
     if not specials:
         return learned
     given = df.sparkSession.createDataFrame(
@@ -67,17 +65,6 @@ def build_vocab(
     return given.unionByName(learned)
 
 
-def _most_frequent(counts: DataFrame, n: int) -> DataFrame:
-    """The n most frequent tokens of a long table: a filter, nothing is sorted."""
-    if n == 0 or counts.count() <= SORTED_TOKENS:
-        return counts
-    # hex digits in the order of the ranking: falling counts, then rising tokens
-    falling = F.lit(16**COUNT_DIGITS - 1).cast("long") - F.col("n")
-    rank = F.concat(F.lpad(F.hex(falling), COUNT_DIGITS, "0"), F.hex("token"))
-    cut = value_at_rank(counts, rank, lambda rows: n, max_digits=1 << 20)
-    return counts if cut is None else counts.filter(rank <= cut.value)
-
-
 def special_id(vocab: DataFrame, token: str) -> DataFrame:
     """The id of one special token, as a table of one row."""
     return vocab.filter(F.col("is_special") & (F.col("token") == token)).select("token", "id")
@@ -89,13 +76,17 @@ def encode(
     column: str = "tokens",
     out: str = "input_ids",
     unknown: int | None = None,
-    key: Key | None = None,
+    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
-    """Tokens to ids.  A token that is not in the vocabulary becomes ``unknown``,
-    or is left out when that is None.  ``key`` names the row key; it is needed
-    only for vocabularies beyond ``LOOKUP_ROWS``."""
-    pairs = vocab.select(F.col("token").alias("from"), F.col("id").alias("to"), "id")
-    return _translate(df, pairs, column, out, unknown, key)
+    """Tokens to ids.  A token that is not in the vocabulary, and a null, becomes
+    ``unknown``, or is left out when that is None; a null array stays null.
+
+    For a vocabulary of more than ``lookup_rows`` entries the rows are written to the
+    shared folder on the call."""
+    pairs = vocab.select(
+        F.col("token").alias("from"), F.col("id").alias("to"), "id", F.octet_length("token").alias("bytes")
+    )
+    return _translate(df, pairs, column, out, unknown, lookup_rows)
 
 
 def decode(
@@ -104,37 +95,41 @@ def decode(
     column: str = "input_ids",
     out: str = "text",
     skip_special: bool = True,
-    key: Key | None = None,
+    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Ids to text, without the special tokens unless asked for."""
     if skip_special:
         vocab = vocab.filter(~F.col("is_special"))
-    pairs = vocab.select(F.col("id").alias("from"), F.col("token").alias("to"), "id")
-    tokens = _translate(df, pairs, column, "_decoded", None, key)
+    pairs = vocab.select(
+        F.col("id").alias("from"), F.col("token").alias("to"), "id", F.octet_length("token").alias("bytes")
+    )
+    tokens = _translate(df, pairs, column, "_decoded", None, lookup_rows)
     return tokens.withColumn(out, F.array_join("_decoded", "")).drop("_decoded")
 
 
 def _translate(
-    df: DataFrame,
-    pairs: DataFrame,
-    column: str,
-    out: str,
-    default: int | None,
-    key: Key | None,
+    df: DataFrame, pairs: DataFrame, column: str, out: str, default: int | None, lookup_rows: int
 ) -> DataFrame:
     """Map the elements of an array column through the table ``from, to``."""
-    if pairs.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS:
-        mapped = _looked_up(df, pairs, column, out, default)
-        return mapped if default is not None else mapped.withColumn(out, F.array_compact(out))
-    if key is None:
-        raise ValueError("a key is needed for a vocabulary of this size")
-    return _translate_large(df, pairs, column, out, default, key_columns(key))
+    low = (F.col("id") < lookup_rows) & (F.col("bytes") <= LOOKUP_BYTES)
+    low_pairs = pairs.filter(low).select("from", "to")
+    rest = pairs.filter(~low).select("from", "to")
+    if rest.isEmpty():
+        mapped = _looked_up(df, low_pairs, column, out, default)
+    else:
+        mapped = _joined(df, low_pairs, rest, column, out, default)
+    return mapped if default is not None else mapped.withColumn(out, F.array_compact(out))
 
 
 def _looked_up(
-    df: DataFrame, pairs: DataFrame, column: str, out: str, default: int | None = None
+    df: DataFrame,
+    pairs: DataFrame,
+    column: str,
+    out: str,
+    default: int | None = None,
+    slots: int = 1 << 16,
 ) -> DataFrame:
-    """Map through a hash table of at most ``LOOKUP_ROWS`` pairs; no shuffle of df.
+    """Map through a hash table of a bounded number of pairs; no shuffle of df.
 
     The table is the value of a scalar subquery.  It must be folded into the one
     expression that uses it and never become a column of the rows, which would
@@ -142,7 +137,6 @@ def _looked_up(
     of the lower is used twice by the upper.  So the array, which may be such an
     expression, is used once: if it is to be kept, it travels with its image.
     """
-    slots = 1 << 16
 
     def slot(value: Column | str) -> Column:
         return F.pmod(F.xxhash64(value), F.lit(slots)).cast("int")
@@ -176,36 +170,44 @@ def _looked_up(
     )
 
 
-def _translate_large(
-    df: DataFrame,
-    pairs: DataFrame,
-    column: str,
-    out: str,
-    default: int | None,
-    keys: list[str],
+def _joined(
+    df: DataFrame, low: DataFrame, rest: DataFrame, column: str, out: str, default: int | None
 ) -> DataFrame:
-    """Frequent elements by lookup, the rest by a join, regrouped per row.
-
-    Ids are unique, so fewer than ``LOOKUP_ROWS`` pairs have an id below it.
-    """
-    frequent = pairs.filter(F.col("id") < LOOKUP_ROWS)
-    rare = pairs.filter(F.col("id") >= LOOKUP_ROWS).select("from", "to")
-    first = _looked_up(df.select(*keys, column), frequent, column, "_to")
-    each = first.select(
-        *keys, F.posexplode_outer(F.arrays_zip(F.col(column).alias("from"), F.col("_to").alias("to")))
-    ).select(*keys, "pos", F.col("col.from").alias("from"), F.col("col.to").alias("to"))
-    known = each.filter(F.col("to").isNotNull()).select(*keys, "pos", "to")
-    joined = each.filter(F.col("to").isNull() & F.col("from").isNotNull()).drop("to").join(
-        rare, "from", "left"
+    """Map elements through ``low`` by lookup and through ``rest`` by a join of each
+    row's distinct remaining elements."""
+    numbered_rows = df.withColumn("_row", F.monotonically_increasing_id())
+    first = settle(_looked_up(numbered_rows, low, column, "_to"))
+    kind = rest.schema["from"].dataType
+    missing = F.filter(
+        F.arrays_zip(F.col(column).cast(f"array<{kind.simpleString()}>").alias("from"), F.col("_to").alias("to")),
+        lambda e: e["from"].isNotNull() & e["to"].isNull(),
+    )
+    asked = first.select("_row", F.explode(F.array_distinct(F.transform(missing, lambda e: e["from"]))).alias("from"))
+    # one row for each distinct element from here to the join, so none of them is hot there
+    counts = settle(asked.groupBy("from").agg(F.count(F.lit(1)).alias("rows")).join(rest, "from", "left"))
+    limit = (counts.agg(F.sum("rows")).first()[0] or 0) * HOT_SHARE
+    # at most 1 / HOT_SHARE elements, those that no entry has among them; a longer one that
+    # is hot is left to the join, where adaptive execution splits its partition
+    short = F.octet_length(F.col("from").cast("string")) <= HOT_BYTES
+    hot = counts.filter((F.col("rows") > limit) & short)
+    known = counts.join(hot.select("from"), "from", "left_anti").filter(F.col("to").isNotNull())
+    # entries of a row, in parts by hash: a search in a map looks at one entry after the other
+    each = asked.join(known.select("from", "to"), "from").repartition("_row")
+    part = F.pmod(F.xxhash64("from"), F.lit(MAP_PARTS)).cast("int")
+    parts = each.groupBy("_row", part.alias("_part")).agg(
+        F.map_from_entries(F.collect_list(F.struct("from", "to"))).alias("_entries")
     )
-    to = F.col("to") if default is None else F.coalesce("to", F.lit(default))
-    found = joined.select(*keys, "pos", to.alias("to")).filter(F.col("to").isNotNull())
-    rows = known.unionByName(found).groupBy(*keys).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "to"))), lambda p: p["to"]
-        ).alias("_all")
+    maps = parts.groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("_part", "_entries"))).alias("_own")
     )
-    back = df.join(rows, keys, "left")
-    empty = F.when(F.col(column).isNotNull(), F.array().cast(rows.schema["_all"].dataType))
-    others = [c for c in df.columns if c != out]
-    return back.select(*others, F.coalesce("_all", empty).alias(out))
+    hot_to = _looked_up(first, hot.filter(F.col("to").isNotNull()).select("from", "to"), column, "_hot", slots=1 << 10)
+    back = hot_to.join(maps, "_row", "left")
+
+    def find(element: Column, at: Column) -> Column:
+        element = element.cast(kind)
+        own = F.col("_own")[F.pmod(F.xxhash64(element), F.lit(MAP_PARTS)).cast("int")][element]
+        found = F.coalesce(F.get("_to", at), F.get("_hot", at), own)
+        return found if default is None else F.coalesce(found, F.lit(default))
+
+    kept = [c for c in df.columns if c != out]
+    return back.select(*kept, F.transform(column, find).alias(out))

@@ -77,7 +77,7 @@ def encoded_texts(
     """Render and encode: the key and ``input_ids`` of full length."""
     tokens = tokenize(training_text(style)).alias("input_ids")
     rows = examples.select(*key_columns(key), tokens)
-    ids = encode(rows, vocab, "input_ids", "input_ids", unknown, key)
+    ids = encode(rows, vocab, "input_ids", "input_ids", unknown)
     return ids if eos is None else ids.withColumn("input_ids", append_eos("input_ids", eos))
 
 

@@ -1,10 +1,12 @@
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import sftprep as S
-from sftprep.operators import ranks, vocabulary
+from sftprep.operators import vocabulary
 
 
 def optimized(df):
@@ -100,14 +102,26 @@ def test_vocabulary_size(tokens):
         S.build_vocab(tokens, "tokens", ["a", "b"], 1)
 
 
-@pytest.mark.parametrize("few, size", [(3, 3), (3, 5), (0, 8), (10_000, 2), (10_000, 9), (10_000, 50)])
-def test_many_distinct_tokens(tokens, vocab, monkeypatch, few, size):
-    monkeypatch.setattr(vocabulary, "SORTED_TOKENS", 0)
-    monkeypatch.setattr(ranks, "FEW_ROWS", few)
+@pytest.mark.parametrize("size", [2, 3, 5, 9, 50])
+def test_smaller_vocabulary_is_the_start_of_a_larger(tokens, vocab, size):
     got = S.build_vocab(tokens, "tokens", ["<unk>", "<eos>"], size).orderBy("id").collect()
     assert got == vocab.orderBy("id").limit(size).collect()
 
 
+def test_vocabulary_in_many_ranges(spark):
+    """Ids from many tasks are the ranks of all tokens together."""
+    words = [f"w{i % 700}" for i in range(3000)] + ["x"] * 50
+    df = spark.createDataFrame([(words[i::20],) for i in range(20)], "tokens array<string>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = S.build_vocab(df, "tokens", ["<unk>"]).orderBy("id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    counts = Counter(words)
+    order = sorted(counts, key=lambda t: (-counts[t], t.encode()))
+    assert [(r["token"], r["id"]) for r in rows] == list(zip(["<unk>", *order], range(702), strict=True))
+
+
 def test_vocabulary_tokenizes_once(tokens, monkeypatch):
     plans = []
     monkeypatch.setattr(vocabulary, "settle", lambda df: plans.append(optimized(df)) or df)
@@ -124,46 +138,85 @@ def decoded(df, vocab, **kwargs):
     return {r["k"]: r["text"] for r in S.decode(df, vocab, **kwargs).collect()}
 
 
-@pytest.fixture(params=["lookup", "join"])
-def size(request, monkeypatch):
-    """Both ways of translating: the second has only five entries looked up."""
-    if request.param == "join":
-        monkeypatch.setattr(vocabulary, "LOOKUP_ROWS", 5)
+#: Both ways of translating: with two only, the first entries are looked up.
+SIZES = pytest.mark.parametrize("size", [vocabulary.LOOKUP_ROWS, 5, 2, 0])
 
 
+@SIZES
 def test_round_trip(tokens, vocab, size):
-    ids = S.encode(tokens, vocab, key="k")
+    ids = S.encode(tokens, vocab, lookup_rows=size)
     assert ids.columns == ["k", "tokens", "input_ids"]
-    assert decoded(ids, vocab, key="k") == dict(enumerate(TEXTS))
-    over = S.encode(tokens, vocab, out="tokens", key="k")
+    assert decoded(ids, vocab, lookup_rows=size) == dict(enumerate(TEXTS))
+    over = S.encode(tokens, vocab, out="tokens", lookup_rows=size)
     assert over.columns == ["k", "tokens"]
-    assert decoded(over.withColumnRenamed("tokens", "input_ids"), vocab, key="k") == dict(
-        enumerate(TEXTS)
-    )
+    back = over.withColumnRenamed("tokens", "input_ids")
+    assert decoded(back, vocab, lookup_rows=size) == dict(enumerate(TEXTS))
 
 
+@SIZES
 def test_unknown_tokens(spark, vocab, size):
     df = spark.createDataFrame([(1, ["the", "new", "cat", None])], "k bigint, tokens array<string>")
     of = {r["token"]: r["id"] for r in vocab.collect()}
-    assert S.encode(df, vocab, unknown=0, key="k").first()["input_ids"][:3] == [
-        of["the"], 0, of["cat"],
-    ]
-    assert S.encode(df.withColumn("tokens", F.slice("tokens", 1, 3)), vocab, key="k").first()[
-        "input_ids"
-    ] == [of["the"], of["cat"]]
+    with_unknown = S.encode(df, vocab, unknown=0, lookup_rows=size).first()["input_ids"]
+    assert with_unknown == [of["the"], 0, of["cat"], 0]
+    assert S.encode(df, vocab, lookup_rows=size).first()["input_ids"] == [of["the"], of["cat"]]
+
 
+@SIZES
+@pytest.mark.parametrize("unknown", [None, 99])
+def test_rows_without_a_key(spark, size, unknown):
+    """Rows of one key, null keys, null and repeated tokens, null and empty arrays."""
+    vocab = spark.createDataFrame(
+        [(c, i, 9 - i, False) for i, c in enumerate("abcdefgh")], "token string, id int, n long, is_special boolean"
+    )
+    rows = [
+        (1, ["a", "h", "h", "q"]), (1, ["b", "g"]), (None, ["c", "f"]), (None, None), (2, [None, "a"]),
+        (2, []), (3, ["h"] * 5 + ["q"] * 5), (3, ["h"] * 5 + ["q"] * 5),
+    ]
+    df = spark.createDataFrame(rows, "k int, tokens array<string>").repartition(3)
+
+    def ids(tokens):
+        if tokens is None:
+            return None
+        found = [unknown if t is None or t not in "abcdefgh" else ord(t) - 97 for t in tokens]
+        return [i for i in found if i is not None]
+
+    got = S.encode(df, vocab, unknown=unknown, lookup_rows=size).select("k", "input_ids").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((k, ids(t))) for k, t in rows)
+
+
+def test_hot_elements_are_looked_up(spark, monkeypatch):
+    """One that most rows have, known or not, is no key of the join."""
+    monkeypatch.setattr(vocabulary, "HOT_SHARE", 0.1)
+    vocab = spark.createDataFrame(
+        [(f"t{i}", i, 1, False) for i in range(300)], "token string, id int, n long, is_special boolean"
+    )
+    rows = [(i, ["t299", f"t{i}", "new"]) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, tokens array<string>")
+    ids = S.encode(df, vocab, unknown=-1, lookup_rows=10)
+    assert {r["k"]: r["input_ids"] for r in ids.collect()} == {i: [299, i, -1] for i, _ in rows}
 
+
+def test_long_rows(spark):
+    """Many different rare tokens in one row."""
+    n = 20_000
+    vocab = spark.range(n).selectExpr(
+        "concat('t', id) as token", "cast(id as int) as id", "1L as n", "false as is_special"
+    )
+    tokens = [f"t{(7 * i) % n}" for i in range(n)] + ["t19999"]
+    df = spark.createDataFrame([(tokens,)], "tokens array<string>")
+    ids = S.encode(df, vocab, unknown=-1, lookup_rows=100)
+    assert ids.first()["input_ids"] == [int(t[1:]) for t in tokens]
+    text = S.decode(ids, vocab, lookup_rows=100)
+    assert text.first()["text"] == "".join(tokens)
+
+
+@SIZES
 def test_skip_special(spark, vocab, size):
     of = {r["token"]: r["id"] for r in vocab.collect()}
     df = spark.createDataFrame([(1, [of["the"], 1, 0, of["zz"]])], "k bigint, input_ids array<int>")
-    assert decoded(df, vocab, key="k") == {1: "thezz"}
-    assert decoded(df, vocab, skip_special=False, key="k") == {1: "the<eos><unk>zz"}
-
-
-def test_large_vocabulary_needs_a_key(tokens, vocab, monkeypatch):
-    monkeypatch.setattr(vocabulary, "LOOKUP_ROWS", 5)
-    with pytest.raises(ValueError):
-        S.encode(tokens, vocab)
+    assert decoded(df, vocab, lookup_rows=size) == {1: "thezz"}
+    assert decoded(df, vocab, skip_special=False, lookup_rows=size) == {1: "the<eos><unk>zz"}
 
 
 @pytest.mark.parametrize(
