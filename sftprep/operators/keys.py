@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 Key = str | Sequence[str]
 
@@ -31,9 +32,49 @@ def row_hash(df: DataFrame) -> Column:
 
     JSON keeps names and nulls apart but shortens timestamps; the second hash is taken
     from the values as they are, to the microsecond and to the last bit of a float.
+    Maps count as their entries in the order of the keys, so equal maps are equal here
+    however they were built.
     """
-    exact = F.xxhash64(*df.columns).cast("string")
-    return F.md5(F.concat(F.to_json(F.struct(*df.columns)), F.lit("\x1f"), exact))
+    columns = [_comparable(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema]
+    hashed = [
+        c for c, f in zip(columns, df.schema, strict=True) if f.dataType.typeName() != "variant"
+    ]
+    exact = F.xxhash64(*hashed).cast("string") if hashed else F.lit("")
+    return F.md5(F.concat(F.to_json(F.struct(*columns)), F.lit("\x1f"), exact))
+
+
+def _comparable(value: Column, kind: DataType) -> Column:
+    """The value with sorted lists of entries in the place of maps, at any depth."""
+    if not _has_map(kind):
+        return value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _comparable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = [_comparable(value[f.name], f.dataType).alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+
+    def entry(e: Column) -> Column:
+        return F.struct(
+            _comparable(e["key"], kind.keyType).alias("key"),
+            _comparable(e["value"], kind.valueType).alias("value"),
+        )
+
+    return F.array_sort(F.transform(F.map_entries(value), entry))
+
+
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, MapType)
+
+
+def seeded_order(df: DataFrame, key: Key, seed: int | str) -> list[Column]:
+    """What the seeded order sorts by: the hash of the key, then the content of rows that
+    share one.  Rows that are equal in both are copies of one row."""
+    only_key = set(df.columns) <= set(key_columns(key))
+    return [order_hash(key, seed), *([] if only_key else [row_hash(df)])]
 
 
 def repeat_rows(df: DataFrame, copies: str, number: str) -> DataFrame:

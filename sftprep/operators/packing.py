@@ -1,31 +1,28 @@
 """Packing many short id sequences into full blocks of one length.
 
 The rows form a single id stream in seeded order, and block b is the b-th run of
-``length`` ids of it.  No step looks at the whole stream.  Rows are put in up to
-16 ** 6 buckets by a prefix of their hash.  The totals of the buckets give each
-bucket its start in the stream, a running sum inside the bucket gives each row
-its own.  Rows are then cut into pieces at block borders, and the pieces, at most
-``length`` per block, are put together.
+``length`` ids of it.  No step looks at the whole stream.  The rows are sorted in
+ranges; each task adds up the ids before each of its rows, and the totals of the tasks,
+one number each, give a task its start in the stream.  Rows are then cut into pieces at
+block borders, and the pieces, at most ``length`` per block, are put together.
 
-The ids are shuffled twice: to the buckets and to the blocks.
+The ids are shuffled twice: by the sort and to the blocks.  Rows that share a key, or
+copies of one row, are dealt over as many tasks as other rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tokens import append_eos
 from ..sources.scratch import settle
-from .keys import Key, key_columns, order_hash, repeat_rows
-
-# A bucket should hold few rows (a window buffers them) but the table of buckets
-# must stay small beside the rows: 6 digits give some 6,000 rows per bucket for
-# 10 ** 11 rows.
-BUCKET_DIGITS = 6
-# Buckets are summed up in groups by this shorter prefix: 65,536 at most.
-GROUP_DIGITS = 4
-# More rows than this in a bucket, and four times the mean, tell of repeated keys.
-HOT_BUCKET_ROWS = 100_000
+from .keys import Key, key_columns, order_hash
+from .positions import in_ranges, starts
 
 
 def pack(
@@ -35,89 +32,51 @@ def pack(
     seed: int | str,
     sep: int | None = None,
     column: str = "input_ids",
+    drop_last: bool = True,
 ) -> DataFrame:
-    """Blocks ``block, input_ids`` of exactly ``length`` ids; the short rest at
-    the end of the stream is dropped.  ``sep`` is appended to every row first.
-
-    The id column is read by two passes, the first of which runs on the call; so
-    give a written table when making it is costly.  Rows that share a key follow
-    each other in the order of their ids.  Should one key have so many rows that
-    its bucket would become a hot spot, the order is drawn anew, with the content
-    and a copy number in the key, which spreads them.
+    """Blocks ``block, input_ids`` of exactly ``length`` ids; the short rest at the end
+    of the stream is dropped, or kept as a last block with ``drop_last=False``.
+    ``sep`` is appended to every row first.
+
+    The rows are sorted and written to the shared folder on the call.  Rows that share
+    a key follow each other in the order of the md5 of their ids.
     """
     if length < 1:
         raise ValueError("length must be positive")
     keys = key_columns(key)
-    rows, totals = _bucketed(df.select(*keys, F.col(column).alias("_ids")), keys, seed, sep)
-    if _is_hot(totals):
-        counted = df.groupBy(*keys, F.col(column).alias("_ids")).agg(
-            F.count(F.lit(1)).alias("_copies")
-        )
-        keys = [*keys, "_content", "_copy"]
-        content = F.md5(F.array_join("_ids", ","))
-        spread = repeat_rows(counted.withColumn("_content", content), "_copies", "_copy")
-        rows, totals = _bucketed(spread, keys, seed, sep)
-    return _blocks(_located(rows, totals, keys), length)
-
-
-def _bucketed(
-    df: DataFrame, keys: list[str], seed: int | str, sep: int | None
-) -> tuple[DataFrame, DataFrame]:
-    """The rows with their bucket and size, and the written totals per bucket."""
-    order = order_hash(keys, seed)
-    ids = F.col("_ids") if sep is None else append_eos("_ids", sep)
-    rows = df.select(
-        *keys,
-        order.alias("_hash"),
-        F.substring(order, 1, BUCKET_DIGITS).alias("_bucket"),
-        ids.alias("_ids"),
-        F.coalesce(F.size("_ids") + (0 if sep is None else 1), F.lit(0)).cast("long").alias("_size"),
-    )
-    totals = rows.groupBy("_bucket").agg(
-        F.sum("_size").alias("_total"), F.count(F.lit(1)).alias("_rows")
-    )
-    return rows, settle(totals)
-
-
-def _is_hot(totals: DataFrame) -> bool:
-    most, rows = totals.agg(F.max("_rows"), F.sum("_rows")).first()
-    return most is not None and most > max(HOT_BUCKET_ROWS, 4 * rows / 16**BUCKET_DIGITS)
-
-
-def _starts(totals: DataFrame) -> DataFrame:
-    """Where each bucket starts in the stream: the total of all groups before its
-    own (a window over 65,536 rows at most) and of the buckets before it inside."""
-    grouped = totals.select("*", F.substring("_bucket", 1, GROUP_DIGITS).alias("_group"))
-    groups = grouped.groupBy("_group").agg(F.sum("_total").alias("_total"))
-
-    def before(window) -> Column:
-        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_total").over(earlier), F.lit(0))
-
-    bases = groups.select("_group", before(Window.orderBy("_group")).alias("_base"))
-    inside = before(Window.partitionBy("_group").orderBy("_bucket"))
-    # bases has 16 ** GROUP_DIGITS rows at most, whatever the size of the data
-    return grouped.withColumn("_inside", inside).join(F.broadcast(bases), "_group").select(
-        "_bucket", (F.col("_base") + F.col("_inside")).alias("_start")
+    ids = F.col(column) if sep is None else append_eos(F.col(column), sep)
+    # a row without ids has no part in the stream
+    rows = df.select(*keys, ids.alias("_ids")).filter(F.size("_ids") > 0)
+    order = [order_hash(keys, seed), F.md5(F.array_join("_ids", ","))]
+    summed = in_ranges(rows, order).select("_ids").mapInArrow(
+        _summed, "_ids array<int>, _inside long, _size long, _task int"
     )
+    return _blocks(_located(settle(summed)), length, drop_last)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one task with the number of ids before them in the task."""
+    task, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column(0)).cast(pa.int64())
+        inside = pc.add(pc.subtract(pc.cumulative_sum(sizes), sizes), before)
+        before += pc.sum(sizes).as_py() or 0
+        tasks = pa.array([task] * len(batch), pa.int32())
+        yield pa.record_batch(
+            [batch.column(0), inside, sizes, tasks], ["_ids", "_inside", "_size", "_task"]
+        )
 
 
-def _located(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with the stream positions of their first and last id.
-
-    The window has the rows partitioned by bucket, so the join shuffles only the
-    bucket starts, if it does not broadcast them for being small.
-    """
-    inside = Window.partitionBy("_bucket").orderBy("_hash", *keys, "_ids")
-    upto = F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = rows.withColumn("_upto", upto).join(_starts(totals), "_bucket")
-    end = F.col("_start") + F.col("_upto")
-    return placed.select(
-        "_ids", (end - F.col("_size")).alias("_first"), (end - 1).alias("_last")
-    )
+def _located(rows: DataFrame) -> DataFrame:
+    """Rows with the stream positions of their first and last id."""
+    totals = rows.groupBy("_task").agg(F.sum("_size").alias("_total"))
+    # one row for each task of the sort
+    placed = rows.join(F.broadcast(starts(totals, "_total")), "_task")
+    first = F.col("_start") + F.col("_inside")
+    return placed.select("_ids", first.alias("_first"), (first + F.col("_size") - 1).alias("_last"))
 
 
-def _blocks(located: DataFrame, length: int) -> DataFrame:
+def _blocks(located: DataFrame, length: int, drop_last: bool) -> DataFrame:
     first, last = F.col("_first"), F.col("_last")
 
     def piece(block: Column) -> Column:
@@ -129,9 +88,8 @@ def _blocks(located: DataFrame, length: int) -> DataFrame:
     def block_of(position: Column) -> Column:
         return F.call_function("div", position, F.lit(length))
 
-    # A row without ids has no block (sequence would run backwards).  Outer, as
-    # the filter that a plain explode brings along would compute the pieces twice.
-    touched = F.when(first <= last, F.sequence(block_of(first), block_of(last)))
+    # outer, as the filter that a plain explode brings along would compute the pieces twice
+    touched = F.sequence(block_of(first), block_of(last))
     pieces = located.select(F.explode_outer(F.transform(touched, piece)).alias("p")).filter(
         F.col("p").isNotNull()
     )
@@ -140,4 +98,5 @@ def _blocks(located: DataFrame, length: int) -> DataFrame:
         F.sum(F.size("p.ids")).alias("_size"),
         F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("input_ids"),
     )
-    return blocks.filter(F.col("_size") == length).select("block", "input_ids")
+    full = blocks.filter(F.col("_size") == length) if drop_last else blocks
+    return full.select("block", "input_ids")

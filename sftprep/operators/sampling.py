@@ -2,7 +2,8 @@
 
 Samples and splits never sort the table.  They look up the hash of the n-th row by
 counting rows per hash prefix (reading only the key columns), and then keep or
-mark rows by comparing with that one value, which needs no shuffle.
+mark rows by comparing with that one value, which needs no shuffle.  The order is the
+same whatever the number of rows: by hash of the key, then by content.
 """
 
 from __future__ import annotations
@@ -12,63 +13,83 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..sources.tables import SPLIT
-from .keys import Key, key_columns, order_hash, repeat_rows, row_hash
+from .keys import Key, key_columns, order_hash, row_hash, seeded_order
+from .positions import counted_off, in_ranges, numbered
 from .ranks import value_at_rank
 
-# A sample of this many rows or fewer comes back in order.
-ORDERED_ROWS = 10_000
+# A limit of this many rows or fewer may bring them to one task.
+ONE_TASK_ROWS = 10_000
 # Past this many hash digits, only equal keys still share a prefix.
 MAX_DIGITS = 14
 
 
-def shuffle_by_hash(df: DataFrame, key: Key, seed: int | str) -> DataFrame:
-    """All rows in seeded random order (a range-partitioned sort).  Rows that
-    share a key are ordered by their other columns."""
-    keys = key_columns(key)
-    rest = [f.name for f in df.schema if f.name not in keys and _sortable(f.dataType)]
-    return df.orderBy(order_hash(key, seed), *keys, *rest)
+def shuffle_by_hash(
+    df: DataFrame, key: Key, seed: int | str, position: str | None = None
+) -> DataFrame:
+    """All rows in seeded random order (a range-partitioned sort).  Rows that share a
+    key are ordered by a hash of their content.
+
+    ``position`` names a column for each row's place, counted from 0; with it the
+    table is written to the shared folder on the call."""
+    order = seeded_order(df, key, seed)
+    if position is None:
+        return in_ranges(df, order)
+    return numbered(df, order, position)
 
 
 def take_n(df: DataFrame, n: int, strict: bool = True) -> DataFrame:
-    """The first n rows of an ordered table.
+    """The first n rows of an ordered table, in that order.
 
-    Rows beyond the end raise when ``strict`` (this counts the table); otherwise
-    all rows come back.  Every task may send n rows to a last one, so for a random
-    sample of a large table use :func:`sample_n`.
+    Rows beyond the end raise when ``strict`` (this counts the table); otherwise all
+    rows come back.  A few rows are taken by a plain limit, which brings them to one
+    task.  More are not: every task writes its first n rows at most to the shared
+    folder, the tasks' row counts tell how many of these each has to give, and the
+    rows that are left are put in order again.
     """
     _check_count(n)
     if strict and (rows := df.count()) < n:
         raise ValueError(f"asked for {n} rows of {rows}")
-    return df.limit(n)
+    if n <= ONE_TASK_ROWS:
+        return df.limit(n)
+    return counted_off(df, "_nth", most=n).filter(F.col("_nth") < n).orderBy("_nth").drop("_nth")
 
 
 def sample_n(
-    df: DataFrame, key: Key, n: int, seed: int | str, strict: bool = True
+    df: DataFrame,
+    key: Key,
+    n: int,
+    seed: int | str,
+    strict: bool = True,
+    ordered: bool = True,
+    position: str | None = None,
 ) -> DataFrame:
-    """The first n rows of the seeded order.  Up to ``ORDERED_ROWS`` rows come back
-    in that order; a larger sample is a filter and keeps the table's own order.
+    """The first n rows of the seeded order, in that order.  With ``ordered=False``
+    they keep the table's own order, and nothing is sorted or moved.
 
     The hash of the n-th row is looked up first, so that no task sends on n rows
     of its own (as a plain top-k would) but only rows of the sample are moved.
+    ``position`` names a column for the place in the order, as in
+    :func:`shuffle_by_hash`.
     """
     _check_count(n)
     if n == 0:
-        return df.limit(0)
-    cut = _cut(df, key, seed, lambda rows: n)
-    if cut is None:
-        if strict:
-            raise ValueError(f"asked for {n} rows of {df.count()}")
-        sample = df
-    elif cut.keep == cut.size:
-        sample = df.filter(cut.upto)
+        sample = df.limit(0)
     else:
-        sample = df.filter(cut.before).unionByName(_copies(df, cut, cut.keep))
-    if n > ORDERED_ROWS:
+        cut = _cut(df, key, seed, lambda rows: n)
+        if cut is None:
+            if strict:
+                raise ValueError(f"asked for {n} rows of {df.count()}")
+            sample = df
+        elif cut.keep == cut.size:
+            sample = df.filter(cut.upto)
+        else:
+            tied = _tied(df, cut).filter(F.col("_nth") < cut.keep).drop("_nth")
+            sample = df.filter(cut.before).unionByName(tied)
+    if position is None and not ordered:
         return sample
-    return shuffle_by_hash(sample, key, seed).limit(n)
+    return shuffle_by_hash(sample, key, seed, position)
 
 
 def train_test_split(
@@ -99,11 +120,8 @@ def train_test_split(
 
     if cut.keep == cut.size:
         return marked(df, cut.upto)
-    return (
-        marked(df.filter(~cut.group), cut.before)
-        .unionByName(marked(_copies(df, cut, cut.keep), F.lit(True)))
-        .unionByName(marked(_copies(df, cut, cut.size - cut.keep), F.lit(False)))
-    )
+    others = marked(df.filter(~cut.group), cut.before)
+    return others.unionByName(marked(_tied(df, cut), F.col("_nth") < cut.keep).drop("_nth"))
 
 
 def row_at(df: DataFrame, key: Key, i: int, seed: int | str) -> DataFrame:
@@ -124,14 +142,6 @@ def _check_count(n: int) -> None:
         raise ValueError("a number of rows cannot be negative")
 
 
-def _sortable(kind: DataType) -> bool:
-    if isinstance(kind, ArrayType):
-        return _sortable(kind.elementType)
-    if isinstance(kind, StructType):
-        return all(_sortable(f.dataType) for f in kind)
-    return not isinstance(kind, MapType) and kind.typeName() != "variant"
-
-
 @dataclass(frozen=True)
 class _Cut:
     """Where a rank falls in the seeded order."""
@@ -167,7 +177,7 @@ def _cut(df: DataFrame, key: Key, seed: int | str, rank: Callable[[int], int]) -
     return _Cut(before, upto, group, keep, size)
 
 
-def _copies(df: DataFrame, cut: _Cut, n: int) -> DataFrame:
-    """n copies of the one row that the group of a cut consists of."""
-    one = df.filter(cut.group).limit(1).withColumn("_copies", F.lit(n).cast("long"))
-    return repeat_rows(one, "_copies", "_copy").drop("_copy")
+def _tied(df: DataFrame, cut: _Cut) -> DataFrame:
+    """The rows of the group of a cut, as they are, counted off in ``_nth``: they are
+    copies of one row, so any ``keep`` of them may be within the rank."""
+    return counted_off(df.filter(cut.group), "_nth")

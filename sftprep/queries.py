@@ -59,6 +59,7 @@ from .operators import (
     shuffle_by_hash,
     special_id,
     summarize,
+    take_n,
     train_test_split,
     with_row_key,
 )
@@ -80,7 +81,6 @@ ORACLES: dict[str, str] = {}
 
 SPECIALS = ["<unk>", "<eos>", "<pad>"]
 UNK, EOS, PAD = range(len(SPECIALS))
-VOCAB_SIZE = 20_000
 
 
 def query(sql: str) -> Callable[[Query], Query]:
@@ -106,6 +106,20 @@ def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def row_md5(df: DataFrame) -> Column:
+    """The md5 of all columns' values as text, for comparing whole rows."""
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]))
+
+
+def row_md5_sql(*columns: str) -> str:
+    return f"md5(concat_ws('|', {', '.join(f'{c}::varchar' for c in columns)}))"
+
+
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+LINEITEM = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
 NL = "chr(10)"
 EX = f"ex as ({fx.EXAMPLES_SQL})"
 
@@ -140,7 +154,7 @@ counts as (select token, count(*) as n from toks group by token),
 vocab as (
     select token, {len(SPECIALS) - 1} + row_number() over (order by n desc, token) as id,
            n, false as is_special
-    from counts order by n desc, token limit {VOCAB_SIZE - len(SPECIALS)}
+    from counts
 ),
 specials as (
     select unnest({SPECIALS!r}) as token, unnest(range({len(SPECIALS)})) as id,
@@ -210,33 +224,31 @@ def jsonl_roundtrip(spark, sf_dir):
     return read_jsonl(spark, path, EXAMPLE_SCHEMA)
 
 
-@query(
-    f"""select doc_id, lang, source, n_chars from (
-        select *, row_number() over (order by {order_sql(3, 'doc_id')}, doc_id) as r,
-               count(*) over () as n from documents
-    ) where r > ceil(0.2 * n)"""
-)
+def split_sql(share: float, seed: int) -> str:
+    """All documents with their split."""
+    return f"""select *, case when r <= ceil({share} * n) then 'test' else 'train' end as split
+    from (select *, row_number() over (order by {order_sql(seed, 'doc_id')}, doc_id) as r,
+                 count(*) over () as n from documents)"""
+
+
+@query(f"select doc_id, {row_md5_sql(*DOCUMENT)} as row_md5 from ({split_sql(0.2, 3)}) where split = 'train'")
 def jsonl_one_split(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs = fx.table(spark, sf_dir, "documents")
     path = scratch_dir(spark)
     write_jsonl(train_test_split(docs, "doc_id", 0.2, seed=3), path)
-    schema = "doc_id bigint, lang string, source string, n_chars bigint, split string"
-    return read_jsonl(spark, path, schema, split="train").drop("split")
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, split string"
+    train = read_jsonl(spark, path, schema, split="train").drop("split")
+    return train.select("doc_id", row_md5(train).alias("row_md5"))
 
 
-@query("select split, count(*) as n_rows, sum(n_chars)::bigint as n_chars from ("
-       f"""select n_chars, case when r <= ceil(0.2 * n) then 'test' else 'train' end as split from (
-        select *, row_number() over (order by {order_sql(3, 'doc_id')}, doc_id) as r,
-               count(*) over () as n from documents)
-    ) group by split""")
+@query(f"select doc_id, split, {row_md5_sql(*DOCUMENT)} as row_md5 from ({split_sql(0.2, 3)})")
 def table_all_splits(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    docs = fx.table(spark, sf_dir, "documents")
     path = scratch_dir(spark)
     train_test_split(docs, "doc_id", 0.2, seed=3).write.partitionBy("split").orc(path)
-    stored = read_table(spark, path, "orc", "doc_id bigint, n_chars bigint, split string")
-    return stored.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars")
-    )
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, split string"
+    stored = read_table(spark, path, "orc", schema)
+    return stored.select("doc_id", "split", row_md5(stored.drop("split")).alias("row_md5"))
 
 
 # Sampling, order, split ------------------------------------------------------
@@ -248,50 +260,99 @@ def sample_examples(spark, sf_dir):
     return sample_n(fx.examples(spark, sf_dir), "example_id", 100, seed=11, strict=False)
 
 
-@query(f"""select l_orderkey, l_linenumber, l_partkey from lineitem
-    order by {order_sql(5, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 20000""")
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, whose only key is their whole content."""
+    rows = fx.table(spark, sf_dir, "lineitem").select(*LINEITEM)
+    return rows.withColumn("row_md5", row_md5(rows))
+
+
+def items_sql(seed: int) -> str:
+    return f"""select l_orderkey, row_md5,
+               row_number() over (order by {order_sql(seed, "row_md5")}, row_md5) - 1 as position
+        from (select *, {row_md5_sql(*LINEITEM)} as row_md5 from lineitem)"""
+
+
+@query(f"select * from ({items_sql(5)}) where position < 20000")
 def sample_large(spark, sf_dir):
-    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    items = fx.table(spark, sf_dir, "lineitem").select(*keys)
-    return sample_n(items, keys, 20_000, seed=5, strict=False)
+    """A sample of many rows comes in the order of a small one: each row has its place."""
+    rows = sample_n(
+        items(spark, sf_dir), "row_md5", 20_000, seed=5, strict=False, position="position"
+    )
+    return rows.select("l_orderkey", "row_md5", "position")
+
+
+@query(f"select * from ({items_sql(6)}) where position < 10001")
+def sample_just_large(spark, sf_dir):
+    rows = sample_n(
+        items(spark, sf_dir), "row_md5", 10_001, seed=6, strict=False, position="position"
+    )
+    return rows.select("l_orderkey", "row_md5", "position")
 
 
-@query(f"select doc_id, {order_sql(7, 'doc_id')} as order_hash from documents")
+@query(f"""select doc_id, {row_md5_sql(*DOCUMENT)} as row_md5,
+    row_number() over (order by {order_sql(7, 'doc_id')}, doc_id) - 1 as position from documents""")
 def shuffle_order(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id")
-    return shuffle_by_hash(docs, "doc_id", seed=7).withColumn("order_hash", order_hash("doc_id", 7))
+    docs = fx.table(spark, sf_dir, "documents")
+    rows = shuffle_by_hash(docs, "doc_id", seed=7, position="position")
+    return rows.select("doc_id", row_md5(rows.drop("position")).alias("row_md5"), "position")
 
 
-def split_sql(share: float, seed: int) -> str:
-    return f"""select doc_id, case when r <= ceil({share} * n) then 'test' else 'train' end as split
-    from (select doc_id, row_number() over (order by {order_sql(seed, 'doc_id')}, doc_id) as r,
-                 count(*) over () as n from documents)"""
+@query(f"""select {row_md5_sql(*DOCUMENT)} as row_md5 from documents
+    order by {order_sql(7, 'doc_id')}, doc_id limit 40""")
+def take_first(spark, sf_dir):
+    rows = take_n(shuffle_by_hash(fx.table(spark, sf_dir, "documents"), "doc_id", seed=7), 40)
+    return rows.select(row_md5(rows).alias("row_md5"))
+
 
+@query(f"""select l_orderkey, {row_md5_sql(*LINEITEM)} as row_md5 from lineitem
+    order by l_orderkey, row_md5 limit 30000""")
+def take_many(spark, sf_dir):
+    """More rows than come together in one task."""
+    rows = items(spark, sf_dir).orderBy("l_orderkey", "row_md5")
+    return take_n(rows, 30_000, strict=False).select("l_orderkey", "row_md5")
 
-@query(f"select split, count(*) as n_rows from ({split_sql(0.8, 7)}) group by split")
+
+@query(f"select split, count(*) as n_rows, sum(n_chars)::bigint as n_chars from ({split_sql(0.8, 7)}) group by split")
 def split_counts(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id")
-    splits = train_test_split(docs, "doc_id", 0.8, seed=7)
-    return splits.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    splits = train_test_split(fx.table(spark, sf_dir, "documents"), "doc_id", 0.8, seed=7)
+    return splits.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars")
+    )
 
 
-@query(split_sql(0.25, 8))
+@query(f"select doc_id, split, {row_md5_sql(*DOCUMENT)} as row_md5 from ({split_sql(0.25, 8)})")
 def split_rows(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id")
-    return train_test_split(docs, "doc_id", 0.25, seed=8)
+    rows = train_test_split(fx.table(spark, sf_dir, "documents"), "doc_id", 0.25, seed=8)
+    return rows.select("doc_id", "split", row_md5(rows.drop("split")).alias("row_md5"))
+
+
+@query(f"""with rows as (select lang, n_chars, {row_md5_sql(*DOCUMENT)} as row_md5,
+        row_number() over (order by {order_sql(12, 'lang')}) as r, count(*) over () as n from documents)
+    select lang, count(*) as n_rows, count(distinct row_md5) as n_distinct,
+           greatest(0, least(ceil(0.3 * any_value(n)) - (min(r) - 1), count(*)))::bigint as n_test
+    from rows group by lang""")
+def split_tied_keys(spark, sf_dir):
+    """A key that many rows share, and a map among their columns: the cut falls into a key."""
+    docs = fx.table(spark, sf_dir, "documents")
+    facts = F.map_from_arrays(F.array("lang", "source"), F.array("n_chars", "doc_id"))
+    rows = train_test_split(docs.withColumn("facts", facts), "lang", 0.3, seed=12)
+    return rows.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(row_md5(rows.drop("split", "facts"))).alias("n_distinct"),
+        F.count_if(F.col("split") == "test").alias("n_test"),
+    )
 
 
-@query(f"select doc_id, split from ({split_sql(0.8, 7)}) where split = 'train'")
+@query(f"select doc_id, split, {row_md5_sql(*DOCUMENT)} as row_md5 from ({split_sql(0.8, 7)}) where split = 'train'")
 def split_select(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id")
-    return select_split(train_test_split(docs, "doc_id", 0.8, seed=7), "train")
+    rows = train_test_split(fx.table(spark, sf_dir, "documents"), "doc_id", 0.8, seed=7)
+    train = select_split(rows, "train")
+    return train.select("doc_id", "split", row_md5(train.drop("split")).alias("row_md5"))
 
 
-@query(f"""select l_orderkey, l_linenumber, l_partkey from lineitem
-    order by {order_sql(9, 'l_orderkey', 'l_linenumber', 'l_partkey')} limit 1 offset 345""")
+@query(f"select l_orderkey, row_md5 from ({items_sql(9)}) where position = 345")
 def row_at_position(spark, sf_dir):
-    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return row_at(fx.table(spark, sf_dir, "lineitem").select(*keys), keys, 345, seed=9)
+    return row_at(items(spark, sf_dir), "row_md5", 345, seed=9).select("l_orderkey", "row_md5")
 
 
 @query(f"""select * from conversations
@@ -304,6 +365,7 @@ def pick_random_row(spark, sf_dir):
         select text, row_number() over (partition by text) as copy from documents
     ) group by text""")
 def row_keys(spark, sf_dir):
+    """Only the text: whole documents have no copies."""
     keyed = with_row_key(fx.table(spark, sf_dir, "documents").select("text"), "row_key")
     copy = F.substring_index("row_key", ":", -1).cast("long")
     return keyed.groupBy("text").agg(
@@ -438,12 +500,12 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vocab(tokens: DataFrame) -> DataFrame:
-    return build_vocab(tokens, "tokens", SPECIALS, VOCAB_SIZE)
+    return build_vocab(tokens, "tokens", SPECIALS)
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = _tokens(spark, sf_dir)
-    ids = encode(tokens, _vocab(tokens), out="tokens", unknown=UNK, key="doc_id")
+    ids = encode(tokens, _vocab(tokens), out="tokens", unknown=UNK)
     return ids.withColumnRenamed("tokens", "input_ids")
 
 
@@ -487,12 +549,37 @@ def encode_ids(spark, sf_dir):
 def decode_skip_special(spark, sf_dir):
     tokens = _tokens(spark, sf_dir)
     vocab = _vocab(tokens)
-    ids = encode(tokens, vocab, out="tokens", unknown=UNK, key="doc_id")
+    ids = encode(tokens, vocab, out="tokens", unknown=UNK)
     marked = ids.select("doc_id", append_eos("tokens", EOS).alias("input_ids"))
-    text = decode(marked, vocab, skip_special=True, key="doc_id")
+    text = decode(marked, vocab, skip_special=True)
     return text.select("doc_id", F.md5("text").alias("text"))
 
 
+FEW_LOOKED_UP = 500
+
+
+@query(ORACLES["encode_ids"])
+def encode_joined(spark, sf_dir):
+    """Most entries of the vocabulary are joined, as all but the first of a large one are."""
+    tokens = _tokens(spark, sf_dir)
+    ids = encode(tokens, _vocab(tokens), unknown=UNK, lookup_rows=FEW_LOOKED_UP)
+    return ids.select(
+        "doc_id",
+        F.size("input_ids").cast("long").alias("n_ids"),
+        F.md5(_joined("input_ids")).alias("ids"),
+    )
+
+
+@query("select doc_id, md5(text) as text, length(text)::bigint as n_chars from documents")
+def encode_decode(spark, sf_dir):
+    """The text of every document again, with entries looked up and joined on both ways."""
+    tokens = _tokens(spark, sf_dir)
+    vocab = settle(_vocab(tokens))
+    ids = encode(tokens, vocab, out="tokens", unknown=UNK, lookup_rows=FEW_LOOKED_UP)
+    text = decode(ids, vocab, "tokens", lookup_rows=FEW_LOOKED_UP)
+    return text.select("doc_id", F.md5("text").alias("text"), F.char_length("text").cast("long").alias("n_chars"))
+
+
 def _cut_sql(keep: str, length: int) -> str:
     return f"""with {ENCODED}, marked as (select doc_id, list_append(ids, {EOS}) as ids from encoded)
     select doc_id, array_to_string({keep}, ',') as ids, len(ids) > {length} as was_truncated
@@ -552,7 +639,7 @@ def pad_left(spark, sf_dir):
     return _padded(spark, sf_dir, "left")
 
 
-def _pack_sql(length: int, seed: int, sep: int | None) -> str:
+def _pack_sql(length: int, seed: int, sep: int | None, drop_last: bool = True) -> str:
     ids = "ids" if sep is None else f"list_append(ids, {sep})"
     return f"""with {ENCODED}, flat as (
         select doc_id, unnest({ids}) as id, generate_subscripts({ids}, 1) as pos from encoded),
@@ -560,11 +647,12 @@ def _pack_sql(length: int, seed: int, sep: int | None) -> str:
         select id, row_number() over (order by {order_sql(seed, 'doc_id')}, doc_id, pos) - 1 as idx
         from flat)
     select idx // {length} as block, string_agg(id::varchar, ',' order by idx) as ids
-    from stream group by block having count(*) = {length}"""
+    from stream group by block having count(*) >= {length if drop_last else 1}"""
 
 
-def _packed(spark: SparkSession, sf_dir: str, sep: int | None) -> DataFrame:
-    blocks = pack(settle(_encoded(spark, sf_dir)), "doc_id", 256, seed=17, sep=sep)
+def _packed(spark: SparkSession, sf_dir: str, sep: int | None, drop_last: bool = True) -> DataFrame:
+    ids = settle(_encoded(spark, sf_dir))
+    blocks = pack(ids, "doc_id", 256, seed=17, sep=sep, drop_last=drop_last)
     return blocks.select("block", _joined("input_ids").alias("ids"))
 
 
@@ -578,6 +666,26 @@ def pack_with_separator(spark, sf_dir):
     return _packed(spark, sf_dir, EOS)
 
 
+@query(_pack_sql(256, 17, None, drop_last=False))
+def pack_all(spark, sf_dir):
+    """With the short block at the end."""
+    return _packed(spark, sf_dir, None, drop_last=False)
+
+
+@query(f"""with {ENCODED}, keyed as (
+        select lang, ids, md5(array_to_string(ids, ',')) as content from encoded join documents using (doc_id)),
+    flat as (select lang, content, rank, unnest(ids) as id, generate_subscripts(ids, 1) as pos
+        from (select *, row_number() over (order by {order_sql(18, 'lang')}, content) as rank from keyed)),
+    stream as (select id, row_number() over (order by rank, pos) - 1 as idx from flat)
+    select idx // 256 as block, string_agg(id::varchar, ',' order by idx) as ids
+    from stream group by block having count(*) = 256""")
+def pack_tied_keys(spark, sf_dir):
+    """A key that a large share of the rows have."""
+    langs = fx.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    blocks = pack(settle(_encoded(spark, sf_dir).join(langs, "doc_id")), "lang", 256, seed=18)
+    return blocks.select("block", _joined("input_ids").alias("ids"))
+
+
 # User functions --------------------------------------------------------------
 
 
@@ -760,8 +868,7 @@ pos_tokens as (
            generate_subscripts({tokens_sql('text')}, 1) as pos from texts),
 ranked as (
     select token, {len(SPECIALS) - 1} + row_number() over (order by count(*) desc, token) as id
-    from pos_tokens group by token order by count(*) desc, token
-    limit {VOCAB_SIZE - len(SPECIALS)}),
+    from pos_tokens group by token),
 train_ids as (
     select example_id, list_append(list(coalesce(id, {UNK}) order by pos), {EOS}) as ids
     from pos_tokens left join ranked using (token) group by example_id)

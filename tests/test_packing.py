@@ -4,11 +4,17 @@ import random
 import pytest
 
 from sftprep import pack, training_blocks
-from sftprep.operators import packing
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
 
 
 def stream(rows, seed, sep=None):
-    order = sorted(rows, key=lambda r: hashlib.md5(f"{seed}:{r[0]}".encode()).hexdigest())
+    def content(ids):
+        return md5(",".join(map(str, (ids or []) + ([] if sep is None or ids is None else [sep]))))
+
+    order = sorted(rows, key=lambda r: (md5(f"{seed}:{r[0]}"), content(r[1])))
     return [i for _, ids in order for i in (ids or []) + ([] if sep is None or ids is None else [sep])]
 
 
@@ -48,36 +54,21 @@ def test_no_rows(df):
     assert pack(df.filter("k < 0"), "k", 4, 6).count() == 0
 
 
-def test_coarser_buckets_change_nothing(df, rows, monkeypatch):
-    monkeypatch.setattr(packing, "BUCKET_DIGITS", 2)
-    monkeypatch.setattr(packing, "GROUP_DIGITS", 1)
-    assert packed(pack(df, "k", 7, 6)) == blocks_of(stream(rows, 6), 7)
+def test_last_block_is_kept_if_asked_for(df, rows):
+    flat = stream(rows, 6)
+    assert len(flat) % 7
+    blocks = packed(pack(df, "k", 7, 6, drop_last=False))
+    assert blocks == [flat[i : i + 7] for i in range(0, len(flat), 7)]
 
 
-def test_hot_key_keeps_every_id(spark, monkeypatch):
-    """A third of the rows are copies of one row, a third share its key."""
-    monkeypatch.setattr(packing, "HOT_BUCKET_ROWS", 50)
+def test_hot_key_and_copies(spark):
+    """A third of the rows are copies of one row, a third share its key: one stream, and
+    no task has them all."""
     rows = [(0, [1, 2, 3])] * 200 + [(0, [i]) for i in range(4, 204)]
     rows += [(k, [1000 + k]) for k in range(1, 201)]
-    df = spark.createDataFrame(rows, "k bigint, input_ids array<int>")
-    seen = []
-
-    def spied(*args, real=packing._bucketed):
-        seen.append(real(*args))
-        return seen[-1]
-
-    monkeypatch.setattr(packing, "_bucketed", spied)
+    df = spark.createDataFrame(rows, "k bigint, input_ids array<int>").repartition(3)
     blocks = packed(pack(df, "k", 8, 6))
-    assert len(seen) == 2
-    assert max(r["_rows"] for r in seen[0][1].collect()) >= 400
-    assert max(r["_rows"] for r in seen[1][1].collect()) < 50
-    ids = sorted(i for _, row in rows for i in row)
-    flat = [i for b in blocks for i in b]
-    assert len(flat) == len(ids) // 8 * 8
-    left = list(ids)
-    for i in flat:
-        left.remove(i)
-    assert len(left) == len(ids) % 8
+    assert blocks == blocks_of(stream(rows, 6), 8)
     assert packed(pack(df.repartition(11), "k", 8, 6)) == blocks
 
 
@@ -91,8 +82,9 @@ def test_length_must_be_positive(df):
         pack(df, "k", 0, 6)
 
 
-def test_payload_is_shuffled_twice_only(df):
-    pack_plan = pack(df, "k", 4, 6)._jdf.queryExecution().executedPlan().toString()
-    with_ids = [l for l in pack_plan.splitlines() if "Exchange hashpartitioning" in l]
-    assert sum("_bucket" in l or "block" in l or "_groupingexpression" in l for l in with_ids) <= 3
-    assert "CartesianProduct" not in pack_plan and "BroadcastNestedLoopJoin" not in pack_plan
+def test_payload_is_shuffled_to_the_blocks_only(df):
+    """Once more after the sort, which has been written by then."""
+    plan = pack(df, "k", 4, 6)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("block" in line or "_groupingexpression" in line for line in exchanges) <= 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -24,8 +24,8 @@ def rows(spark):
 
 @pytest.fixture
 def large(monkeypatch):
-    """Treat every sample as a large one, and take every counting step."""
-    monkeypatch.setattr(sampling, "ORDERED_ROWS", 0)
+    """Take every row for one of many, and every counting step."""
+    monkeypatch.setattr(sampling, "ONE_TASK_ROWS", 0)
     monkeypatch.setattr(ranks, "FEW_ROWS", 0)
 
 
@@ -48,11 +48,34 @@ def test_sample_is_a_prefix_of_the_order(rows, n):
 
 @pytest.mark.parametrize("n", [1, 2, 777, 1999, 2000])
 def test_large_sample_equals_small_one(rows, large, n):
-    assert sorted(ids(sample_n(rows, "k", n, 7))) == sorted(ranked(7, range(2000))[:n])
+    assert ids(sample_n(rows, "k", n, 7)) == ranked(7, range(2000))[:n]
+
+
+@pytest.mark.parametrize("n", [1, 777, 2000])
+def test_positions_of_a_sample(rows, large, n):
+    got = sample_n(rows, "k", n, 7, position="at").collect()
+    assert sorted((r["at"], r["k"]) for r in got) == list(enumerate(ranked(7, range(2000))[:n]))
+
+
+def test_positions_of_all_rows(rows):
+    got = shuffle_by_hash(rows.repartition(9), "k", 7, position="at")
+    assert got.columns == ["k", "v", "at"]
+    assert sorted((r["at"], r["k"]) for r in got.collect()) == list(enumerate(ranked(7, range(2000))))
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 2000])
+def test_first_rows(rows, large, n):
+    got = take_n(rows.repartition(7).orderBy(F.desc("k")), n)
+    assert ids(got) == list(range(1999, 1999 - n, -1))
+
+
+def test_no_task_gathers_the_first_rows(rows, large):
+    plan = take_n(rows, 700)._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan and "CollectLimit" not in plan
 
 
 def test_large_sample_does_not_sort_or_shuffle_rows(rows, large):
-    plan = sample_n(rows, "k", 500, 7)._jdf.queryExecution().executedPlan().toString()
+    plan = sample_n(rows, "k", 500, 7, ordered=False)._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Exchange" not in plan
 
 
@@ -65,7 +88,7 @@ def test_more_rows_than_there_are(rows, monkeypatch):
     assert take_n(rows, 2001, strict=False).count() == 2000
     with pytest.raises(ValueError):
         sample_n(rows, "k", -1, 7)
-    monkeypatch.setattr(sampling, "ORDERED_ROWS", 10)
+    monkeypatch.setattr(sampling, "ONE_TASK_ROWS", 10)
     with pytest.raises(ValueError):
         sample_n(rows, "k", 2001, 7)
     assert sample_n(rows, "k", 2001, 7, strict=False).count() == 2000
@@ -133,8 +156,7 @@ def test_one_key_with_a_third_of_the_rows(spark, large):
 
 
 @pytest.mark.parametrize("more", [[], ["1 as v"]])
-def test_copies_that_are_a_third_of_the_rows(spark, large, monkeypatch, more):
-    monkeypatch.setattr(keys, "COPIES_PER_CHUNK", 40)
+def test_copies_that_are_a_third_of_the_rows(spark, large, more):
     rows = [("copy",)] * 300 + [(f"t{i}",) for i in range(600)]
     df = spark.createDataFrame(rows, "k string").repartition(7).selectExpr("k", *more)
     order = ranked(4, {r[0] for r in rows})
@@ -176,3 +198,32 @@ def test_rows_that_differ_below_a_millisecond_are_all_kept(spark):
     split = train_test_split(rows, "id", 1, seed=3)
     assert sorted(map(str, split.select("at").collect())) == sorted(map(str, rows.select("at").collect()))
     assert with_row_key(rows).select("example_id").distinct().count() == 3
+
+
+def test_maps_and_tied_keys(spark, large):
+    """Rows with maps, at any depth, that share a key: equal maps are equal in any order."""
+    df = spark.sql(
+        "select id, cast(id % 3 as int) as k, map('a', id, 'b', 1L) as facts,"
+        " array(named_struct('m', map(id, map('x', id % 2)))) as deep, cast(null as map<int,int>) as none"
+        " from range(90)"
+    )
+    for n in (1, 31, 45, 89):
+        split = train_test_split(df, "k", n, seed=3)
+        test = [r["id"] for r in split.filter("split = 'test'").collect()]
+        assert len(test) == n and split.select("id").distinct().count() == 90
+        again = train_test_split(df.repartition(4), "k", n, seed=3)
+        assert sorted(test) == sorted(r["id"] for r in again.filter("split = 'test'").collect())
+        order = [r["id"] for r in sample_n(df, "k", n, seed=3).collect()]
+        assert sorted(order) == sorted(test)
+        assert order == [r["id"] for r in shuffle_by_hash(df.repartition(5), "k", 3).collect()][:n]
+        assert row_at(df, "k", n - 1, 3).first()["id"] == order[-1]
+    one = spark.sql("select map('a', 1, 'b', 2) as m")
+    other = spark.sql("select map('b', 2, 'a', 1) as m")
+    assert one.select(keys.row_hash(one)).first() == other.select(keys.row_hash(other)).first()
+
+
+def test_copies_of_rows_with_maps_are_the_rows_themselves(spark, large):
+    df = spark.sql("select 1 as k, map('a', 1) as m from range(20) union all select 2, map('b', 2) from range(5)")
+    split = train_test_split(df, "k", 7, seed=1)
+    assert split.filter("split = 'test'").count() == 7 and split.count() == 25
+    assert split.filter("k = 1 and m['a'] = 1").count() == 20
