@@ -2,10 +2,8 @@ import pytest
 
 
 @pytest.fixture(scope="session")
-def folder(spark, tmp_path_factory):
-    """A shared folder for intermediate tables, where the session has none."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("intermediate")))
+def folder(spark):
+    """The shared folder for intermediate tables."""
     return spark.conf.get("spark.checkpoint.dir")
 
 
