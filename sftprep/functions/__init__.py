@@ -26,8 +26,10 @@ from .tokens import (
     attention_mask,
     pad,
     pad_ids,
+    prepend_bos,
     tokenize,
     truncate,
+    truncate_with_eos,
     was_truncated,
 )
 
@@ -50,6 +52,7 @@ __all__ = [
     "message_prefix",
     "pad",
     "pad_ids",
+    "prepend_bos",
     "py_strip",
     "render_chatml",
     "render_sections",
@@ -60,5 +63,6 @@ __all__ = [
     "to_messages",
     "tokenize",
     "truncate",
+    "truncate_with_eos",
     "was_truncated",
 ]

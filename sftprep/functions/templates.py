@@ -16,10 +16,13 @@ SYSTEM_PREFIX = (
 )
 TURN_START = "<start_of_turn>"
 TURN_END = "<end_of_turn>"
-SECTION_SYSTEM = (
+TURN_CONTEXT = "user\nCONTEXT:"
+TURN_QUESTION = "\nQUESTION:"
+TURN_MODEL = "model\n"
+SECTION_CONTEXT = (
     "###System:\nRead the references provided and answer the corresponding question.\n"
+    "###Context:\n"
 )
-SECTION_CONTEXT = "###Context:\n"
 SECTION_QUESTION = "\n###Question:\n"
 SECTION_ANSWER = "\n###Answer:\n"
 CHATML_START = "<|im_start|>"
@@ -42,11 +45,11 @@ def render_turns(
     """Turn-marker text: a prompt with an open model turn, or with an answer the
     whole training text.  The two turns are separated by one space."""
     parts = [
-        F.lit(f"{TURN_START}user\nCONTEXT:"),
+        F.lit(TURN_START + TURN_CONTEXT),
         _col(context),
-        F.lit("\nQUESTION:"),
+        F.lit(TURN_QUESTION),
         _col(question),
-        F.lit(f"{TURN_END} {TURN_START}model\n"),
+        F.lit(f"{TURN_END} {TURN_START}{TURN_MODEL}"),
     ]
     if answer is not None:
         parts += [_col(answer), F.lit(TURN_END)]
@@ -59,7 +62,7 @@ def render_sections(
     """Sectioned instruction text.  Quotes are escaped by the caller, see
     :func:`escape_quotes`."""
     return F.concat(
-        F.lit(SECTION_SYSTEM + SECTION_CONTEXT),
+        F.lit(SECTION_CONTEXT),
         _col(context),
         F.lit(SECTION_QUESTION),
         _col(question),

@@ -34,6 +34,17 @@ def append_eos(ids: Column | str, eos: int) -> Column:
     return F.array_append(_col(ids), F.lit(eos).cast("int"))
 
 
+def prepend_bos(ids: Column | str, bos: int) -> Column:
+    """Ids with the start-of-sequence id before them."""
+    return F.array_prepend(_col(ids), F.lit(bos).cast("int"))
+
+
+def truncate_with_eos(ids: Column | str, length: int, eos: int) -> Column:
+    """At most ``length`` ids of which the last is the end-of-sequence id: it is put
+    behind the ids that have room, where :func:`truncate` would cut it off."""
+    return append_eos(F.slice(_col(ids), 1, length - 1), eos)
+
+
 def truncate(ids: Column | str, length: int, side: Side = "right") -> Column:
     """At most ``length`` ids.  ``side`` is the side that is cut off: ``right``
     keeps the head, ``left`` keeps the tail."""

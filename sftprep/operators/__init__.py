@@ -1,4 +1,4 @@
-from .batches import format_batches, map_batches, predict_batches
+from .batches import format_batches, map_batches, predict_batches, tokenize_batches
 from .keys import order_hash, with_row_key
 from .packing import pack
 from .reports import sample_report, summarize
@@ -28,6 +28,7 @@ __all__ = [
     "special_id",
     "summarize",
     "take_n",
+    "tokenize_batches",
     "train_test_split",
     "with_row_key",
 ]

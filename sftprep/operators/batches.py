@@ -15,13 +15,21 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 # Executors need not have this package: its functions are sent with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
 
 Batch = dict[str, list]
 Predictor = Callable[[list[str]], list[str]]
+Tokenizer = Callable[[list[str]], list[list[int]]]
 
 
 def map_batches(
@@ -93,20 +101,55 @@ def predict_batches(
     a model is loaded there and never pickled.  It maps a list of prompts to a
     list of texts of the same length.
     """
+    return _made_by(
+        df, factory, prompt_col, out, StringType(), batch_size, "{} predictions for {} prompts"
+    )
+
+
+def tokenize_batches(
+    df: DataFrame,
+    factory: Callable[[], Tokenizer],
+    text_col: str = "text",
+    out: str = "input_ids",
+    batch_size: int = 1000,
+) -> DataFrame:
+    """Add the ids that a tokenizer of the user's gives for each text.
+
+    ``factory`` builds the tokenizer once per partition and on the executor.  It maps a
+    list of texts (None among them, if the column has nulls) to as many lists of ids.
+    """
+    return _made_by(
+        df, factory, text_col, out, ArrayType(IntegerType()), batch_size, "{} id lists for {} texts"
+    )
+
+
+def _made_by(
+    df: DataFrame,
+    factory: Callable[[], Callable[[list], list]],
+    column: str,
+    out: str,
+    kind: DataType,
+    batch_size: int,
+    mismatch: str,
+) -> DataFrame:
+    """Add a column that a function, built once per partition, makes of another."""
+    if batch_size < 1:
+        raise ValueError("batch_size must be positive")
     kept = [c for c in df.columns if c != out]
-    source = df.select(*dict.fromkeys([*kept, prompt_col]))
-    output = StructType([df.schema[c] for c in kept] + [StructField(out, StringType())])
+    source = df.select(*dict.fromkeys([*kept, column]))
+    output = StructType([df.schema[c] for c in kept] + [StructField(out, kind)])
+    arrow_kind = to_arrow_schema(StructType([StructField(out, kind)])).field(0).type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = None
+        function = None
         for table in _rebatched(batches, batch_size):
-            if predictor is None:
-                predictor = factory()
-            prompts = table.column(prompt_col).to_pylist()
-            texts = list(predictor(prompts))
-            if len(texts) != len(prompts):
-                raise ValueError(f"{len(texts)} predictions for {len(prompts)} prompts")
-            arrays = [table.column(c) for c in kept] + [pa.array(texts, type=pa.string())]
+            if function is None:
+                function = factory()
+            given = table.column(column).to_pylist()
+            made = list(function(given))
+            if len(made) != len(given):
+                raise ValueError(mismatch.format(len(made), len(given)))
+            arrays = [table.column(c) for c in kept] + [pa.array(made, type=arrow_kind)]
             yield from pa.table(arrays, names=[*kept, out]).to_batches()
 
     return source.mapInArrow(run, output)

@@ -8,7 +8,10 @@ from ..sources.tables import SPLIT
 from .keys import Key
 from .sampling import sample_n
 
+# The labels of a report and the line below it.
+QUESTION, EXPECTED, PREDICTED = "User: ", "\ne: ", "\ni: "
 RULE = "-" * 50
+# End of fixed values.
 
 
 def sample_report(
@@ -16,11 +19,11 @@ def sample_report(
 ) -> DataFrame:
     """A random sample with a ``report`` text: question, expected, predicted."""
     report = F.concat(
-        F.lit("User: "),
+        F.lit(QUESTION),
         F.coalesce("question", F.lit("")),
-        F.lit("\ne: "),
+        F.lit(EXPECTED),
         F.coalesce("answer", F.lit("")),
-        F.lit("\ni: "),
+        F.lit(PREDICTED),
         F.coalesce(pred_col, F.lit("")),
         F.lit(f"\n{RULE}"),
     )

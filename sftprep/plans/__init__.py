@@ -2,6 +2,7 @@ from .flows import (
     create_dataset,
     encoded_texts,
     evaluate,
+    prompt_text,
     scored_predictions,
     training_blocks,
     training_rows,
@@ -12,6 +13,7 @@ __all__ = [
     "create_dataset",
     "encoded_texts",
     "evaluate",
+    "prompt_text",
     "scored_predictions",
     "training_blocks",
     "training_rows",

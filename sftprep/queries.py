@@ -24,6 +24,7 @@ from .functions import (
     from_messages,
     message_prefix,
     pad,
+    prepend_bos,
     py_strip,
     render_chatml,
     render_sections,
@@ -34,9 +35,10 @@ from .functions import (
     to_messages,
     tokenize,
     truncate,
+    truncate_with_eos,
     was_truncated,
 )
-from .functions.templates import SECTION_ANSWER, SECTION_CONTEXT, SECTION_QUESTION, SECTION_SYSTEM
+from .functions.templates import SECTION_ANSWER, SECTION_CONTEXT, SECTION_QUESTION
 from .functions.templates import SYSTEM_PREFIX
 from .operators import (
     accuracy,
@@ -52,7 +54,6 @@ from .operators import (
     pair_predictions,
     percent,
     pick_row,
-    predict_batches,
     row_at,
     sample_n,
     sample_report,
@@ -63,7 +64,14 @@ from .operators import (
     train_test_split,
     with_row_key,
 )
-from .plans import create_dataset, encoded_texts, training_blocks, training_rows
+from .plans import (
+    create_dataset,
+    encoded_texts,
+    evaluate,
+    scored_predictions,
+    training_blocks,
+    training_rows,
+)
 from .sources import (
     EXAMPLE_SCHEMA,
     read_jsonl,
@@ -428,7 +436,7 @@ def render_turns_prompt(spark, sf_dir):
 _ESCAPED = "replace(text, chr(34), chr(92) || chr(34))"
 
 
-@query(f"""select doc_id, {q(SECTION_SYSTEM + SECTION_CONTEXT)} || {_ESCAPED}
+@query(f"""select doc_id, {q(SECTION_CONTEXT)} || {_ESCAPED}
     || {q(SECTION_QUESTION)} || source || {q(SECTION_ANSWER)} || lang as text from documents""")
 def render_sections_escaped(spark, sf_dir):
     text = render_sections(escape_quotes("text"), escape_quotes("source"), escape_quotes("lang"))
@@ -600,6 +608,14 @@ def eos_truncate_right(spark, sf_dir):
     return _cut(spark, sf_dir, 256, "right")
 
 
+@query(f"""with {ENCODED}
+    select doc_id, array_to_string([{UNK}] || list_append(list_slice(ids, 1, 254), {EOS}), ',') as ids from encoded""")
+def bos_eos_truncate(spark, sf_dir):
+    """Between the ids of start and end of a sequence there is room for 254 others."""
+    ids = _encoded(spark, sf_dir)
+    return ids.select("doc_id", _joined(prepend_bos(truncate_with_eos("input_ids", 255, EOS), UNK)).alias("ids"))
+
+
 @query(_cut_sql("list_slice(ids, greatest(len(ids) - 255, 1), len(ids))", 256))
 def eos_truncate_left(spark, sf_dir):
     return _cut(spark, sf_dir, 256, "left")
@@ -738,21 +754,28 @@ def format_texts(spark, sf_dir):
 # Scoring ---------------------------------------------------------------------
 
 
-def _scored(examples: DataFrame, max_tokens: int | None = None) -> DataFrame:
-    """Examples through the predictor hook, cleaned, paired and scored."""
-    prompts = examples.select(
-        "example_id", render_turns("context", "question").alias("prompt"), fx.reply().alias("reply")
-    )
-    raw = predict_batches(prompts, fx.stand_in, prompt_col="reply", batch_size=128)
-    preds = raw.select(
-        "example_id", clean_generation("raw", "prompt", max_tokens).alias("prediction")
-    )
-    pairs = pair_predictions(examples, preds)
-    return fx.with_turn(pairs.withColumn("score", exact_match("prediction", "answer")))
+def _scored(examples: DataFrame, answers: DataFrame, max_tokens: int | None = None) -> DataFrame:
+    """Examples scored with a predictor fitted on ``answers``."""
+    factory = fx.predictor(fx.answers_by_first_word(answers))
+    return fx.with_turn(scored_predictions(examples, factory, max_tokens, batch_size=128))
+
+
+MODEL = f"""{EX},
+model as (
+    select bucket, answer as said from (
+        select substr(md5(split_part(question, ' ', 1)), 1, 2) as bucket, answer, count(*) as n
+        from ex group by all)
+    qualify row_number() over (partition by bucket order by n desc, answer) = 1
+),
+raws as (
+    select ex.*, {turns_sql('context', 'question')} as prompt, prompt || ' ' || said || {q(fx.TAIL)} as raw
+    from ex join model on bucket = substr(md5(split_part(question, ' ', 1)), 1, 2)
+)
+"""
 
 
 def scored_sql(max_tokens: int | None = None) -> str:
-    return f"""{RAW}, preds as (select *, {clean_sql(max_tokens)} as prediction from raws),
+    return f"""{MODEL}, preds as (select *, {clean_sql(max_tokens)} as prediction from raws),
     scored as (
         select *, example_id % 100 as turn,
                case when prediction = answer then 1 else 0 end as score from preds)"""
@@ -760,7 +783,8 @@ def scored_sql(max_tokens: int | None = None) -> str:
 
 @query(f"with {scored_sql()} select example_id, answer, prediction, score from scored")
 def predict_score(spark, sf_dir):
-    return _scored(fx.examples(spark, sf_dir)).select("example_id", "answer", "prediction", "score")
+    examples = settle(fx.examples(spark, sf_dir))
+    return _scored(examples, examples).select("example_id", "answer", "prediction", "score")
 
 
 _ACC = "count(*) as n, sum(score)::bigint as hits, avg(score) as accuracy"
@@ -768,17 +792,48 @@ _ACC = "count(*) as n, sum(score)::bigint as hits, avg(score) as accuracy"
 
 @query(f"with {scored_sql()} select {_ACC} from scored")
 def accuracy_total(spark, sf_dir):
-    return accuracy(_scored(fx.examples(spark, sf_dir)))
+    examples = settle(fx.examples(spark, sf_dir))
+    return accuracy(_scored(examples, examples))
 
 
 @query(f"with {scored_sql(50)} select {_ACC} from scored")
 def accuracy_capped(spark, sf_dir):
-    return accuracy(_scored(fx.examples(spark, sf_dir), max_tokens=50))
+    examples = settle(fx.examples(spark, sf_dir))
+    return accuracy(_scored(examples, examples, max_tokens=50))
 
 
 @query(f"with {scored_sql()} select turn, {_ACC} from scored group by turn")
 def accuracy_by(spark, sf_dir):
-    return accuracy(_scored(fx.examples(spark, sf_dir)), by="turn")
+    examples = settle(fx.examples(spark, sf_dir))
+    return accuracy(_scored(examples, examples), by="turn")
+
+
+@query(f"""with {scored_sql(50)}, sampled as (
+        select * from scored order by {order_sql(37, 'example_id')}, example_id limit 30)
+    select {_ACC} from sampled""")
+def evaluate_sample(spark, sf_dir):
+    """The whole evaluation of a predictor that is given the prompts of a sample."""
+    examples = settle(fx.examples(spark, sf_dir))
+    factory = fx.predictor(fx.answers_by_first_word(examples))
+    return evaluate(examples, factory, n=30, seed=37, max_tokens=50, batch_size=8)
+
+
+@query(f"""with {MODEL}, texts as ({messages_sql()}),
+    prompts as (
+        select example_id, string_agg({q(CHATML_START)} || role || {NL} || content || {q(CHATML_END)} || {NL}, '' order by pos)
+               || {q(CHATML_START + 'assistant')} || {NL} as prompt
+        from texts where pos < 2 group by example_id)
+    select example_id, prompt, strlen(prompt)::varchar as prediction, 0 as score from prompts""")
+def predict_chatml(spark, sf_dir):
+    """Prompts of another style: a predictor that answers with the prompt's length."""
+    rows = to_messages(fx.examples(spark, sf_dir), keep=["answer"])
+
+    def factory():
+        return lambda prompts: [f"{p} {len(p.encode())}{CHATML_END} and more" for p in prompts]
+
+    return scored_predictions(rows, factory, style="chatml").select(
+        "example_id", "prompt", "prediction", "score"
+    )
 
 
 @query(f"""with {RAW}, preds as (select example_id, {clean_sql(None)} as prediction from raws where hit)
@@ -833,8 +888,9 @@ def flag_share_total(spark, sf_dir):
     from scored order by {order_sql(19, 'example_id')}, example_id limit 10""")
 def report_sample(spark, sf_dir):
     """Only the sampled examples are handed to the predictor."""
-    sample = settle(sample_n(fx.examples(spark, sf_dir), "example_id", 10, seed=19))
-    return sample_report(_scored(sample), 10, seed=19).select("example_id", "report")
+    examples = settle(fx.examples(spark, sf_dir))
+    sample = settle(sample_n(examples, "example_id", 10, seed=19))
+    return sample_report(_scored(sample, examples), 10, seed=19).select("example_id", "report")
 
 
 @query(f"""select split, count(*) as n_rows, 'doc_id, text' as columns
@@ -892,6 +948,21 @@ def training_rows_flow(spark, sf_dir):
     return rows.select("example_id", "was_truncated", _joined("input_ids").alias("ids"))
 
 
+@query(f"""with {EX}, texts as (select example_id, {turns_sql('context', 'question', 'answer')} as text from ex),
+    ids as (select example_id, list_transform(string_split(text, ''), lambda c: unicode(c)) as ids from texts)
+    select example_id, len(ids) + 2 > 300 as was_truncated,
+           array_to_string(list_slice([2] || ids, 1, 299) || [1], ',') as ids from ids""")
+def own_tokenizer_flow(spark, sf_dir):
+    """Ids of a tokenizer that the user brings: here the code points of the text."""
+
+    def factory():
+        return lambda texts: [[ord(c) for c in t] for t in texts]
+
+    encoded = encoded_texts(fx.examples(spark, sf_dir), factory, bos=2, eos=1)
+    rows = training_rows(encoded, 300, keep_eos=1)
+    return rows.select("example_id", "was_truncated", _joined("input_ids").alias("ids"))
+
+
 @query(f"""with {TRAIN_IDS}, flat as (
         select example_id, unnest(ids) as id, generate_subscripts(ids, 1) as pos from train_ids),
     stream as (

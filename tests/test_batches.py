@@ -124,7 +124,7 @@ from pyspark.sql import SparkSession
 import __spark_entry__ as contract
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 row = contract.entry(spark).first()
-assert (row["n"], row["hits"]) == (34, 21)
+assert (row["n"], row["hits"]) == (34, 31)
 n = contract.queries()["map_over_batches"](spark, "/root/testdata/sf0.001").count()
 assert n == 200
 """

@@ -83,9 +83,56 @@ def test_fixture_hits(spark, examples):
     assert S.accuracy(capped).first()["hits"] == 0
 
 
+def test_predictor_sees_the_prompt_alone(examples):
+    model = fx.answers_by_first_word(examples)
+    assert 0 < len(model) <= 256
+    seen = S.predict_batches(
+        examples.select(S.prompt_text().alias("prompt")), fx.predictor(model), batch_size=16
+    ).collect()
+    assert len(seen) == 233
+    for r in seen:
+        assert r["raw"].startswith(r["prompt"] + " ") and r["raw"].endswith(fx.TAIL)
+    scored = S.scored_predictions(examples, fx.predictor(model)).collect()
+    assert 0 < sum(r["score"] for r in scored) < 233
+    assert sum(r["prediction"] in model.values() for r in scored) > 200
+
+
+@pytest.mark.parametrize("style", ["turns", "sections", "chatml"])
+def test_prompt_styles(examples, style):
+    """A prompt is the start of the training text, and an echoed answer is found again."""
+    source = S.to_messages(examples, keep=["answer"]) if style == "chatml" else examples
+    texts = source.select(S.prompt_text(style).alias("p"), S.training_text(style).alias("t"))
+    assert texts.filter("not startswith(t, p)").count() == 0
+
+    def factory():
+        end = {"turns": "<end_of_turn>", "sections": "<end_of_turn>", "chatml": "<|im_end|>"}[style]
+        return lambda prompts: [f"{p} SELECT 7 {end} more" for p in prompts]
+
+    right = source.withColumn("answer", fx.F.lit("SELECT 7"))
+    assert S.accuracy(S.scored_predictions(right, factory, style=style)).first()["hits"] == 233
+    assert S.evaluate(right, factory, n=20, seed=1, style=style).first()["hits"] == 20
+
+
+def test_own_tokenizer(spark, examples):
+    made = spark.sparkContext.accumulator(0)
+
+    def factory():
+        made.add(1)
+        return lambda texts: [[len(w) for w in t.split(" ")] for t in texts]
+
+    rows = S.encoded_texts(examples.repartition(3), factory, bos=-1, eos=-2).collect()
+    texts = {r["example_id"]: r["t"] for r in examples.select("example_id", S.training_text().alias("t")).collect()}
+    assert {r["example_id"]: r["input_ids"] for r in rows} == {
+        k: [-1, *[len(w) for w in t.split(" ")], -2] for k, t in texts.items()
+    }
+    assert made.value <= 3
+    with pytest.raises(Exception, match="id lists for"):
+        S.tokenize_batches(examples, lambda: lambda texts: [], "question").collect()
+
+
 def test_entry(spark):
     import __spark_entry__ as contract
 
     row = contract.entry(spark).first()
-    assert (row["n"], row["hits"]) == (34, 21)
+    assert (row["n"], row["hits"]) == (34, 31)
     assert set(contract.oracle_sql()) <= set(contract.queries())

@@ -41,6 +41,8 @@ def test_truncate_and_pad(spark, n):
     assert one(spark, S.truncate("ids", 4), ids) == ids[:4]
     assert one(spark, S.truncate("ids", 4, "left"), ids) == ids[-4:]
     assert one(spark, S.was_truncated("ids", 4), ids) == (n > 4)
+    assert one(spark, S.prepend_bos("ids", 1), ids) == [1] + ids
+    assert one(spark, S.truncate_with_eos("ids", 4, 1), ids) == ids[:3] + [1]
     fill = [0] * max(0, 4 - n)
     assert one(spark, S.pad_ids("ids", 4, 0), ids) == ids + fill
     assert one(spark, S.pad_ids("ids", 4, 0, "left"), ids) == fill + ids
