@@ -40,7 +40,7 @@ from sftprep.operators.keys import repeat_rows
 from sftprep.operators.positions import numbered
 from sftprep.sources.scratch import settle
 
-SHARD_WORDS, SHARD_ROWS = 4_000_000, 20_000
+SHARD_WORDS, SHARD_ROWS = 1_000_000, 2_000
 
 
 def source_targets(

@@ -37,7 +37,7 @@ with docs as (
     ) where r <= (select blocks from seats) group by source
 ), sources as (
     select t.source, source_size, target, coalesce(quota, 0) as quota,
-           greatest(ceil(source_size / 4e6), ceil(n_rows / 2e4), 1)::bigint as n_shards
+           greatest(ceil(source_size / 1e6), ceil(n_rows / 2e3), 1)::bigint as n_shards
     from targets t left join won on won.source is not distinct from t.source
 ), dealt as (
     select doc_id, d.source, h, size, source_size, target, quota, n_shards, number, number % n_shards as shard

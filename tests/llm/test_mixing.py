@@ -62,7 +62,7 @@ def rows():
     return rows + copies + odd + [(901, None, "s2"), (902, "", "s3"), (903, "x " * 5000, "long"), (904, " \n", "blank")]
 
 
-@pytest.mark.parametrize("shard_words, shard_rows", [(4_000_000, 20_000), (500, 7)])
+@pytest.mark.parametrize("shard_words, shard_rows", [(1_000_000, 2_000), (500, 7)])
 def test_mix(spark, folder, rows, shard_words, shard_rows):
     docs = spark.createDataFrame(
         [(*r, "x", 1, "y") for r in rows], "doc_id long, text string, source string, size string, quota int, _key string"
