@@ -11,19 +11,12 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftprep.sources.scratch import shared_folder
+
 #: A word is a run of anything but these six characters (Java and Python regex).
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset, one in the warehouse.
-
-    Both are shared by the driver and all executors.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/intermediate").rstrip("/")
-
-
 _holders: list[list[DataFrame]] = []
 
 
@@ -40,15 +33,17 @@ def held_tables() -> Iterator[list[DataFrame]]:
             _holders[-1].extend(tables)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def stored(df: DataFrame, name: str, release: bool = True) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.  With ``release``
+    the shuffle files of steps that are over go first, which takes a second.
 
     This cuts the lineage: a lost executor costs a read, not a recomputation.  The
     files stay until ``dropped`` or until the folder is cleared, as with checkpoints.
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    released(spark)
+    if release:
+        released(spark)
     df.write.parquet(path)
     table = spark.read.schema(schema).parquet(path)
     table.stored_path = path

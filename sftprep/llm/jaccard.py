@@ -16,8 +16,8 @@ documents is ever compared pair by pair:
 2. *Token-group matrix.*  A group is split into parts of about ``PART`` nodes.  The
    matrix holds for each prefix shingle the parts in whose union it is.  A query is a
    node that shares a shingle with a larger group; its overlap with each part's union
-   is counted, and only parts that reach the lower bound are opened and compared node
-   by node.  Nodes inside one group need no comparison: they are linked already.
+   is counted, and only parts that reach the lower bound are opened: the query's text
+   goes to the task that has the part's, and is compared with each of them there.  Nodes inside one group need no comparison: they are linked already.
 
 All similarities are exact, computed on whole texts.  Components are found by the
 alternating stars of Kiveris et al.; nothing of all this passes through the driver.
@@ -52,8 +52,8 @@ from sftprep.llm.windows import (
     word_sequence,
 )
 
-#: Nodes in a part of a group.
-PART = 16
+#: Nodes in a part of a group, and queries that a copy of a part is compared with.
+PART, QUERIES = 16, 256
 #: A shingle is frequent if it is in one of so many documents of a task.
 FREQUENT = 500
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -226,39 +226,79 @@ def leader_pairs(postings: DataFrame, threshold: int) -> DataFrame:
     found = postings.mapInArrow(pair, "a binary, b binary, n int, times int, rule long")
     met = found.groupBy("a", "b", "rule").agg(F.first("n").alias("n"), F.sum("times").alias("times"))
     best = met.groupBy("b", "rule").agg(F.max(F.struct("times", "a", "n")).alias("l"))
-    return best.select(F.least("l.a", "b").alias("a"), F.greatest("l.a", "b").alias("b")).distinct()
+    return best.select(F.col("l.a").alias("a"), "b").distinct()
 
 
-def linked(pairs: DataFrame, texts: DataFrame, threshold: int, shingle: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked; ``texts`` has k and text of each node."""
+def linked(
+    opened: DataFrame, members: DataFrame, texts: DataFrame, groups: int, threshold: int, shingle: int
+) -> DataFrame:
+    """The links (a, b) between the members of parts and the queries that open them.
+
+    ``opened`` has a row (c, part, k) for each part that a query k opens, ``members`` one
+    for each node of a part, ``texts`` k and text of each node.  A query's text goes to
+    each of its parts once, and a part's texts to each ``QUERIES`` of its queries, so no
+    row is made for a pair of nodes, and a part that many open is dealt out.
+    """
+    count = opened.groupBy("c", "part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("places"))
+    asked = opened.join(count, ["c", "part"]).withColumn("place", F.pmod(F.xxhash64("k"), F.col("places")).cast("int"))
+    shown = count.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("places") - 1))).join(members, ["c", "part"])
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        # parts that share a number are compared with each other's queries, which does no harm
+        named = rows.select("k", F.xxhash64("c", "part", "place").alias("name")).join(texts, "k")
+        to = F.pmod("name", F.lit(groups)).cast("int").alias("to")
+        # aliases, as both sides of the cogroup read the same texts
+        return named.select(to, "name", *[F.col(c).alias(c) for c in ("k", "text")]).groupBy("to")
+
+    def compare(queries: pa.Table, parts: pa.Table) -> pa.Table:
+        pairs = []
+        if queries.num_rows and parts.num_rows:
+            queries, parts = queries.sort_by("name"), parts.sort_by("name")
+            name = queries.column("name").to_numpy()
+            member, names = parts.column("k").to_pylist(), parts.column("name").to_numpy()
+            query, own = queries.column("k").to_pylist(), _sets_of_table(parts, shingle)
+            for first, sets in _sets_by_name(queries, name, shingle):
+                last = first + len(sets)
+                low = np.searchsorted(names, name[first])
+                high = np.searchsorted(names, name[last - 1], "right")
+                tokens = np.concatenate(sets)
+                n = np.array([len(x) for x in sets])
+                owner = np.repeat(np.arange(len(sets)), n)
+                for m in range(low, high):
+                    if not len(own[m]):
+                        continue
+                    at = np.searchsorted(own[m], tokens)
+                    at[at == len(own[m])] = 0
+                    common = np.bincount(owner[own[m][at] == tokens], minlength=len(sets))
+                    alike = (common > 0) & (100 * common >= threshold * (n + len(own[m]) - common))
+                    pairs += [(member[m], query[first + q]) for q in np.flatnonzero(alike) if member[m] != query[first + q]]
+        a, b = zip(*pairs, strict=True) if pairs else ((), ())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    found = dealt(asked).cogroup(dealt(shown)).applyInArrow(compare, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _sets_of_table(table: pa.Table, shingle: int) -> list[np.ndarray]:
+    """The sorted set of each row's text."""
+    found = []
+    for part in table.column("text").chunks:
+        for first, last, raw, offsets in chunks(part):
+            owner, token = sets_of(raw, offsets, shingle)
+            found += np.split(token, np.searchsorted(owner, np.arange(1, last - first)))
+    return found
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.zeros(len(batch), bool)
-            for first, last, raw, offsets in chunks(batch.column(2)):
-                part = batch.column(3).slice(first, last - first)
-                for low, high, raw2, offsets2 in chunks(part):
-                    one = sets_of(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], shingle)
-                    two = sets_of(raw2, offsets2, shingle)
-                    owner = np.concatenate([one[0], two[0]])
-                    token = np.concatenate([one[1], two[1]])
-                    order = np.lexsort((token, owner))
-                    owner, token = owner[order], token[order]
-                    again = (owner[1:] == owner[:-1]) & (token[1:] == token[:-1])
-                    common = np.bincount(owner[1:][again], minlength=high - low)
-                    every = np.bincount(owner, minlength=high - low) - common
-                    found[first + low : first + high] = (100 * common >= threshold * every) & (every > 0)
-            kept = batch.filter(pa.array(found))
-            yield pa.record_batch([kept.column(0), kept.column(1)], ["a", "b"])
-
-    left = pairs.select("a", "b").join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
-    both = left.join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a binary, b binary")
+
+def _sets_by_name(table: pa.Table, name: np.ndarray, shingle: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """First row and sets of the rows of each name; some texts are held at a time."""
+    starts = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+    for first, last in zip(starts, np.append(starts[1:], len(name)), strict=True):
+        yield int(first), _sets_of_table(table.slice(int(first), int(last - first)), shingle)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Node k and the smallest node of its component c, for all nodes of ``edges``."""
-    state = stored(edges.select("a", "b").where("a <> b").distinct(), "links")
+    state = stored(edges.select("a", "b").where("a <> b").distinct(), "links", release=False)
     before = None
     while True:
         both = state.union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -268,20 +308,23 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         small = down.groupBy("a").agg(F.min("b").alias("m"))
         star = down.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        last, state = state, stored(star.union(small.select("a", F.col("m").alias("b"))).distinct(), "links")
+        last, state = state, stored(star.union(small.select("a", F.col("m").alias("b"))).distinct(), "links", release=False)
         dropped(last)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     roots = state.select(F.col("b").alias("k"), F.col("b").alias("c")).distinct()
-    found = stored(state.select(F.col("a").alias("k"), F.col("b").alias("c")).union(roots).distinct(), "components")
+    found = stored(state.select(F.col("a").alias("k"), F.col("b").alias("c")).union(roots).distinct(), "components", release=False)
     dropped(state)
     return found
 
 
-def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int, best: bool) -> DataFrame:
-    """Pairs of nodes that the token-group matrix can't rule out: a, b.
+def opened_parts(
+    postings: DataFrame, groups: DataFrame, threshold: int, best: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Parts that the token-group matrix can't rule out for a query (c, part, k), and the
+    nodes of all parts (c, part, k).
 
     ``groups`` has k and c of the nodes with links; other nodes are groups of their own.
     With ``best`` each query opens the part alone that it has most in common with.
@@ -338,12 +381,7 @@ def queries_of_parts(postings: DataFrame, groups: DataFrame, threshold: int, bes
     if best:
         open_ = open_.groupBy("k").agg(F.max(F.struct("common", "c", "part", "n")).alias("o"))
         open_ = open_.select("k", "o.c", "o.part", "o.n")
-    members = posted.select("c", "part", F.col("k").alias("b"), F.col("n").alias("nb")).distinct()
-    opened = open_.select("c", "part", F.col("k").alias("a"), "n").join(members, ["c", "part"])
-    near = opened.where(
-        f"least(n, nb) * 100 >= greatest(n, nb) * {threshold} and a <> b"
-    )
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return open_.select("c", "part", "k"), posted.select("c", "part", "k").distinct()
 
 
 def _components_of(rows: DataFrame, sets: DataFrame, groups: int, threshold: int, shingle: int) -> DataFrame:
@@ -354,10 +392,16 @@ def _components_of(rows: DataFrame, sets: DataFrame, groups: int, threshold: int
     chosen = chosen.join(flat_names, "k", "left_semi").select("k", "d._id", "d._print")
     texts = rows.select("_id", "_print", F.col("_text").alias("text")).join(chosen, ["_id", "_print"])
     texts = stored(texts.select("k", "text"), "node-texts")
-    links = stored(linked(leader_pairs(postings, threshold), texts, threshold, shingle), "links")
+    pairs = stored(leader_pairs(postings, threshold), "leaders", release=False)
+    alone = F.lit(0).alias("part")
+    leaders = pairs.select(F.col("a").alias("c"), alone, F.col("a").alias("k")).distinct()
+    led = pairs.select(F.col("a").alias("c"), alone, F.col("b").alias("k"))
+    links = stored(linked(led, leaders, texts, groups, threshold, shingle), "links")
+    dropped(pairs)
     for best in (True, False):  # one part for each query joins most groups; then all that is left
         alike = components(links)
-        more = linked(queries_of_parts(postings, alike, threshold, best), texts, threshold, shingle)
+        opened, members = opened_parts(postings, alike, threshold, best)
+        more = linked(stored(opened, "opened"), members, texts, groups, threshold, shingle)
         last, links = links, stored(links.union(more), "links")
         dropped(last)
     return components(links)

@@ -206,8 +206,9 @@ def test_matrix_opens_a_part_of_sets_of_two_sizes(spark, folder):
     postings = spark.createDataFrame([(0, token, k1, k2, n)], f"_to long, {jaccard._POSTINGS}")
     groups = spark.createDataFrame([(bytearray(y), bytearray(y)), (bytearray(z), bytearray(y))], "k binary, c binary")
     for best in (True, False):
-        found = jaccard.queries_of_parts(postings, groups, 90, best).collect()
-        assert (q, y) in {(bytes(r.a), bytes(r.b)) for r in found}
+        opened, members = jaccard.opened_parts(postings, groups, 90, best)
+        found = opened.join(members.withColumnRenamed("k", "m"), ["c", "part"]).collect()
+        assert (q, y) in {(bytes(r.k), bytes(r.m)) for r in found}
 
 
 @pytest.mark.parametrize("threshold", [60, 80, 90, 97])
