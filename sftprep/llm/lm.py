@@ -3,30 +3,35 @@
 A text is its UTF-8 bytes in lower case (A-Z only), framed by the byte 255, which no
 text holds, as its end and as the context before its start.  A byte is eight binary
 decisions; the decision at a node of the byte's binary tree is predicted in the
-contexts of the last 0, 1, 2 and 3 bytes.  In each context a node has a
+contexts of the last 0, 1, ... ``DEPTH`` bytes.  In each context a node has a
 Krichevsky-Trofimov estimate from its counts of zeros and ones, and the weighted
 probability of context s is
 
     Pw(s) = KT(s) / 2 + (product of Pw over the contexts one byte longer) / 2
 
-from which the share of each depth in a prediction follows.  The mixture of a whole
-byte in its context is one number, so the model that is sent to the tasks is a table
-of code lengths by context and byte.
+(KT alone for the longest), from which the share of each depth in a prediction follows.
 
-Counts come from all training documents: tasks count four-byte strings, Spark adds
-them up, and shorter contexts are their sums.  The model keeps the contexts that occur
-at least ``t`` times, ``t`` being the least power of two for which at most
-``MOST_CONTEXTS`` of a depth do; the rest of a context's occurrences is pooled in one
-more child, so that every depth stays a true distribution.  This bounds the model
-whatever the size of the corpus (tables of ``MOST_CONTEXTS`` x 256 numbers a depth);
-counts are never sampled.
+Counts come from all training documents, and every context that occurs in them is in the
+model: tasks count the strings of ``DEPTH + 1`` bytes, Spark adds them up, and shorter
+contexts are their sums.  The tree is never in one place.  It is cut at contexts of
+``TOP`` bytes: the strings whose contexts end alike lie in one of many buckets, which mix
+their subtrees from the bottom up and hand the sums on; above are only contexts of fewer
+than ``TOP`` bytes, 65,793 at most.  With these the buckets mix their subtrees again from
+the top down and give the code length of every string that is asked for, whether or not
+it was seen in training: a decision without counts in a context falls back on the longest
+context that has some, and on one half where there is none.
+
+The texts are read once more.  The most frequent strings, ``HEAD`` at most, are looked up
+where the text is; the others go to their bucket, once for each batch and string, with the
+rows that hold them as a list.  The cut at ``TOP``, ``HEAD`` and the number of buckets
+change how the work is dealt out but no score.
 
 The base score is that of single words with additive smoothing, from exact counts of
 all words of the training documents (``sftprep.llm.terms``).
 
 Defined results: a null or empty text has the end alone; a null key is hashed as the
-empty text; without training documents the model is uniform over bits and
-``train_tokens`` is 0.
+empty text; rows of one key each get their row; without training documents the model
+is uniform over bits and ``train_tokens`` is 0.
 """
 
 from __future__ import annotations
@@ -39,14 +44,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftprep.llm.common import dropped, stored, text_of
-from sftprep.llm.terms import head_of, sums_of_rows, term_counts
+from sftprep.llm.common import stored, text_of
+from sftprep.llm.terms import frequent, head_of, row_parts, summed_parts, term_counts
 
-DEPTH = 3
-MOST_CONTEXTS = 32_768
+#: Bytes of the longest contexts (6 at most), and of those by which subtrees are dealt out.
+DEPTH, TOP = 5, 3
 END = 255
 #: Bytes of text that a task holds as numbers at a time.
 CHUNK = 2_000_000
+#: Strings whose code lengths all tasks get, and strings of a bucket, about.
+HEAD, BUCKET = 1_000_000, 300_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -56,11 +63,9 @@ def words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def framed(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Contexts, bytes and first positions of texts, some texts at a time.
-
-    Every text of the column (no nulls) gives its bytes and one ``END``.
-    """
+def framed(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Strings of ``DEPTH + 1`` bytes as numbers, one for each byte and end of some texts
+    at a time, and the first of each text.  The column has no nulls."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -78,11 +83,11 @@ def framed(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         target = np.ones(len(line), bool)
         for i in range(1, DEPTH + 1):
             target[at - i] = False
-        contexts = np.zeros(len(line), np.uint32)
-        for i in range(1, DEPTH + 1):
-            contexts[DEPTH:] |= line[DEPTH - i : len(line) - i].astype(np.uint32) << np.uint32(8 * (i - 1))
+        strings = np.zeros(len(line), np.int64)
+        for i in range(DEPTH + 1):
+            strings[DEPTH:] |= line[DEPTH - i : len(line) - i].astype(np.int64) << (8 * i)
         begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        yield contexts[target], line[target], begins
+        yield strings[target], begins
         first = last
 
 
@@ -101,128 +106,188 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def code_lengths(cells: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The mixture of all depths: contexts of each depth, log10 of each row's bytes.
-
-    ``cells[d]`` has the numbers ``context * 256 + byte`` and their counts for contexts
-    of d bytes.  Rows of the table follow the contexts, shortest first.
-    """
-    nodes, contexts = [], []
-    for grams, counts in cells:
-        byte = (grams & 255).astype(np.int64)
-        context = (grams >> 8).astype(np.int64)
-        contexts.append(np.unique(context))
-        keys = np.concatenate([(context << 8) | (1 << b) | (byte >> (8 - b)) for b in range(8)])
-        ones = np.concatenate([np.where((byte >> (7 - b)) & 1, counts, 0) for b in range(8)])
-        every = np.tile(counts, 8)
-        unique, place = np.unique(keys, return_inverse=True)
-        all_ = np.bincount(place, every, len(unique))
-        one = np.bincount(place, ones, len(unique))
-        nodes.append([unique, all_ - one, one])
-    weighted = weights = None
-    own, rest = [None] * len(nodes), [None] * len(nodes)
-    shares = [None] * len(nodes)
-    for d in range(len(nodes) - 1, -1, -1):
-        keys, zeros, ones = nodes[d]
-        own[d] = (ones + 0.5) / (zeros + ones + 1)
-        kt = log_kt(zeros, ones)
-        if d == len(nodes) - 1:
-            weighted, shares[d], rest[d] = kt, np.ones(len(keys)), np.full(len(keys), 0.5)
-            continue
-        below, zero_below, one_below = nodes[d + 1]
-        parent = (((below >> 8) & ((1 << (8 * d)) - 1)) << 8) | (below & 255)
-        place = np.searchsorted(keys, parent)
-        left0 = np.maximum(zeros - np.bincount(place, zero_below, len(keys)), 0)
-        left1 = np.maximum(ones - np.bincount(place, one_below, len(keys)), 0)
-        split = np.bincount(place, weighted, len(keys)) + log_kt(left0, left1)
-        weights = np.logaddexp(kt, split) - math.log(2)
-        shares[d] = np.exp(kt - math.log(2) - weights)
-        rest[d] = (left1 + 0.5) / (left0 + left1 + 1)
-        weighted = weights
-    tables = []
-    for d, (keys, _, _) in enumerate(nodes):
-        context, node = keys >> 8, keys & 255
-        chance = shares[d] * own[d] + (1 - shares[d]) * rest[d]
-        for up in range(d - 1, -1, -1):
-            above = np.searchsorted(nodes[up][0], ((context & ((1 << (8 * up)) - 1)) << 8) | node)
-            chance = shares[up][above] * own[up][above] + (1 - shares[up][above]) * chance
-        if d:
-            parents = np.searchsorted(contexts[d - 1], contexts[d] & ((1 << (8 * (d - 1))) - 1))
-            table = tables[-1][parents]
-        else:
-            table = np.full((max(1, len(contexts[0])), 256), 0.5)
-        table[np.searchsorted(contexts[d], context), node] = chance
-        tables.append(table)
-    chances = np.concatenate(tables)
-    logs = np.zeros(chances.shape)
+def nodes_of(strings: np.ndarray, depth: int) -> np.ndarray:
+    """Numbers of a context of ``depth`` bytes and each of the eight nodes: 8 x strings."""
+    context = (strings >> 8) & ((1 << (8 * depth)) - 1)
+    byte = strings & 255
+    return np.stack([(context << 8) | (1 << b) | (byte >> (8 - b)) for b in range(8)])
+
+
+def parents_of(nodes: np.ndarray, depth: int) -> np.ndarray:
+    """The nodes of contexts of ``depth`` bytes one byte shorter."""
+    return (((nodes >> 8) & ((1 << (8 * (depth - 1))) - 1)) << 8) | (nodes & 255)
+
+
+class Levels:
+    """Nodes of contexts of some depths, from the counts of the deepest."""
+
+    def __init__(self, low: int, high: int, nodes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, split: np.ndarray | None):
+        """``split`` sums up the weights of what is below the deepest level, if there is any."""
+        self.low, self.high = low, high
+        self.nodes, self.zeros, self.ones, self.weight = {high: nodes}, {high: zeros}, {high: ones}, {}
+        self.share = {}
+        for d in range(high, low - 1, -1):
+            kt = log_kt(self.zeros[d], self.ones[d])
+            if split is None:
+                self.weight[d], self.share[d] = kt, np.ones(len(kt))
+            else:
+                self.weight[d] = np.logaddexp(kt, split) - math.log(2)
+                self.share[d] = np.exp(kt - math.log(2) - self.weight[d])
+            if d > low:
+                above, place = np.unique(parents_of(self.nodes[d], d), return_inverse=True)
+                self.nodes[d - 1] = above
+                self.zeros[d - 1], self.ones[d - 1], split = (
+                    np.bincount(place, x[d], len(above)) for x in (self.zeros, self.ones, self.weight)
+                )
+
+    def mixed(self, above: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """Add to ``above`` each depth's nodes with the chance of a one: at + of * (what the
+        longer contexts say).  It has the depths before."""
+        for d in range(self.low, self.high + 1):
+            at, of = np.zeros(len(self.nodes[d])), np.ones(len(self.nodes[d]))
+            if d:
+                nodes, at_, of_ = above[d - 1]
+                place = np.searchsorted(nodes, parents_of(self.nodes[d], d))
+                at, of = at_[place], of_[place]
+            own = (self.ones[d] + 0.5) / (self.zeros[d] + self.ones[d] + 1)
+            above[d] = (self.nodes[d], at + of * self.share[d] * own, of * (1 - self.share[d]))
+
+
+def subtrees(strings: np.ndarray, counts: np.ndarray) -> Levels:
+    """The levels from ``TOP`` on of a bucket's strings."""
+    byte = strings & 255
+    ones = np.stack([np.where((byte >> (7 - b)) & 1, counts, 0) for b in range(8)])
+    nodes, place = np.unique(nodes_of(strings, DEPTH), return_inverse=True)
+    place = place.ravel()
+    every = np.bincount(place, np.tile(counts, 8), len(nodes))
+    one = np.bincount(place, ones.ravel(), len(nodes))
+    return Levels(TOP, DEPTH, nodes, every - one, one, None)
+
+
+def code_lengths(strings: np.ndarray, mixed: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 of the chance of each string's last byte after the others."""
+    total = np.zeros(len(strings))
+    chance = np.full((8, len(strings)), 0.5)
+    for d in range(DEPTH + 1):
+        nodes, at, of = mixed.get(d, (np.zeros(0, np.int64),) * 3)
+        if not len(nodes):
+            break
+        asked = nodes_of(strings, d)
+        place = np.searchsorted(nodes, asked)
+        place[place == len(nodes)] = 0
+        # longer contexts of a node without counts say one half
+        chance = np.where(nodes[place] == asked, at[place] + of[place] / 2, chance)
+    byte = strings & 255
     for b in range(8):
-        byte = np.arange(256)
-        chance = chances[:, (1 << b) | (byte >> (8 - b))]
-        logs += np.log10(np.where((byte >> (7 - b)) & 1, chance, 1 - chance))
-    return contexts, logs.astype(np.float32)
+        total += np.log10(np.where((byte >> (7 - b)) & 1, chance[b], 1 - chance[b]))
+    return total
 
 
-def trained_tree(docs: DataFrame, text: str = "_text") -> tuple[list[np.ndarray], np.ndarray]:
-    """``code_lengths`` of a corpus; the counting is Spark's, the mixing the driver's."""
+def counted_strings(docs: DataFrame, text: str) -> DataFrame:
+    """string, n over all texts, as a written table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        def out(parts: list) -> tuple[np.ndarray, np.ndarray]:
+            strings, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            return strings, np.bincount(place, np.concatenate([p[1] for p in parts]), len(strings)).astype(np.int64)
+
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for contexts, line, _ in framed(batch.column(0)):
-                new, n = np.unique((contexts << np.uint32(8)) | line, return_counts=True)
-                every = np.concatenate([grams, new])
-                grams, place = np.unique(every, return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), len(grams)).astype(np.int64)
-                if len(grams) > 1_000_000:
-                    yield pa.record_batch([pa.array(grams.astype(np.int64)), pa.array(counts)], ["gram", "n"])
-                    grams, counts = grams[:0], counts[:0]
-        yield pa.record_batch([pa.array(grams.astype(np.int64)), pa.array(counts)], ["gram", "n"])
-
-    counted = docs.select(text).mapInArrow(count, "gram long, n long")
-    table = stored(counted.groupBy("gram").agg(F.sum("n").alias("n")), "byte-strings")
-    depths, least = [], 1
-    for d in range(DEPTH + 1):
-        cells = table.groupBy((F.col("gram").bitwiseAND((1 << (8 * d + 8)) - 1)).alias("gram")).agg(
-            F.sum("n").alias("n")
-        )
-        sizes = cells.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("size"))
-        depths.append((cells, sizes))
-        steps = sizes.groupBy(F.floor(F.log2("size")).alias("step")).count().orderBy(F.desc("step")).collect()
-        kept = 0
-        for step, n in steps:
-            kept += n
-            if kept > MOST_CONTEXTS:
-                least = max(least, 1 << (step + 1))
-                break
-    found = []
-    for cells, sizes in depths:
-        frequent = sizes.where(F.col("size") >= least).select("context")
-        rows = cells.withColumn("context", F.shiftright("gram", 8)).join(frequent, "context", "left_semi")
-        pandas = rows.select("gram", "n").toPandas().sort_values("gram")
-        found.append((pandas["gram"].to_numpy(np.int64), pandas["n"].to_numpy(np.float64)))
-    dropped(table)
-    return code_lengths(found)
+            for strings, _ in framed(batch.column(0)):
+                parts.append(np.unique(strings, return_counts=True))
+                if len(parts) == 8:
+                    parts = [out(parts)]
+                    if len(parts[0][0]) > 2_000_000:
+                        yield pa.record_batch([pa.array(x) for x in parts[0]], ["string", "n"])
+                        parts = []
+        if parts:
+            yield pa.record_batch([pa.array(x) for x in out(parts)], ["string", "n"])
+
+    counted = docs.select(text).mapInArrow(count, "string long, n long")
+    return stored(counted.groupBy("string").agg(F.sum("n").alias("n")), "byte-strings")
+
+
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows by the bucket of their string's context of ``TOP`` bytes."""
+    context = F.shiftright("string", 8).bitwiseAND((1 << (8 * TOP)) - 1)
+    return rows.withColumn("to", F.pmod(F.xxhash64(context), F.lit(buckets)).cast("int"))
+
+
+Mixed = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def top_levels(table: DataFrame, buckets: int) -> Mixed:
+    """The mixtures of the contexts of fewer than ``TOP`` bytes."""
+
+    def sums(group: pa.Table) -> pa.Table:
+        tree = subtrees(*(group.column(c).to_numpy() for c in ("string", "n")))
+        nodes, place = np.unique(parents_of(tree.nodes[TOP], TOP), return_inverse=True)
+        parts = [np.bincount(place, x[TOP], len(nodes)) for x in (tree.zeros, tree.ones, tree.weight)]
+        return pa.table([pa.array(nodes), *map(pa.array, parts)], ["node", "zeros", "ones", "split"])
+
+    found = _dealt(table, buckets).groupBy("to").applyInArrow(sums, "node long, zeros double, ones double, split double")
+    # at most 65,536 contexts with some of 255 nodes each
+    rows = found.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "split")]).toArrow().sort_by("node")
+    mixed: Mixed = {}
+    Levels(0, TOP - 1, *(rows.column(c).to_numpy() for c in ("node", "zeros", "ones", "split"))).mixed(mixed)
+    return mixed
+
+
+def _bucket_lengths(group: pa.Table, top: Mixed, strings: np.ndarray) -> np.ndarray:
+    """Code lengths of strings that belong to the bucket of ``group``."""
+    mixed = dict(top)
+    if group.num_rows:
+        subtrees(*(group.column(c).to_numpy() for c in ("string", "n"))).mixed(mixed)
+    return code_lengths(strings, mixed)
 
 
 class Scorer:
-    """Code lengths of texts in one task; a dense index finds a context's row."""
-
-    def __init__(self, contexts: list[np.ndarray], logs: np.ndarray):
-        self.logs = logs.ravel()
-        rows = np.zeros(1, np.int32)  # the longest known context of 0, 1, ... bytes
-        before = len(contexts[0])
-        for d in range(1, DEPTH + 1):
-            rows = np.tile(rows, 256)
-            rows[contexts[d]] = before + np.arange(len(contexts[d]), dtype=np.int32)
-            before += len(contexts[d])
-        self.rows = rows
-
-    def scores(self, column: pa.Array) -> np.ndarray:
-        found = [
-            np.add.reduceat(self.logs[self.rows[c].astype(np.int64) * 256 + line].astype(np.float64), begins)
-            for c, line, begins in framed(column)
-        ]
-        return np.concatenate(found) if found else np.zeros(0)
+    """Scores of texts in one task: code lengths of the frequent strings by hashing."""
+
+    def __init__(self, strings: np.ndarray, lengths: np.ndarray):
+        # strings that share a slot of one table with others go to the next
+        self.tables: list[tuple[int, np.ndarray, np.ndarray]] = []
+        while len(strings):
+            shift = 64 - max(4, 2 * len(strings)).bit_length()
+            names, values = np.full(1 << (64 - shift), -1, np.int64), np.zeros(1 << (64 - shift))
+            slot = self._slots(strings, shift, len(self.tables))
+            names[slot], values[slot] = strings, lengths
+            self.tables.append((shift, names, values))
+            left = names[slot] != strings
+            strings, lengths = strings[left], lengths[left]
+
+    def _slots(self, strings: np.ndarray, shift: int, table: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            spread = strings.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * table)
+        return (spread >> np.uint64(shift)).astype(np.int64)
+
+    def lengths(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The code lengths of known strings (0 for others), and the places of the others."""
+        found, left = np.zeros(len(strings)), np.arange(len(strings))
+        for table, (shift, names, values) in enumerate(self.tables):
+            slot = self._slots(strings, shift, table)
+            hit = names[slot] == strings
+            found[left[hit]] = values[slot[hit]]
+            left, strings = left[~hit], strings[~hit]
+        return found, left
+
+    def scores(self, column: pa.Array) -> tuple[list[float], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The sum of each text's frequent strings; of the rare: string, text, times."""
+        sums, rare, first = [], [], 0
+        for strings, begins in framed(column):
+            lengths, odd = self.lengths(strings)
+            sums.append(np.add.reduceat(lengths, begins))
+            owner = np.searchsorted(begins, odd, "right") - 1
+            rare.append(np.stack([strings[odd], owner + first]))
+            first += len(begins)
+        if not sums:
+            return [], (np.zeros(0, np.int64),) * 3
+        pairs = np.concatenate(rare, 1)
+        order = np.lexsort(pairs[::-1])
+        pairs = pairs[:, order]
+        new = np.flatnonzero(np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])) if pairs.size else order
+        times = np.diff(np.append(new, pairs.shape[1]))
+        return np.concatenate(sums).tolist(), (pairs[0, new], pairs[1, new], times)
 
 
 def scored(
@@ -242,15 +307,45 @@ def scored(
     scale = n + 0.5 * (v + 1)
     valued = table.withColumn("value", F.log10((F.col("n") + 0.5) / scale))
     head = head_of(valued, "value")
-    model = spark.sparkContext.broadcast(trained_tree(training))
+
+    strings = counted_strings(training, "_text")
+    buckets = max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), strings.count() // BUCKET)
+    top = spark.sparkContext.broadcast(top_levels(strings, buckets))
+    model = _dealt(strings, buckets).groupBy("to")
+
+    def value(group: pa.Table, asked: pa.Table) -> pa.Table:
+        asked_strings = asked.column("string").to_numpy()
+        return pa.table(
+            [pa.array(asked_strings), pa.array(_bucket_lengths(group, top.value, asked_strings))], ["string", "length"]
+        )
+
+    often = frequent(strings, HEAD).select(F.col("string").alias("string"))
+    found = model.cogroup(_dealt(often, buckets).groupBy("to")).applyInArrow(value, "string long, length double")
+    head_rows = found.toArrow()
+    known = spark.sparkContext.broadcast([head_rows.column(c).to_numpy() for c in ("string", "length")])
     made: list[Scorer] = []
 
-    def score(texts: pa.Array) -> list[float]:
+    def score(texts: pa.Array) -> tuple[list[float], tuple[np.ndarray, np.ndarray, np.ndarray]]:
         if not made:
-            made.append(Scorer(*model.value))
-        return made[0].scores(texts).tolist()
-
-    found = sums_of_rows(rows, "_text", ["_key", "_held"], words, valued, head, "binary", score)
+            made.append(Scorer(*known.value))
+        return made[0].scores(texts)
+
+    parts = stored(row_parts(rows, "_text", ["_key", "_held"], words, head, "binary", score), "row-parts")
+
+    def rest(group: pa.Table, asked: pa.Table) -> pa.Table:
+        """What a bucket's rare strings add to the rows."""
+        if not asked.num_rows:
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.float64())], ["_row", "measured"])
+        distinct, place = np.unique(asked.column("string").to_numpy(), return_inverse=True)
+        lengths = _bucket_lengths(group, top.value, distinct)[place]
+        lists = asked.column("_rows").combine_chunks()
+        own = np.repeat(lengths, lists.value_lengths().to_numpy()) * _flat(asked, "_times")
+        numbers, place = np.unique(_flat(asked, "_rows"), return_inverse=True)
+        return pa.table([pa.array(numbers), pa.array(np.bincount(place, own, len(numbers)))], ["_row", "measured"])
+
+    rare = _dealt(parts.where("string is not null").select("string", "_rows", "_times"), buckets).groupBy("to")
+    added = model.cogroup(rare).applyInArrow(rest, "_row long, measured double")
+    found = summed_parts(parts.where("string is null").drop("string"), ["_key", "_held"], valued, added)
     end = math.log10((ends + 0.5) / scale)
     unknown = math.log10(0.5 / scale)
     return found.select(
@@ -262,3 +357,7 @@ def scored(
         (F.col("total") + (F.col("n_terms") - F.col("n_found")) * unknown + end).alias("base_score"),
         F.col("measured").alias("score"),
     )
+
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)

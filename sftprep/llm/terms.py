@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,22 +48,28 @@ def term_counts(docs: DataFrame, text: str, split: Callable[[str], list], term_t
     return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def frequent(table: DataFrame, most: int) -> DataFrame:
+    """The rows of ``table`` with the greatest ``n``, ``most`` at most: all rows that
+    have so great a one as leaves that many."""
+    # counts from 1024 on are taken together by powers of two: some 1100 rows
+    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(1014 + F.floor(F.log2("n")))
+    sizes = table.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    least, held = 1 << 62, 0
+    for at, rows in sizes:
+        held += rows
+        if held > most:
+            break
+        least = at if at < 1024 else 1 << (at - 1014)
+    return table.where(F.col("n") >= least)
+
+
 def head_of(table: DataFrame, value: str) -> dict:
     """The most frequent terms and their values; ``table`` has term, n and ``value``.
 
     They are all short terms that occur at least so often as leaves ``HEAD`` of them.
     """
     short = table.where(F.octet_length("term") <= LONGEST)
-    # counts from 1024 on are taken together by powers of two: some 1100 rows
-    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(1014 + F.floor(F.log2("n")))
-    sizes = short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
-    least, held = 1 << 62, 0
-    for at, terms in sizes:
-        held += terms
-        if held > HEAD:
-            break
-        least = at if at < 1024 else 1 << (at - 1014)
-    rows = short.where(F.col("n") >= least).select("term", value).toArrow()
+    rows = frequent(short, HEAD).select("term", value).toArrow()
     return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
 
 
@@ -74,13 +81,30 @@ def sums_of_rows(
     table: DataFrame,
     head: dict,
     term_type: str,
-    measure: Callable[[pa.Array], list[float]] | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``carried``, n_terms, n_found, total, measured.
 
     ``n_found`` counts the occurrences of terms in ``table`` (term, value) and
-    ``total`` sums up their values.  ``measure`` gives a number for each text of a
-    batch, so that one pass serves both.  Each row stands for itself, whatever its key.
+    ``total`` sums up their values.  Each row stands for itself, whatever its key.
+    """
+    return summed_parts(row_parts(docs, text, carried, split, head, term_type), carried, table)
+
+
+def row_parts(
+    docs: DataFrame,
+    text: str,
+    carried: list[str],
+    split: Callable[[str], list],
+    head: dict,
+    term_type: str,
+    measure: Callable | None = None,
+) -> DataFrame:
+    """What tasks make of the texts: each row's own sums, and the terms outside ``head``
+    with lists of the rows that hold them.
+
+    ``measure`` gives a number for each text of a batch, and of the strings that it leaves
+    out: string, number of the text, times, ordered by string.  With it there is a column
+    ``string``, and rows for these strings with the rows that hold them.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(head)
@@ -88,7 +112,7 @@ def sums_of_rows(
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carried).schema)
     schema = (
         f"term {term_type}, _owner long, _rows array<long>, _times array<int>, _sum double, _n long,"
-        f" measured double, {kept}"
+        f" measured double, {kept}" + ", string long" * (measure is not None)
     )
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,15 +137,35 @@ def sums_of_rows(
                     pa.array([*[None] * n, *[x[2] for x in own]], pa.int64()),
                     pa.array([*[None] * n, *[x[3] for x in own]], pa.float64()),
                     *with_row,
+                    *[pa.nulls(n + m, pa.int64())] * (measure is not None),
                 ],
-                ["term", "_owner", "_rows", "_times", "_sum", "_n", "measured", *carried],
+                ["term", "_owner", "_rows", "_times", "_sum", "_n", "measured", *carried, *["string"] * (measure is not None)],
             )
 
+        def left_out(strings: np.ndarray, texts: np.ndarray, times: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.concatenate([[True], strings[1:] != strings[:-1]]))
+            ends = pa.array(np.append(starts, len(strings)).astype(np.int32))
+            n = len(starts)
+            return pa.record_batch(
+                [
+                    pa.nulls(n, kind), pa.nulls(n, pa.int64()),
+                    pa.ListArray.from_arrays(ends, pa.array(rows[texts])),
+                    pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                    pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()),
+                    *[pa.nulls(n, k) for k in kinds], pa.array(strings[starts]),
+                ],
+                ["term", "_owner", "_rows", "_times", "_sum", "_n", "measured", *carried, "string"],
+            )
+
         kinds = None
         for batch in batches:
             kinds = [c.type for c in batch.columns[2:]]
             others = zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True)
-            numbers = measure(batch.column(1)) if measure else [None] * len(batch)
+            numbers = [None] * len(batch)
+            if measure is not None:
+                numbers, (strings, texts, times) = measure(batch.column(1))
+                if len(strings):
+                    yield left_out(strings, texts, times, batch.column(0).to_numpy())
             for row, value, number, other in zip(
                 batch.column(0).to_pylist(), batch.column(1), numbers, others, strict=True
             ):
@@ -143,7 +187,15 @@ def sums_of_rows(
             yield out()
 
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    parts = numbered.select("_row", text, *carried).mapInArrow(look_up, schema)
+    return numbered.select("_row", text, *carried).mapInArrow(look_up, schema)
+
+
+def summed_parts(
+    parts: DataFrame, carried: list[str], table: DataFrame, added: DataFrame | None = None
+) -> DataFrame:
+    """The rows that ``row_parts`` took apart, with the values of ``table`` (term, value).
+
+    ``added`` has what belongs to a row's ``measured`` besides (_row, measured)."""
     # a row's own sums have no term; they take part under keys of their own
     parts = parts.withColumn("_owner", F.coalesce("_owner", F.lit(-1)))
     values = table.select("term", F.lit(-1).cast("long").alias("_owner"), "value")
@@ -159,10 +211,14 @@ def sums_of_rows(
         "measured",
         *carried,
     )
+    if added is not None:
+        pieces = pieces.unionByName(added, allowMissingColumns=True)
+    measured = F.first("measured", ignorenulls=True) if added is None else F.sum("measured")
     sums = pieces.groupBy("_row").agg(
         (F.sum("_terms") + F.sum(F.coalesce("_n", F.lit(0)))).alias("n_terms"),
         (F.sum("_found") + F.sum(F.coalesce("_n", F.lit(0)))).alias("n_found"),
         F.sum("_sum").alias("total"),
-        *[F.first(c, ignorenulls=True).alias(c) for c in (*carried, "measured")],
+        *[F.first(c, ignorenulls=True).alias(c) for c in carried],
+        measured.alias("measured"),
     )
     return sums.select(*carried, "n_terms", "n_found", "total", "measured")

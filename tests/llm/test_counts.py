@@ -148,25 +148,63 @@ def plain_weights(cells, depth):
     return weights
 
 
-def test_context_tree_weighting_follows_its_definition(table):
-    texts = ["abracadabra", "abba cab", "Banana"]
-    rows = [(i, t) for i, t in enumerate(texts)]
-    model = lm.trained_tree(table(rows).withColumn("_text", F.col("text")))
+def plain_cells(texts):
     cells = [collections.defaultdict(lambda: [0, 0]) for _ in range(lm.DEPTH + 1)]
-    lines = [b"\xff" * lm.DEPTH + t.lower().encode() + b"\xff" for t in texts]
-    for line in lines:
+    for text in texts:
+        line = framed(text)
         for k in range(lm.DEPTH, len(line)):
             for d in range(lm.DEPTH + 1):
                 for b in range(8):
                     cells[d][line[k - d : k], (1 << b) | (line[k] >> (8 - b))][(line[k] >> (7 - b)) & 1] += 1
-    cells = [dict(c) for c in cells]
-    scorer = lm.Scorer(*model)
-    import pyarrow as pa
-
-    want = sum(plain_tree(lines[0][k - lm.DEPTH : k], lines[0][k], cells, lm.DEPTH) for k in range(lm.DEPTH, len(lines[0])))
-    assert scorer.scores(pa.array(texts[:1]))[0] == pytest.approx(want, rel=1e-5)
-    # every context's row is a distribution over bytes
-    assert np.allclose((10.0 ** model[1].astype(float)).sum(1), 1, atol=1e-4)
+    return [dict(c) for c in cells]
+
+
+def framed(text):
+    return b"\xff" * lm.DEPTH + (text or "").encode().lower() + b"\xff"
+
+
+TREE_TEXTS = [
+    "abracadabra", "abba cab", "Banana", None, "", "abracadabra abracadabra abracad", "banana cab é🙂", "zz",
+    "abracadabra", "the cab the cab the", "abba", "q",
+]
+
+
+@pytest.mark.parametrize(("head", "bucket"), [(1_000_000, 300_000), (0, 1), (40, 10)])
+def test_context_tree_weighting_follows_its_definition(table, monkeypatch, head, bucket):
+    """Seen and unseen texts, whatever part of the strings is looked up in the task."""
+    monkeypatch.setattr(lm, "HEAD", head)
+    monkeypatch.setattr(lm, "BUCKET", bucket)
+    rows = list(enumerate(TREE_TEXTS))
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
+    assert any(held) and not all(held)
+    cells = plain_cells(t for (_, t), h in zip(rows, held, strict=True) if not h)
+    found = {r.doc_id: r.score for r in lm.scored(table(rows)).collect()}
+    for i, text in rows:
+        line = framed(text)
+        want = sum(plain_tree(line[k - lm.DEPTH : k], line[k], cells, lm.DEPTH) for k in range(lm.DEPTH, len(line)))
+        assert found[i] == pytest.approx(want, rel=1e-9), (i, text)
+
+
+def test_bytes_after_a_context_are_a_distribution():
+    rng = np.random.default_rng(5)
+    line = rng.integers(97, 101, 3000)
+    strings = sum(line[lm.DEPTH - k : len(line) - k] << (8 * k) for k in range(lm.DEPTH + 1))
+    distinct, counts = np.unique(strings, return_counts=True)
+    tree, mixed = lm.subtrees(distinct, counts), {}
+    below = lm.parents_of(tree.nodes[lm.TOP], lm.TOP)
+    nodes, place = np.unique(below, return_inverse=True)
+    sums = [np.bincount(place, x[lm.TOP], len(nodes)) for x in (tree.zeros, tree.ones, tree.weight)]
+    lm.Levels(0, lm.TOP - 1, nodes, *sums).mixed(mixed)
+    tree.mixed(mixed)
+    for context in [*(distinct[:20] >> 8), 0x6161610000, 0x7A7A7A7A7A, 0x6162636461]:
+        asked = (int(context) << 8) | np.arange(256)
+        assert np.isclose((10.0 ** lm.code_lengths(asked, mixed)).sum(), 1, atol=1e-9)
+
+
+def test_no_training_documents(table):
+    only_held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    row = lm.scored(table([(only_held, "ab")])).first()
+    assert row.train_tokens == 0 and row.score == pytest.approx(24 * math.log10(0.5))
 
 
 def test_sampled_pieces(table):
