@@ -138,3 +138,54 @@ g0 as materialized (
 select doc_id, leaf, subroot, root.h as root, sha256(proof) as proof_sha256, node as folded_root, node = root.h as verified
 from g{TOP_LEVELS}, (select h from u{TOP_LEVELS}) root
 """
+
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+JACCARD = f"""
+with recursive texts as (
+    select doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as words
+    from documents
+), shingles as (
+    select distinct doc_id, unnest(case when len(words) = 0 then []::varchar[]
+        when len(words) < 3 then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+        end) as shingle
+    from texts
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+    join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+    group by a.doc_id, b.doc_id, x.n, y.n
+    having 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), reached as (
+    select doc_id as a, doc_id as b from documents
+    union
+    select r.a, l.b from reached r join links l on l.a = r.b
+)
+select d.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(r.b) as component_id
+from documents d left join sizes s on s.doc_id = d.doc_id join reached r on r.a = d.doc_id
+group by d.doc_id
+"""
+
+SUBSTRINGS = f"""
+with texts as (
+    select doc_id, {_WORDS.format("coalesce(text, '')")} as words from documents
+), windows as (
+    select doc_id, i, array_to_string(words[i : i + 12], ' ') as w
+    from (select *, unnest(range(1, len(words) - 11)) as i from texts)
+), repeated as (
+    select doc_id, i from windows qualify min(doc_id) over (partition by w) < doc_id
+), removed as (
+    select distinct doc_id, i + j as i from repeated, range(13) as r(j)
+), words as (
+    select doc_id, unnest(words) as word, generate_subscripts(words, 1) as i from texts
+), kept as (
+    select w.doc_id, count(*) as n, string_agg(word, ' ' order by i) as kept
+    from words w anti join removed r on r.doc_id = w.doc_id and r.i = w.i group by w.doc_id
+)
+select t.doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from texts t left join kept k on k.doc_id = t.doc_id
+"""

@@ -189,6 +189,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_ngram_jaccard_join": oracles.JACCARD,
+    "op4_substring_dedup": oracles.SUBSTRINGS,
     "op9_quality_rules": OP9_SQL,
     "op11_source_mixing": oracles.MIXING,
     "op13_merkle_manifest": oracles.MERKLE,
