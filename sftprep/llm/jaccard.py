@@ -49,6 +49,7 @@ from sftprep.llm.windows import (
     mixed,
     ranges,
     rolled,
+    text_again,
     word_sequence,
 )
 
@@ -443,6 +444,7 @@ def one_of_each(
     rows = keyed(docs, key, text)
     own = joined(docs, threshold, shingle, key, text)
     same = F.coalesce(F.col(key), F.lit(LAST_KEY)) == F.coalesce("component_id", F.lit(LAST_KEY))
-    stay = own.where(same).select(F.col(key).alias("_k"), "_print").distinct()
-    kept = rows.join(stay.select("_print"), "_print", "left_semi")
-    return kept.dropDuplicates(["_id", "_print"]).select(names)
+    own_key = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("_id")
+    stay = own.where(same).select(own_key, "_print")
+    kept = rows.join(stay, ["_id", "_print"], "left_semi").dropDuplicates(["_id", "_print"])
+    return kept.select(*[(text_again() if c == text else F.col("_row")[c]).alias(c) for c in names])

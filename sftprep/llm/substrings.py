@@ -273,7 +273,24 @@ def without_repeats(
     Columns of these names are replaced.  With ``spaces`` the text left keeps its white
     space (``text_left``), and a text that loses nothing, null too, is unchanged.
     """
-    rows = keyed(docs.withColumn("_no_text", F.col(text).isNull()), key, text)
+    left = _rows_left(docs, length, key, text, spaces)
+    names = [c for c in docs.columns if c not in (text, "n_words", "n_removed", "kept")]
+    return left.select(*[F.col("_row")[c].alias(c) for c in names], "n_words", "n_removed", "kept")
+
+
+def with_texts_left(
+    docs: DataFrame, length: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with the texts left, white space too, in the place of the texts, and without
+    the documents of which nothing is left; no other column changes, whatever its name."""
+    left = _rows_left(docs, length, key, text, spaces=True)
+    left = left.where((F.col("n_removed") == 0) | (F.col("kept") != ""))
+    return left.select(*[(F.col("kept") if c == text else F.col("_row")[c]).alias(c) for c in docs.columns])
+
+
+def _rows_left(docs: DataFrame, length: int, key: str, text: str, spaces: bool) -> DataFrame:
+    """``_row`` (see ``keyed``), n_words, n_removed and kept."""
+    rows = keyed(docs, key, text)
     groups = group_count(rows, "_text")
     gone = removed_runs(rows, groups, length)
     released(docs.sparkSession)
@@ -287,9 +304,7 @@ def without_repeats(
         left = text_left(content, flags) if spaces else b" ".join(kept).decode()
         return len(words), len(words) - len(kept), left
 
-    names = [c for c in docs.columns if c not in (text, "n_words", "n_removed", "kept")]
-    added = "n_words long, n_removed long, kept string"
-    left = without_runs(rows, gone, groups, [*names, "_no_text"], cut, added)
+    left = without_runs(rows, gone, groups, cut, "n_words long, n_removed long, kept string")
     if spaces:
         left = left.withColumn("kept", F.when(~F.col("_no_text"), F.col("kept")))
-    return left.drop("_no_text")
+    return left

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sftprep.llm.common import dropped, released, stored
 from sftprep.llm.windows import (
@@ -354,4 +355,6 @@ def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", tex
 
     names = [c for c in docs.columns if c not in (text, "n_bytes", "n_removed", "n_spans", "kept")]
     added = "n_bytes long, n_removed long, n_spans long, kept binary"
-    return without_runs(rows, gone, groups, names, cut, added)
+    left = without_runs(rows, gone, groups, cut, added)
+    own = [F.col("_row")[c].alias(c) for c in names]
+    return left.select(*own, "n_bytes", "n_removed", "n_spans", "kept")

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sftprep.llm.common import text_of
 
@@ -207,12 +208,23 @@ def hash_group(id_: np.ndarray, print_: np.ndarray, groups: int) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Add ``_text``, ``_id`` and ``_print``; columns of these names are replaced."""
-    rows = docs.withColumn("_text", text_of(text))
-    rows = rows.withColumn("_id", F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)))
+    """``_text``, ``_no_text`` (it was null), ``_id``, ``_print`` and all other columns of
+    ``docs`` as one, ``_row``, so that their names can't clash with those."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    rows = docs.select(
+        F.struct(*(others or [F.lit(0).alias("_")])).alias("_row"),
+        text_of(text).alias("_text"),
+        F.col(text).isNull().alias("_no_text"),
+        F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("_id"),
+    )
     return rows.withColumn("_print", F.xxhash64("_id", "_text"))
 
 
+def text_again() -> Column:
+    """The text of a ``keyed`` row as it was."""
+    return F.when(~F.col("_no_text"), F.col("_text"))
+
+
 def _group(groups: int) -> Column:
     folded = F.expr("(_print ^ shiftright(_print, 32)) & 2147483647L")
     return (folded % groups).alias("_to")
@@ -375,13 +387,15 @@ RUNS = "id array<long>, print array<long>, start array<int>, count array<int>"
 
 
 def without_runs(
-    rows: DataFrame, runs_: DataFrame, groups: int, names: list[str], cut: Callable, added: str
+    rows: DataFrame, runs_: DataFrame, groups: int, cut: Callable, added: str
 ) -> DataFrame:
-    """``names`` of the documents and what ``cut`` makes of each text and its runs.
+    """``_row`` and ``_no_text`` of the documents, and what ``cut`` makes of each text and
+    its runs.
 
     ``cut(text, runs)`` returns a tuple of the columns ``added``.
     """
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(names).schema]
+    names = ["_row", "_no_text"]
+    schema = StructType([rows.schema[n] for n in names] + list(StructType.fromDDL(added)))
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         known = by_document(right, "start", "count")
@@ -395,4 +409,4 @@ def without_runs(
         return table
 
     left = in_groups(rows, groups, "_id", "_print", "_text", *names).groupBy("_to")
-    return left.cogroup(runs_.groupBy("_to")).applyInArrow(apply, ", ".join([*fields, added]))
+    return left.cogroup(runs_.groupBy("_to")).applyInArrow(apply, schema)

@@ -254,6 +254,44 @@ def test_one_of_each_class_stays(table):
     assert left == {c for _, _, c in classes(rows, 80, 5)}
 
 
+CLASHING = ["_id", "_print", "_to", "_text", "_row", "_no_text", "kept", "n_words", "n_removed", "k", "c", "part", "n", "a", "b"]
+
+
+def clashing(spark, rows):
+    """The rows with columns of the names that the operators use inside, one a map."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    more = [F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING]
+    return docs.select("doc_id", *more[:5], "text", *more[5:], F.create_map(F.lit("m"), "doc_id").alias("with space"))
+
+
+def unchanged(before, after):
+    """All columns but the text are as they were."""
+    rows = {r["doc_id"]: r for r in before.collect()}
+    for r in after.collect():
+        assert all(r[c] == rows[r["doc_id"]][c] for c in before.columns if c != "text")
+
+
+def test_columns_of_any_name(spark, folder):
+    rows = [(i, t) for i, t in documents(3) if i not in (None, 7)] + chain()
+    docs = clashing(spark, rows)
+    one = jaccard.one_of_each(docs, 80, 5)
+    assert one.columns == docs.columns
+    unchanged(docs, one)
+    assert {r.doc_id for r in one.collect()} == {c for _, _, c in classes(rows, 80, 5)}
+    assert {(r.doc_id, r.text) for r in one.collect()} <= set(rows)
+
+    cut = substrings.with_texts_left(docs, 5)
+    assert cut.columns == docs.columns
+    unchanged(docs, cut)
+    plain = substrings.without_repeats(docs.select("doc_id", "text"), 5, spaces=True)
+    assert {(r.doc_id, r.text) for r in cut.collect()} == {
+        (r.doc_id, r.kept) for r in plain.collect() if r.kept != "" or not r.n_removed
+    }
+    left = suffixes.without_repeats(docs, 50)
+    assert set(docs.columns) - {"text"} <= set(left.columns)
+    unchanged(docs.drop("kept", "n_removed"), left)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, "only one text")]])
 def test_small_tables(table, rows):
     n = len(rows)
