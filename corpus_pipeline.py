@@ -26,31 +26,34 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule or a certified cutoff rejects go."""
+    """Documents that the base rule or a certified cutoff rejects go.  A null text counts as
+    empty, which the base rule rejects; of equal rows each is judged for itself."""
     return quality.passing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by shingles of five words and a similarity of 0.8,
-    directly or by others, the one with the smallest key stays."""
+    directly or by others, the one with the smallest key stays.  Texts without words are
+    linked with nothing and stay; of equal rows one stays; a null key counts as the
+    largest.  Texts are compared whole, however long."""
     return jaccard.one_of_each(docs, threshold=80, shingle=5)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document has go; so do documents of which
-    nothing is left.  Other words, and documents without such a passage, stay as they are."""
-    left = substrings.without_repeats(docs, length=50, spaces=True)
-    left = left.where((F.col("n_removed") == 0) | (F.col("kept") != ""))
-    return _with_length(left.withColumn("text", F.col("kept")), docs.columns)
+    nothing is left.  Other words, and documents without such a passage, null and empty
+    texts among them, stay as they are.  Of rows with one key none counts as earlier."""
+    return _with_length(substrings.with_texts_left(docs, length=50), docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark."""
+    """Secrets are replaced by a mark; null and empty texts stay."""
     return _with_length(secrets.redacted(docs), docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids and their places in sequences of 2048."""
+    """Pieces of token ids and their places in sequences of 2048.  A null or empty text
+    has its end alone; of equal rows each has its pieces."""
     return packing.packed(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
