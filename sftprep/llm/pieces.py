@@ -8,9 +8,9 @@ which lists frequent pieces first (Zipf's law); characters that are no piece bec
 byte pieces.
 
 No piece holds a space after another character, so the lattice of a text falls apart
-into units, some spaces and the word behind them.  Each distinct unit of a batch is
-filtered once; then all its occurrences are sampled at once, a piece of every unit at
-a time.  The random numbers are hashes of seed, row key, number of the unit in its
+into units, some spaces and the word behind them.  Each distinct unit is filtered once
+by a worker; then all its occurrences in a batch are sampled at once, a piece of every
+unit at a time.  The random numbers are hashes of seed, row key, number of the unit in its
 text and number of the draw, and probabilities are 32-bit integers, so a row is cut
 in the same way whatever the partitions, the batch or the machine.
 
@@ -30,6 +30,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ _UNIT = re.compile(" +[^ ]*")
 CHUNK = 1_500_000
 #: Longer units are filtered one by one.
 SHORT = 64
+#: Characters of units that a worker keeps: some 50 bytes each.
+KEPT = 2_500_000
 FULL = (1 << 32) - 1
 
 
@@ -71,6 +74,7 @@ class Pieces:
                 self.ids[piece] = (i, float(i + 1) ** -power)
                 self.content.append(piece.encode())
         self.longest = max(map(len, self.ids))
+        self.lattices: Lattices | None = None
         # of each length: hashes of the pieces, in order, and their ids
         self.hashes: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         weight = np.zeros(len(self.content))
@@ -96,23 +100,47 @@ def pieces_of(path: str, power: float) -> Pieces:
 
 
 class Lattices:
-    """Forward sums of distinct units as arrays: edges by the node where they end."""
+    """Forward sums of distinct units as arrays: edges by the node where they end.
 
-    def __init__(self, pieces: Pieces, units: list[str]):
+    A worker filters a unit once and keeps it for all texts to come, until ``KEPT``
+    characters of units are there; then it begins anew.
+    """
+
+    def __init__(self, pieces: Pieces):
         self.pieces = pieces
+        self.numbers: dict[str, int] = {}
+        self.nodes = self.edges = self.units = self.characters = 0
+        self.first, self.last = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        # node where the edge ends and the upper end of its share in 2 ** 32; length; piece
+        self.keys, self.size, self.piece = np.zeros(1 << 20, np.uint64), np.zeros(1 << 20, np.uint8), np.zeros(1 << 20, np.int32)
+
+    def add(self, units: list[str]) -> None:
+        """Filter new units, numbered after those that are there."""
+        if not units:
+            return
         lengths = np.array([len(u) for u in units], np.int64)
-        self.first = np.cumsum(lengths + 1) - lengths - 1  # a node before each character
-        self.last = self.first + lengths
+        first = self.nodes + np.cumsum(lengths + 1) - lengths - 1  # a node before each character
         short = np.flatnonzero(lengths <= SHORT)
-        parts = [self._short([units[i] for i in short], self.first[short], lengths[short])]
-        parts += [self._long(units[i], int(self.first[i])) for i in np.flatnonzero(lengths > SHORT)]
-        # node where the edge ends, upper end of its share in 2 ** 32, start, piece
-        node, bound, self.source, self.piece = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts = [self._short([units[i] for i in short], first[short], lengths[short])]
+        parts += [self._long(units[i], int(first[i])) for i in np.flatnonzero(lengths > SHORT)]
+        node, bound, source, piece = (np.concatenate(x) for x in zip(*parts, strict=True))
         keys = (node.astype(np.uint64) << np.uint64(32)) | bound
+        size = node - source
         if len(parts) > 1:
             order = np.argsort(keys, kind="stable")
-            keys, self.source, self.piece = keys[order], self.source[order], self.piece[order]
-        self.keys = keys
+            keys, size, piece = keys[order], size[order], piece[order]
+        for name, values, at in (
+            ("first", first, self.units), ("last", first + lengths, self.units),
+            ("keys", keys, self.edges), ("size", size, self.edges), ("piece", piece, self.edges),
+        ):
+            held = getattr(self, name)
+            if at + len(values) > len(held):
+                held = np.concatenate([held[:at], np.zeros(max(at // 2, 2 * len(values)), held.dtype)])
+                setattr(self, name, held)
+            held[at : at + len(values)] = values
+        self.units, self.edges = self.units + len(units), self.edges + len(keys)
+        self.nodes += int((lengths + 1).sum())
+        self.characters += int(lengths.sum())
 
     def _short(self, units: list[str], first: np.ndarray, lengths: np.ndarray) -> tuple:
         """All units at once, place by place; a piece is found by the hash of its characters."""
@@ -191,7 +219,7 @@ class Lattices:
 
     def sample(self, unit: np.ndarray, random: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all occurrences in order, and how many each has."""
-        keys, source, piece = self.keys, self.source, self.piece
+        keys, size, piece = self.keys[: self.edges], self.size, self.piece
         first = self.first[unit]
         at, going = self.last[unit], np.arange(len(unit))
         drawn, counts = [], np.zeros(len(unit), np.int64)
@@ -203,7 +231,7 @@ class Lattices:
             edge = np.searchsorted(keys, (at[going].astype(np.uint64) << np.uint64(32)) | chance, "right")
             drawn.append((going, piece[edge]))
             counts[going] += 1
-            at[going] = source[edge]
+            at[going] -= size[edge]
             going = going[at[going] > first[going]]
             step += 1
         starts = np.cumsum(counts) - counts
@@ -239,20 +267,22 @@ def segmented(pieces: Pieces, texts: list[str], keys: np.ndarray) -> Iterator[li
         while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK):
             size += len(texts[last])
             last += 1
-        numbers: dict[str, int] = {}
-        units, lengths = array("q"), []
+        lattices = pieces.lattices
+        if lattices is None or lattices.characters > KEPT:
+            lattices = pieces.lattices = Lattices(pieces)
+        numbers, known, lengths = lattices.numbers, len(lattices.numbers), []
+        units = array("q")
         for text in texts[first:last]:
             found = _UNIT.findall(" " + text) if text else []
-            for unit in found:
-                units.append(numbers.setdefault(unit, len(numbers)))
+            units.extend([numbers.setdefault(unit, len(numbers)) for unit in found])
             lengths.append(len(found))
+        lattices.add(list(islice(numbers, known, None)))
         counts = np.array(lengths)
         if len(units):
             with np.errstate(over="ignore"):
                 row = np.repeat(mixed(keys[first:last]), counts)
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
                 random = mixed(row + nth.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-            lattices = Lattices(pieces, list(numbers))
             ids, per_unit = _with_bytes(pieces, *lattices.sample(np.frombuffer(units, np.int64), random))
             owner = np.repeat(np.arange(last - first), counts)
             ends = np.cumsum(np.bincount(owner, per_unit, last - first).astype(np.int64))
