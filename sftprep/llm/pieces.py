@@ -151,45 +151,58 @@ class Lattices:
         unit = np.repeat(np.arange(len(units)), lengths)
         left = np.repeat(begin + lengths, lengths) - np.arange(n)
         node = np.arange(n) + unit  # local nodes: one more for each unit
-        share = np.zeros((n + len(units), most))
-        piece = np.zeros((n + len(units), most), np.int64)
+        ends, sizes, ids_, weights = [], [], [], []
         letters, hashes = mixed(codes.astype(np.uint64)), np.zeros(n, np.uint64)
         base = np.uint64(0x9E3779B97F4A7C15)
         with np.errstate(over="ignore"):
             for size in range(1, most + 1):
                 at = np.flatnonzero(left >= size) if size == 1 else at[left[at] >= size]
-                hashes[at] = hashes[at] * base + letters[at + size - 1]
+                own = hashes[at] * base + letters[at + size - 1]
+                hashes[at] = own
                 known, ids = pieces.hashes[size]
                 if not len(known) or not len(at):
                     continue
-                place = np.searchsorted(known, hashes[at])
+                place = np.searchsorted(known, own)
                 place[place == len(known)] = 0
-                hit = known[place] == hashes[at]
-                end = node[at[hit]] + size
-                piece[end, size - 1] = ids[place[hit]]
-                share[end, size - 1] = pieces.weight[ids[place[hit]]]
+                hit = known[place] == own
+                found = ids[place[hit]]
+                ends.append(node[at[hit]] + size)
+                ids_.append(found)
+                weights.append(pieces.weight[found])
+                sizes.append(np.full(len(found), size))
                 if size == 1:  # a character that is no piece has to be spelled in bytes
-                    end = node[at[~hit]] + 1
-                    piece[end, 0] = -1 - codes[at[~hit]].astype(np.int64)
-                    share[end, 0] = pieces.byte_weight
+                    odd = at[~hit]
+                    ends.append(node[odd] + 1)
+                    ids_.append(-1 - codes[odd].astype(np.int64))
+                    weights.append(np.full(len(odd), pieces.byte_weight))
+                    sizes.append(np.ones(len(odd), np.int64))
+        if not n:
+            return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        end = np.concatenate(ends)
+        order = np.argsort(end, kind="stable")  # by end and length, as lengths come in order
+        end, size, piece, weight = (np.concatenate(x)[order] if x is not ends else end[order] for x in (ends, sizes, ids_, weights))
+        opens = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]]))
+        rank = np.arange(len(end)) - np.repeat(opens, np.diff(np.append(opens, len(end))))
+        starts = begin + np.arange(len(units))
+        of_unit = np.searchsorted(starts, end, "right") - 1
+        # the edges of a place of all units and of one rank are summed up at once
+        step = (end - starts[of_unit]) * most + rank
+        by_step = np.argsort(step, kind="stable")
+        turns = np.append(np.flatnonzero(np.concatenate([[True], np.diff(step[by_step]) > 0])), len(step))
         reach = np.zeros(n + len(units))
-        start = begin + np.arange(len(units))
-        reach[start] = 1.0
-        by_length = np.argsort(-lengths, kind="stable")
-        start, sizes = start[by_length], lengths[by_length]
-        for j in range(1, int(lengths.max(initial=0)) + 1):
-            end = start[: int(np.searchsorted(-sizes, -j, "right"))] + j
-            for size in range(1, min(j, most) + 1):
-                share[end, size - 1] *= reach[end - size]
-                reach[end] += share[end, size - 1]
-        ends, size = np.nonzero(share)
-        sums = np.cumsum(share, 1)
-        bound = (sums[ends, size] / reach[ends] * FULL).astype(np.uint64)
+        reach[starts] = 1.0
+        upto = np.zeros(len(end))
+        source = end - size
+        for low, high in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True):
+            edge = by_step[low:high]
+            sums = reach[end[edge]] + weight[edge] * reach[source[edge]]
+            reach[end[edge]] = sums
+            upto[edge] = sums
+        bound = (upto / reach[end] * FULL).astype(np.uint64)
         bound = np.minimum(bound, np.uint64(FULL))
-        bound[np.append(ends[1:] != ends[:-1], True)[: len(ends)]] = FULL
-        of_unit = np.searchsorted(begin + np.arange(len(units)), ends, "right") - 1
-        shift = (first - begin - np.arange(len(units)))[of_unit] if len(units) else ends
-        return ends + shift, bound, ends + shift - size - 1, piece[ends, size]
+        bound[np.append(opens[1:], len(end)) - 1] = FULL
+        shift = (first - starts)[of_unit]
+        return end + shift, bound, source + shift, piece
 
     def _long(self, unit: str, base: int) -> tuple:
         get, longest = self.pieces.ids.get, self.pieces.longest

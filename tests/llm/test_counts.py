@@ -207,6 +207,20 @@ def test_no_training_documents(table):
     assert row.train_tokens == 0 and row.score == pytest.approx(24 * math.log10(0.5))
 
 
+@pytest.mark.parametrize("kept", [2_500_000, 0, 500])
+def test_draws_stay_the_same(monkeypatch, kept):
+    """Whatever a worker keeps of the units before, and in later versions."""
+    monkeypatch.setattr(pieces, "KEPT", kept)
+    model = pieces.Pieces(MODEL, 1.0)
+    texts = [t or "" for _, t in documents()] + ["x" * 200 + " " + "é" * 90 + " the end of it", "日本語 " * 40]
+    keys, digest = np.arange(len(texts)).astype(np.uint64), 0
+    for low in range(0, len(texts), 30):
+        for rows in pieces.segmented(model, texts[low : low + 30], keys[low : low + 30]):
+            for row in rows:
+                digest = zlib.crc32(row.astype("<u4").tobytes(), digest)
+    assert digest == 2389133215
+
+
 def test_sampled_pieces(table):
     rows = documents() + ODD
     found = pieces.sampled(table(rows), MODEL, seed=5)
