@@ -51,7 +51,7 @@ from sftprep.llm.terms import frequent, head_of, row_parts, summed_parts, term_c
 DEPTH, TOP = 5, 3
 END = 255
 #: Bytes of text that a task holds as numbers at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Strings whose code lengths all tasks get, and strings of a bucket, about.
 HEAD, BUCKET = 1_000_000, 300_000
 _LOWER = np.arange(256, dtype=np.uint8)
