@@ -382,7 +382,10 @@ def opened_parts(
     if best:
         open_ = open_.groupBy("k").agg(F.max(F.struct("common", "c", "part", "n")).alias("o"))
         open_ = open_.select("k", "o.c", "o.part", "o.n")
-    return open_.select("c", "part", "k"), posted.select("c", "part", "k").distinct()
+    opened = stored(open_.select("c", "part", "k"), "opened", release=False)
+    members = stored(posted.select("c", "part", "k").distinct(), "members", release=False)
+    dropped(posted)
+    return opened, members
 
 
 def _components_of(rows: DataFrame, sets: DataFrame, groups: int, threshold: int, shingle: int) -> DataFrame:
@@ -402,9 +405,9 @@ def _components_of(rows: DataFrame, sets: DataFrame, groups: int, threshold: int
     for best in (True, False):  # one part for each query joins most groups; then all that is left
         alike = components(links)
         opened, members = opened_parts(postings, alike, threshold, best)
-        more = linked(stored(opened, "opened"), members, texts, groups, threshold, shingle)
+        more = linked(opened, members, texts, groups, threshold, shingle)
         last, links = links, stored(links.union(more), "links")
-        dropped(last)
+        dropped(last, opened, members, alike)
     return components(links)
 
 
