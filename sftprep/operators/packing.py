@@ -48,7 +48,7 @@ def pack(
     # a row without ids has no part in the stream
     rows = df.select(*keys, ids.alias("_ids")).filter(F.size("_ids") > 0)
     order = [order_hash(keys, seed), F.md5(F.array_join("_ids", ","))]
-    summed = in_ranges(rows, order).select("_ids").mapInArrow(
+    summed = in_ranges(rows, order, computed=True).select("_ids").mapInArrow(
         _summed, "_ids array<int>, _inside long, _size long, _task int"
     )
     return _blocks(_located(settle(summed)), length, drop_last)

@@ -31,25 +31,34 @@ def counted_off(df: DataFrame, name: str = "position", most: int | None = None)
 
 
 def numbered(
-    df: DataFrame, order: Sequence[Column | str], name: str = "position", first: int = 0
+    df: DataFrame,
+    order: Sequence[Column | str],
+    name: str = "position",
+    first: int = 0,
+    computed: bool = False,
 ) -> DataFrame:
     """``df`` with each row's place in the order as a long column, counted from ``first``.
 
     Rows that are equal in ``order`` are neighbours in any order; they need not come to
     one task, however many there are, as a running number tells them apart in the sort.
     The plan of ``df`` runs twice, once for a sample of the sort values, so these should
-    be short and the plan not costly.
+    be short and the plan not costly.  ``computed`` as in :func:`in_ranges`.
     """
-    placed = counted_off(in_ranges(df, order), "_position")
+    placed = counted_off(in_ranges(df, order, computed), "_position")
     kept = [c for c in df.columns if c != name]
     return placed.select(*kept, (F.col("_position") + first).alias(name))
 
 
-def in_ranges(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """The table sorted; equal rows may be dealt to several tasks."""
-    # the sort values of ``order`` may be expressions over the columns of df
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    return tied.orderBy(*order, "_tie").drop("_tie")
+def in_ranges(df: DataFrame, order: Sequence[Column | str], computed: bool = False) -> DataFrame:
+    """The table sorted; equal rows may be dealt to several tasks.
+
+    ``order`` may be expressions over the columns of df.  A sort computes these anew for
+    both rows of each comparison, so hashes of a row's content are sorted with
+    ``computed``: as columns, in rising order.
+    """
+    values = {f"_sort{i}": c for i, c in enumerate(order)} if computed else {}
+    tied = df.withColumns({"_tie": F.monotonically_increasing_id(), **values})
+    return tied.orderBy(*(values or order), "_tie").drop("_tie", *values)
 
 
 def _task() -> Column:

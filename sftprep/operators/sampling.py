@@ -35,8 +35,8 @@ def shuffle_by_hash(
     table is written to the shared folder on the call."""
     order = seeded_order(df, key, seed)
     if position is None:
-        return in_ranges(df, order)
-    return numbered(df, order, position)
+        return in_ranges(df, order, computed=True)
+    return numbered(df, order, position, computed=True)
 
 
 def take_n(df: DataFrame, n: int, strict: bool = True) -> DataFrame:

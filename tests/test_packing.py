@@ -4,6 +4,7 @@ import random
 import pytest
 
 from sftprep import pack, training_blocks
+from sftprep.operators import packing
 
 
 def md5(text):
@@ -88,3 +89,18 @@ def test_payload_is_shuffled_to_the_blocks_only(df):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert sum("block" in line or "_groupingexpression" in line for line in exchanges) <= 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_sort_compares_columns(df, monkeypatch):
+    """An expression in the order would be computed anew in each comparison of tied keys."""
+    plans = []
+
+    def settled(table):
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        return table
+
+    monkeypatch.setattr(packing, "settle", settled)
+    pack(df, "k", 4, 6)
+    sorts = [line for line in plans[0].splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and "md5" not in sorts[0]
+    assert "md5" in plans[0]
