@@ -3,19 +3,26 @@
 A vocabulary is a table ``token, id, n, is_special``.  Ids follow the counts, so
 a low id is a frequent token.
 
-Translating keeps every row where it is.  The entries with the lowest ids are turned into
-one hash table value that every task gets, and looked up inside the array expression;
-they are at most ``LOOKUP_ROWS`` entries of at most ``LOOKUP_BYTES`` bytes each, whatever
-the vocabulary.  When it has more entries, each row's remaining distinct elements are
-joined with them, come back as one small map for the row, and are looked up there.  An
-element's place in the array, and the row's other columns, have no part in the join, so
-neither a row key nor any order is needed.
+A vocabulary of a bounded size is turned into one hash table value that every task gets, and
+looked up inside the array expression, which keeps every row where it is; it has at most
+``LOOKUP_ROWS`` entries of at most ``LOOKUP_BYTES`` bytes each.
+
+With a larger one the rows are cut into blocks of some ``BLOCK_ELEMENTS`` elements.  Each
+block's elements become codes of its own short dictionary; the dictionaries, which have an
+element once for a block however often it occurs there, are joined with the vocabulary, and
+the rows, codes instead of strings, are sorted behind their block's translated dictionary.
+An element's place in the array, and the row's other columns, have no part in the join, so
+neither a row key nor any order is needed, and no element is a hot key there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.scratch import settle
@@ -24,10 +31,10 @@ from .positions import numbered
 # Entries that are looked up in the row expression, and their longest token in bytes:
 # 24 MB at most (tokens of a usual vocabulary have 6 bytes on average).
 LOOKUP_ROWS, LOOKUP_BYTES = 1 << 18, 96
-# An element that makes up more than this share of those that are joined is looked up too.
-HOT_SHARE, HOT_BYTES = 1 / 1000, 4096
-# The map of a row is searched in so many parts.
-MAP_PARTS = 64
+# Elements of a block; a longer row is a block of its own.
+BLOCK_ELEMENTS = 1 << 21
+# An element is in the join once for a block, so no share makes it hot; kept for callers that set it.
+HOT_SHARE = 1 / 1000
 
 
 def build_vocab(
@@ -112,12 +119,10 @@ def _translate(
 ) -> DataFrame:
     """Map the elements of an array column through the table ``from, to``."""
     low = (F.col("id") < lookup_rows) & (F.col("bytes") <= LOOKUP_BYTES)
-    low_pairs = pairs.filter(low).select("from", "to")
-    rest = pairs.filter(~low).select("from", "to")
-    if rest.isEmpty():
-        mapped = _looked_up(df, low_pairs, column, out, default)
+    if pairs.filter(~low).isEmpty():
+        mapped = _looked_up(df, pairs.select("from", "to"), column, out, default)
     else:
-        mapped = _joined(df, low_pairs, rest, column, out, default)
+        mapped = _joined(df, pairs.select("from", "to"), column, out, default)
     return mapped if default is not None else mapped.withColumn(out, F.array_compact(out))
 
 
@@ -170,44 +175,102 @@ def _looked_up(
     )
 
 
-def _joined(
-    df: DataFrame, low: DataFrame, rest: DataFrame, column: str, out: str, default: int | None
-) -> DataFrame:
-    """Map elements through ``low`` by lookup and through ``rest`` by a join of each
-    row's distinct remaining elements."""
-    numbered_rows = df.withColumn("_row", F.monotonically_increasing_id())
-    first = settle(_looked_up(numbered_rows, low, column, "_to"))
-    kind = rest.schema["from"].dataType
-    missing = F.filter(
-        F.arrays_zip(F.col(column).cast(f"array<{kind.simpleString()}>").alias("from"), F.col("_to").alias("to")),
-        lambda e: e["from"].isNotNull() & e["to"].isNull(),
+def _joined(df: DataFrame, pairs: DataFrame, column: str, out: str, default: int | None) -> DataFrame:
+    """Map elements through a join of each block's distinct elements."""
+    kept = [c for c in df.columns if c != out]
+    elements = f"array<{pairs.schema['from'].dataType.simpleString()}>"
+    coded = F.arrow_udf(_coded(BLOCK_ELEMENTS), f"struct<block: bigint, codes: array<int>, elements: {elements}>")
+    # blocks differ from run to run; the rows and dictionaries that are written stay as they are
+    rows = settle(df.select(*kept, coded.asNondeterministic()(F.col(column).cast(elements)).alias("_coded")))
+    block = F.col("_coded.block").alias("_block")
+    asked = rows.filter(F.col("_coded.elements").isNotNull()).select(
+        block, F.posexplode("_coded.elements").alias("_code", "from")
     )
-    asked = first.select("_row", F.explode(F.array_distinct(F.transform(missing, lambda e: e["from"]))).alias("from"))
-    # one row for each distinct element from here to the join, so none of them is hot there
-    counts = settle(asked.groupBy("from").agg(F.count(F.lit(1)).alias("rows")).join(rest, "from", "left"))
-    limit = (counts.agg(F.sum("rows")).first()[0] or 0) * HOT_SHARE
-    # at most 1 / HOT_SHARE elements, those that no entry has among them; a longer one that
-    # is hot is left to the join, where adaptive execution splits its partition
-    short = F.octet_length(F.col("from").cast("string")) <= HOT_BYTES
-    hot = counts.filter((F.col("rows") > limit) & short)
-    known = counts.join(hot.select("from"), "from", "left_anti").filter(F.col("to").isNotNull())
-    # entries of a row, in parts by hash: a search in a map looks at one entry after the other
-    each = asked.join(known.select("from", "to"), "from").repartition("_row")
-    part = F.pmod(F.xxhash64("from"), F.lit(MAP_PARTS)).cast("int")
-    parts = each.groupBy("_row", part.alias("_part")).agg(
-        F.map_from_entries(F.collect_list(F.struct("from", "to"))).alias("_entries")
+    entries = asked.join(pairs, "from", "left").repartition("_block")
+    dictionaries = entries.groupBy("_block").agg(
+        F.map_from_entries(F.collect_list(F.struct("_code", "to"))).alias("_to")
     )
-    maps = parts.groupBy("_row").agg(
-        F.map_from_entries(F.collect_list(F.struct("_part", "_entries"))).alias("_own")
+    # a block's dictionary, then its rows
+    first = dictionaries.withColumn("_is_row", F.lit(False))
+    behind = rows.select(*kept, block, F.col("_coded.codes").alias("_codes"), F.lit(True).alias("_is_row"))
+    placed = (
+        first.unionByName(behind, allowMissingColumns=True)
+        .repartition("_block")
+        .sortWithinPartitions("_block", "_is_row")
     )
-    hot_to = _looked_up(first, hot.filter(F.col("to").isNotNull()).select("from", "to"), column, "_hot", slots=1 << 10)
-    back = hot_to.join(maps, "_row", "left")
+    # not deterministic, as the result depends on the rows before
+    image = F.arrow_udf(_images(default), f"array<{pairs.schema['to'].dataType.simpleString()}>")
+    translated = image.asNondeterministic()("_block", "_codes", F.map_keys("_to"), F.map_values("_to"))
+    return placed.select(*kept, "_is_row", translated.alias(out)).filter("_is_row").select(*kept, out)
 
-    def find(element: Column, at: Column) -> Column:
-        element = element.cast(kind)
-        own = F.col("_own")[F.pmod(F.xxhash64(element), F.lit(MAP_PARTS)).cast("int")][element]
-        found = F.coalesce(F.get("_to", at), F.get("_hot", at), own)
-        return found if default is None else F.coalesce(found, F.lit(default))
 
-    kept = [c for c in df.columns if c != out]
-    return back.select(*kept, F.transform(column, find).alias(out))
+def _lists(offsets: np.ndarray, values: pa.Array, nulls: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(nulls))
+
+
+def _offsets(lists: pa.Array) -> np.ndarray:
+    """Where each list begins and ends among the values of all."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _coded(most: int):
+    """Each row's block, of some ``most`` elements, and the codes of its elements; the first row
+    of a block has its dictionary.  A null has no code."""
+
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        number = TaskContext.get().partitionId() << 32
+        for lists in batches:
+            ends, values = _offsets(lists), lists.flatten()
+            of_row = ends[:-1] // most
+            first = np.flatnonzero(np.diff(of_row, prepend=-1))
+            codes, elements, sizes = [], [], np.zeros(len(lists), np.int64)
+            for start, stop in zip(first, [*first[1:], len(lists)], strict=True):
+                block = values.slice(ends[start], ends[stop] - ends[start]).dictionary_encode()
+                codes.append(block.indices)
+                elements.append(block.dictionary)
+                sizes[start] = len(block.dictionary)
+            blocks = number + np.cumsum(np.diff(of_row, prepend=-1) != 0) - 1
+            number += len(first)
+            has_elements = np.zeros(len(lists), bool)
+            has_elements[first] = True
+            nulls = pc.is_null(lists).to_numpy(zero_copy_only=False)
+            begins = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(blocks, pa.int64()),
+                    _lists(ends, pa.concat_arrays(codes or [pa.array([], pa.int32())]), nulls),
+                    _lists(begins, pa.concat_arrays(elements or [values]), ~has_elements),
+                ],
+                ["block", "codes", "elements"],
+            )
+
+    return coded
+
+
+def _images(default: int | None):
+    """What the codes of each row stand for, by the dictionary that comes before the rows
+    of a block."""
+
+    def images(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        current, table = None, None
+        for blocks, lists, keys, values in batches:
+            ends, codes = _offsets(lists), lists.flatten()
+            numbers = blocks.to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.diff(numbers, prepend=-1))
+            found = []
+            for start, stop in zip(first, [*first[1:], len(numbers)], strict=True):
+                if numbers[start] != current:
+                    current, table = numbers[start], None
+                    if keys[start].is_valid:
+                        order = np.argsort(keys[start].values.to_numpy())
+                        table = values[start].values.take(pa.array(order))
+                own = codes.slice(ends[start], ends[stop] - ends[start])
+                # a block of nulls has no dictionary
+                found.append(pa.nulls(len(own), values.type.value_type) if table is None else table.take(own))
+            image = pa.concat_arrays(found or [pa.array([], values.type.value_type)])
+            if default is not None:
+                image = image.fill_null(default)
+            yield _lists(ends, image, pc.is_null(lists).to_numpy(zero_copy_only=False))
+
+    return images

@@ -199,6 +199,42 @@ def test_hot_elements_are_looked_up(spark, monkeypatch):
     assert {r["k"]: r["input_ids"] for r in ids.collect()} == {i: [299, i, -1] for i, _ in rows}
 
 
+def test_elements_are_joined_once_for_a_block(spark, monkeypatch):
+    """Not once for each row that has them."""
+    tables = []
+
+    def settled(df):
+        tables.append(S.settle(df))
+        return tables[-1]
+
+    vocab = spark.createDataFrame(
+        [(f"t{i}", i, 1, False) for i in range(300)], "token string, id int, n long, is_special boolean"
+    )
+    tokens = [f"t{i}" for i in range(250, 300)]
+    df = spark.createDataFrame([(tokens,)] * 200, "tokens array<string>").coalesce(2)
+    monkeypatch.setattr(vocabulary, "settle", settled)
+    ids = S.encode(df, vocab, unknown=-1, lookup_rows=10)
+    assert [r["input_ids"] for r in ids.select("input_ids").collect()] == [list(range(250, 300))] * 200
+    assert tables[0].select(F.explode("_coded.elements")).count() <= 2 * 50
+
+
+@pytest.mark.parametrize("most", [1, 3, 16])
+def test_blocks_within_a_batch(spark, monkeypatch, most):
+    monkeypatch.setattr(vocabulary, "BLOCK_ELEMENTS", most)
+    vocab = spark.createDataFrame(
+        [(f"t{i}", i, 1, False) for i in range(40)], "token string, id int, n long, is_special boolean"
+    )
+    rows = [(k, None if k % 11 == 3 else [None if j % 7 == 6 else f"t{(k * j) % 50}" for j in range(k % 9)]) for k in range(90)]
+    df = spark.createDataFrame(rows, "k int, tokens array<string>").coalesce(2)
+    for unknown in (None, -1):
+        want = {}
+        for k, tokens in rows:
+            found = [int(t[1:]) if t and int(t[1:]) < 40 else unknown for t in tokens or []]
+            want[k] = None if tokens is None else [i for i in found if i is not None]
+        ids = S.encode(df, vocab, unknown=unknown, lookup_rows=5)
+        assert {r["k"]: r["input_ids"] for r in ids.collect()} == want
+
+
 def test_long_rows(spark):
     """Many different rare tokens in one row."""
     n = 20_000
