@@ -4,9 +4,10 @@ from .packing import pack
 from .reports import sample_report, summarize
 from .sampling import pick_row, row_at, sample_n, shuffle_by_hash, take_n, train_test_split
 from .scoring import accuracy, exact_match, flag_share, pair_predictions, percent
-from .vocabulary import build_vocab, decode, encode, special_id
+from .vocabulary import Blocks, build_vocab, decode, encode, in_blocks, special_id
 
 __all__ = [
+    "Blocks",
     "accuracy",
     "build_vocab",
     "decode",
@@ -14,6 +15,7 @@ __all__ = [
     "exact_match",
     "flag_share",
     "format_batches",
+    "in_blocks",
     "map_batches",
     "order_hash",
     "pack",

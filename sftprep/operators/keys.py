@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from ..sources.scratch import settle
+
 Key = str | Sequence[str]
 
 COPIES_PER_CHUNK = 100_000
@@ -106,3 +108,8 @@ def with_row_key(df: DataFrame, name: str = "example_id") -> DataFrame:
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     key = F.concat_ws(":", row_hash(df), F.col("_copy").cast("string"))
     return repeat_rows(counted, "_copies", "_copy").select(key.alias(name), *df.columns)
+
+
+def with_content_hash(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` and the md5 of an array of ids, written to the shared folder on the call."""
+    return settle(df.withColumn(name, F.md5(F.array_join(column, ","))))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tokens import append_eos
 from ..sources.scratch import settle
-from .keys import Key, key_columns, order_hash
+from .keys import Key, key_columns, order_hash, with_content_hash
 from .positions import in_ranges, starts
 
 
@@ -38,8 +38,9 @@ def pack(
     of the stream is dropped, or kept as a last block with ``drop_last=False``.
     ``sep`` is appended to every row first.
 
-    The rows are sorted and written to the shared folder on the call.  Rows that share
-    a key follow each other in the order of the md5 of their ids.
+    The rows are written to the shared folder on the call, with the hashes that they are
+    sorted by and once more when they are sorted.  Rows that share a key follow each other
+    in the order of the md5 of their ids.
     """
     if length < 1:
         raise ValueError("length must be positive")
@@ -47,24 +48,27 @@ def pack(
     ids = F.col(column) if sep is None else append_eos(F.col(column), sep)
     # a row without ids has no part in the stream
     rows = df.select(*keys, ids.alias("_ids")).filter(F.size("_ids") > 0)
-    order = [order_hash(keys, seed), F.md5(F.array_join("_ids", ","))]
-    summed = in_ranges(rows, order, computed=True).select("_ids").mapInArrow(
-        _summed, "_ids array<int>, _inside long, _size long, _task int"
+    # written, as the sort runs the plan of its rows twice
+    hashed = with_content_hash(rows, "_ids", "_content")
+    in_order = in_ranges(hashed, [order_hash(keys, seed), F.col("_content")], computed=True)
+    sized = in_order.select("_ids", F.size("_ids").cast("long").alias("_size"))
+    # not deterministic, as the result depends on the rows before
+    inside = F.arrow_udf(_before, "struct<task: int, inside: bigint>").asNondeterministic()
+    summed = sized.withColumn("_before", inside("_size"))
+    placed = summed.select(
+        "_ids", F.col("_before.inside").alias("_inside"), "_size", F.col("_before.task").alias("_task")
     )
-    return _blocks(_located(settle(summed)), length, drop_last)
+    return _blocks(_located(settle(placed)), length, drop_last)
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one task with the number of ids before them in the task."""
+def _before(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The task, and the number of ids before each of its rows there."""
     task, before = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        sizes = pc.list_value_length(batch.column(0)).cast(pa.int64())
+    for sizes in batches:
         inside = pc.add(pc.subtract(pc.cumulative_sum(sizes), sizes), before)
         before += pc.sum(sizes).as_py() or 0
-        tasks = pa.array([task] * len(batch), pa.int32())
-        yield pa.record_batch(
-            [batch.column(0), inside, sizes, tasks], ["_ids", "_inside", "_size", "_task"]
-        )
+        tasks = pa.array([task] * len(sizes), pa.int32())
+        yield pa.StructArray.from_arrays([tasks, inside], ["task", "inside"])
 
 
 def _located(rows: DataFrame) -> DataFrame:

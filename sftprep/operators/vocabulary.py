@@ -13,17 +13,22 @@ element once for a block however often it occurs there, are joined with the voca
 the rows, codes instead of strings, are sorted behind their block's translated dictionary.
 An element's place in the array, and the row's other columns, have no part in the join, so
 neither a row key nor any order is needed, and no element is a hot key there.
+
+A column that is both counted and encoded is put in blocks once (``in_blocks``): the
+dictionaries have the counts too, and neither step goes through the arrays again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from ..sources.scratch import settle
 from .positions import numbered
@@ -37,13 +42,27 @@ BLOCK_ELEMENTS = 1 << 21
 HOT_SHARE = 1 / 1000
 
 
+class Blocks(NamedTuple):
+    """A table whose array column is in blocks."""
+
+    rows: DataFrame  # the other columns, and ``_coded``
+    column: str
+    elements: DataType  # type of an element
+
+
+def in_blocks(df: DataFrame, column: str = "tokens") -> Blocks:
+    """The table with an array column as codes in blocks, for ``build_vocab`` and ``encode``.
+    It is written to the shared folder on the call, so what computes the arrays runs once."""
+    return _in_blocks(df, column, [c for c in df.columns if c != column])
+
+
 def build_vocab(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     column: str = "tokens",
     specials: Sequence[str] = (),
     max_size: int | None = None,
 ) -> DataFrame:
-    """Vocabulary of the tokens in an array column: the specials in the order
+    """Vocabulary of the tokens in an array column, or in blocks: the specials in the order
     given, then all other tokens by falling count, ties in token order.  ``max_size``
     is the number of entries to keep, specials included.
 
@@ -55,18 +74,24 @@ def build_vocab(
     specials = list(specials)
     if max_size is not None and max_size < len(specials):
         raise ValueError(f"max_size must be {len(specials)} at least")
-    # explode_outer: plain explode would have the tokens computed again in a filter
-    tokens = df.select(F.explode_outer(column).alias("token")).filter(F.col("token").isNotNull())
+    if isinstance(df, Blocks):
+        entries = F.arrays_zip("_coded.elements", "_coded.counts")
+        counted = df.rows.filter(F.col("_coded.elements").isNotNull()).select(F.inline(entries))
+        tokens, number = counted.toDF("token", "n"), F.sum("n")
+    else:
+        # explode_outer: plain explode would have the tokens computed again in a filter
+        tokens = df.select(F.explode_outer(column).alias("token")).filter(F.col("token").isNotNull())
+        number = F.count(F.lit(1))
     if specials:
         tokens = tokens.filter(~F.col("token").isin(specials))
-    counts = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    counts = settle(tokens.groupBy("token").agg(number.alias("n")))
     ranked = numbered(counts, [F.desc("n"), F.asc("token")], "id", first=len(specials))
     if max_size is not None:
         ranked = ranked.filter(F.col("id") < max_size)
     learned = ranked.select("token", F.col("id").cast("int").alias("id"), "n", F.lit(False).alias("is_special"))
     if not specials:
         return learned
-    given = df.sparkSession.createDataFrame(
+    given = learned.sparkSession.createDataFrame(
         [(t, i, 0, True) for i, t in enumerate(specials)], learned.schema
     )
     return given.unionByName(learned)
@@ -78,7 +103,7 @@ def special_id(vocab: DataFrame, token: str) -> DataFrame:
 
 
 def encode(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     vocab: DataFrame,
     column: str = "tokens",
     out: str = "input_ids",
@@ -89,7 +114,8 @@ def encode(
     ``unknown``, or is left out when that is None; a null array stays null.
 
     For a vocabulary of more than ``lookup_rows`` entries the rows are written to the
-    shared folder on the call."""
+    shared folder on the call.  Blocks have been written, are joined with a vocabulary of any
+    size, and give ``out`` in place of their column."""
     pairs = vocab.select(
         F.col("token").alias("from"), F.col("id").alias("to"), "id", F.octet_length("token").alias("bytes")
     )
@@ -104,28 +130,41 @@ def decode(
     skip_special: bool = True,
     lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
-    """Ids to text, without the special tokens unless asked for."""
+    """Ids to text, without the special tokens unless asked for.
+
+    With a larger vocabulary the rows are written to the shared folder on the call, the ids
+    with them unless ``out`` takes their place."""
     if skip_special:
         vocab = vocab.filter(~F.col("is_special"))
     pairs = vocab.select(
         F.col("id").alias("from"), F.col("token").alias("to"), "id", F.octet_length("token").alias("bytes")
     )
-    tokens = _translate(df, pairs, column, "_decoded", None, lookup_rows)
-    return tokens.withColumn(out, F.array_join("_decoded", "")).drop("_decoded")
+    if _looks_up(pairs, lookup_rows):
+        tokens = _looked_up(df, pairs.select("from", "to"), column, "_decoded")
+        return tokens.withColumn(out, F.array_join(F.array_compact("_decoded"), "")).drop("_decoded")
+    blocks = _in_blocks(df, column, [c for c in df.columns if c != out])
+    text = _joined(blocks, pairs.select("from", "to"), out, _texts(), "string")
+    return text.select(*df.columns, *([] if out in df.columns else [out]))
 
 
 def _translate(
-    df: DataFrame, pairs: DataFrame, column: str, out: str, default: int | None, lookup_rows: int
+    df: DataFrame | Blocks, pairs: DataFrame, column: str, out: str, default: int | None, lookup_rows: int
 ) -> DataFrame:
     """Map the elements of an array column through the table ``from, to``."""
-    low = (F.col("id") < lookup_rows) & (F.col("bytes") <= LOOKUP_BYTES)
-    if pairs.filter(~low).isEmpty():
+    if not isinstance(df, Blocks) and _looks_up(pairs, lookup_rows):
         mapped = _looked_up(df, pairs.select("from", "to"), column, out, default)
     else:
-        mapped = _joined(df, pairs.select("from", "to"), column, out, default)
+        blocks = df if isinstance(df, Blocks) else _in_blocks(df, column, [c for c in df.columns if c != out])
+        image = f"array<{pairs.schema['to'].dataType.simpleString()}>"
+        mapped = _joined(blocks, pairs.select("from", "to"), out, _arrays(default), image)
     return mapped if default is not None else mapped.withColumn(out, F.array_compact(out))
 
 
+def _looks_up(pairs: DataFrame, lookup_rows: int) -> bool:
+    low = (F.col("id") < lookup_rows) & (F.col("bytes") <= LOOKUP_BYTES)
+    return pairs.filter(~low).isEmpty()
+
+
 def _looked_up(
     df: DataFrame,
     pairs: DataFrame,
@@ -175,21 +214,27 @@ def _looked_up(
     )
 
 
-def _joined(df: DataFrame, pairs: DataFrame, column: str, out: str, default: int | None) -> DataFrame:
-    """Map elements through a join of each block's distinct elements."""
-    kept = [c for c in df.columns if c != out]
-    elements = f"array<{pairs.schema['from'].dataType.simpleString()}>"
-    coded = F.arrow_udf(_coded(BLOCK_ELEMENTS), f"struct<block: bigint, codes: array<int>, elements: {elements}>")
-    # blocks differ from run to run; the rows and dictionaries that are written stay as they are
-    rows = settle(df.select(*kept, coded.asNondeterministic()(F.col(column).cast(elements)).alias("_coded")))
+def _in_blocks(df: DataFrame, column: str, kept: list[str]) -> Blocks:
+    array = df.select(column).schema[0].dataType
+    fields = f"block: bigint, codes: binary, elements: {array.simpleString()}, counts: array<bigint>"
+    coded = F.arrow_udf(_coded(BLOCK_ELEMENTS), f"struct<{fields}>").asNondeterministic()
+    # blocks differ from run to run; the rows and dictionaries that are written stay as they are.
+    # No iterator of batches, so that Spark hands arrays of another such function on in Python
+    return Blocks(settle(df.select(*kept, coded(column).alias("_coded"))), column, array.elementType)
+
+
+def _joined(blocks: Blocks, pairs: DataFrame, out: str, image: Callable, image_type: str) -> DataFrame:
+    """Map elements through a join of each block's distinct elements; ``image`` makes a
+    column of the elements' images in a batch of rows."""
+    rows = blocks.rows
+    kept = [c for c in rows.columns if c not in ("_coded", out)]
     block = F.col("_coded.block").alias("_block")
     asked = rows.filter(F.col("_coded.elements").isNotNull()).select(
         block, F.posexplode("_coded.elements").alias("_code", "from")
     )
+    asked = asked.withColumn("from", F.col("from").cast(pairs.schema["from"].dataType))
     entries = asked.join(pairs, "from", "left").repartition("_block")
-    dictionaries = entries.groupBy("_block").agg(
-        F.map_from_entries(F.collect_list(F.struct("_code", "to"))).alias("_to")
-    )
+    dictionaries = entries.groupBy("_block").agg(F.collect_list(F.struct("_code", "to")).alias("_to"))
     # a block's dictionary, then its rows
     first = dictionaries.withColumn("_is_row", F.lit(False))
     behind = rows.select(*kept, block, F.col("_coded.codes").alias("_codes"), F.lit(True).alias("_is_row"))
@@ -199,8 +244,7 @@ def _joined(df: DataFrame, pairs: DataFrame, column: str, out: str, default: int
         .sortWithinPartitions("_block", "_is_row")
     )
     # not deterministic, as the result depends on the rows before
-    image = F.arrow_udf(_images(default), f"array<{pairs.schema['to'].dataType.simpleString()}>")
-    translated = image.asNondeterministic()("_block", "_codes", F.map_keys("_to"), F.map_values("_to"))
+    translated = F.arrow_udf(_images(image), image_type).asNondeterministic()("_block", "_codes", "_to")
     return placed.select(*kept, "_is_row", translated.alias(out)).filter("_is_row").select(*kept, out)
 
 
@@ -214,63 +258,107 @@ def _offsets(lists: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
 
+def _code_type(entries: int) -> type:
+    """The short type that has room for the codes of a dictionary, and one for null."""
+    return np.uint16 if entries < 1 << 16 else np.uint32
+
+
 def _coded(most: int):
-    """Each row's block, of some ``most`` elements, and the codes of its elements; the first row
-    of a block has its dictionary.  A null has no code."""
-
-    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        number = TaskContext.get().partitionId() << 32
-        for lists in batches:
-            ends, values = _offsets(lists), lists.flatten()
-            of_row = ends[:-1] // most
-            first = np.flatnonzero(np.diff(of_row, prepend=-1))
-            codes, elements, sizes = [], [], np.zeros(len(lists), np.int64)
-            for start, stop in zip(first, [*first[1:], len(lists)], strict=True):
-                block = values.slice(ends[start], ends[stop] - ends[start]).dictionary_encode()
-                codes.append(block.indices)
-                elements.append(block.dictionary)
-                sizes[start] = len(block.dictionary)
-            blocks = number + np.cumsum(np.diff(of_row, prepend=-1) != 0) - 1
-            number += len(first)
-            has_elements = np.zeros(len(lists), bool)
-            has_elements[first] = True
-            nulls = pc.is_null(lists).to_numpy(zero_copy_only=False)
-            begins = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array(blocks, pa.int64()),
-                    _lists(ends, pa.concat_arrays(codes or [pa.array([], pa.int32())]), nulls),
-                    _lists(begins, pa.concat_arrays(elements or [values]), ~has_elements),
-                ],
-                ["block", "codes", "elements"],
-            )
+    """Each row's block, of some ``most`` elements, and the bytes of its elements' codes; the
+    first row of a block has its dictionary and how often each entry occurs.  The code of null
+    is the first behind the dictionary's."""
+
+    number = None  # of the next block; each task has a copy of this
+
+    def coded(lists: pa.Array) -> pa.Array:
+        nonlocal number
+        if number is None:
+            number = TaskContext.get().partitionId() << 32
+        ends, values = _offsets(lists), lists.flatten()
+        of_row = ends[:-1] // most
+        is_first = np.diff(of_row, prepend=-1) != 0
+        first = np.flatnonzero(is_first)
+        codes, lengths, elements, counts = [], [], [], []
+        sizes = np.zeros(len(lists), np.int64)
+        for start, stop in zip(first, [*first[1:], len(lists)], strict=True):
+            block = values.slice(ends[start], ends[stop] - ends[start]).dictionary_encode()
+            n = len(block.dictionary)
+            own = block.indices.fill_null(n).to_numpy().astype(_code_type(n))
+            codes.append(own.tobytes())
+            lengths.append(np.diff(ends[start : stop + 1]) * own.itemsize)
+            elements.append(block.dictionary)
+            counts.append(np.bincount(own, minlength=n)[:n])
+            sizes[start] = n
+        blocks = number + np.cumsum(is_first) - 1
+        number += len(first)
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.concatenate([[0], np.cumsum(np.concatenate([[], *lengths]))]).astype(np.int32)
+        packed = [None, pa.py_buffer(places), pa.py_buffer(b"".join(codes))]
+        texts = pa.Array.from_buffers(pa.binary(), len(lists), packed)
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(blocks, pa.int64()),
+                pc.if_else(pc.is_null(lists), None, texts),
+                _lists(begins, pa.concat_arrays(elements or [values]), ~is_first),
+                _lists(begins, pa.array(np.concatenate([np.zeros(0, np.int64), *counts])), ~is_first),
+            ],
+            ["block", "codes", "elements", "counts"],
+        )
 
     return coded
 
 
-def _images(default: int | None):
+def _images(image: Callable):
     """What the codes of each row stand for, by the dictionary that comes before the rows
     of a block."""
 
-    def images(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def images(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         current, table = None, None
-        for blocks, lists, keys, values in batches:
-            ends, codes = _offsets(lists), lists.flatten()
+        for blocks, codes, dictionaries in batches:
+            entry = dictionaries.type.value_type.field("to").type
             numbers = blocks.to_numpy(zero_copy_only=False)
             first = np.flatnonzero(np.diff(numbers, prepend=-1))
-            found = []
+            found, sizes = [pa.array([], entry)], []
             for start, stop in zip(first, [*first[1:], len(numbers)], strict=True):
                 if numbers[start] != current:
-                    current, table = numbers[start], None
-                    if keys[start].is_valid:
-                        order = np.argsort(keys[start].values.to_numpy())
-                        table = values[start].values.take(pa.array(order))
-                own = codes.slice(ends[start], ends[stop] - ends[start])
-                # a block of nulls has no dictionary
-                found.append(pa.nulls(len(own), values.type.value_type) if table is None else table.take(own))
-            image = pa.concat_arrays(found or [pa.array([], values.type.value_type)])
-            if default is not None:
-                image = image.fill_null(default)
-            yield _lists(ends, image, pc.is_null(lists).to_numpy(zero_copy_only=False))
+                    # a block of nulls has no dictionary
+                    current, table = numbers[start], pa.nulls(1, entry)
+                    if dictionaries[start].is_valid:
+                        table = pa.concat_arrays([_by_code(dictionaries[start].values), table])
+                kind = _code_type(len(table) - 1)
+                own = codes.slice(start, stop - start)
+                lengths = pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
+                joined = b"".join(own.drop_null().to_pylist())
+                found.append(table.take(pa.array(np.frombuffer(joined, kind))))
+                sizes.append(lengths // np.dtype(kind).itemsize)
+            ends = np.concatenate([[0], np.cumsum(np.concatenate([[], *sizes]))]).astype(np.int32)
+            yield image(ends, pa.concat_arrays(found), pc.is_null(codes).to_numpy(zero_copy_only=False))
 
     return images
+
+
+def _by_code(entries: pa.StructArray) -> pa.Array:
+    codes = entries.field("_code").to_numpy()
+    order = np.argsort(codes)
+    if (codes[order] != np.arange(len(codes))).any():
+        raise ValueError("an element is in the vocabulary more than once")
+    return entries.field("to").take(pa.array(order))
+
+
+def _arrays(default: int | None):
+    def arrays(ends: np.ndarray, values: pa.Array, nulls: np.ndarray) -> pa.Array:
+        return _lists(ends, values if default is None else values.fill_null(default), nulls)
+
+    return arrays
+
+
+def _texts():
+    """The images of a row's elements put together, without nulls."""
+
+    def texts(ends: np.ndarray, values: pa.Array, nulls: np.ndarray) -> pa.Array:
+        values = pa.concat_arrays([values.fill_null("")])
+        offsets = np.frombuffer(values.buffers()[1] or bytes(4), np.int32)[values.offset :][ends]
+        joined = pa.Array.from_buffers(pa.string(), len(nulls), [None, pa.py_buffer(offsets), values.buffers()[2]])
+        return pc.if_else(pa.array(nulls), None, joined)
+
+    return texts

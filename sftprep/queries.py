@@ -41,6 +41,7 @@ from .functions import (
 from .functions.templates import SECTION_ANSWER, SECTION_CONTEXT, SECTION_QUESTION
 from .functions.templates import SYSTEM_PREFIX
 from .operators import (
+    Blocks,
     accuracy,
     build_vocab,
     decode,
@@ -48,6 +49,7 @@ from .operators import (
     exact_match,
     flag_share,
     format_batches,
+    in_blocks,
     map_batches,
     order_hash,
     pack,
@@ -507,12 +509,17 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.documents(spark, sf_dir).select("doc_id", tokenize("text").alias("tokens"))
 
 
-def _vocab(tokens: DataFrame) -> DataFrame:
+def _blocks(spark: SparkSession, sf_dir: str) -> Blocks:
+    tokens = tokenize("text", in_batches=True).alias("tokens")
+    return in_blocks(fx.documents(spark, sf_dir).select("doc_id", tokens))
+
+
+def _vocab(tokens: DataFrame | Blocks) -> DataFrame:
     return build_vocab(tokens, "tokens", SPECIALS)
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = _tokens(spark, sf_dir)
+    tokens = _blocks(spark, sf_dir)
     ids = encode(tokens, _vocab(tokens), out="tokens", unknown=UNK)
     return ids.withColumnRenamed("tokens", "input_ids")
 
@@ -555,11 +562,11 @@ def encode_ids(spark, sf_dir):
     select d.doc_id, md5(coalesce(string_agg(token, '' order by pos), '')) as text
     from placed d left join (select token, id from vocab) v using (id) group by d.doc_id""")
 def decode_skip_special(spark, sf_dir):
-    tokens = _tokens(spark, sf_dir)
+    tokens = _blocks(spark, sf_dir)
     vocab = _vocab(tokens)
     ids = encode(tokens, vocab, out="tokens", unknown=UNK)
-    marked = ids.select("doc_id", append_eos("tokens", EOS).alias("input_ids"))
-    text = decode(marked, vocab, skip_special=True)
+    marked = ids.select("doc_id", append_eos("tokens", EOS).alias("text"))
+    text = decode(marked, vocab, "text", skip_special=True)
     return text.select("doc_id", F.md5("text").alias("text"))
 
 
@@ -569,7 +576,7 @@ FEW_LOOKED_UP = 500
 @query(ORACLES["encode_ids"])
 def encode_joined(spark, sf_dir):
     """Most entries of the vocabulary are joined, as all but the first of a large one are."""
-    tokens = _tokens(spark, sf_dir)
+    tokens = _blocks(spark, sf_dir)
     ids = encode(tokens, _vocab(tokens), unknown=UNK, lookup_rows=FEW_LOOKED_UP)
     return ids.select(
         "doc_id",
@@ -581,10 +588,10 @@ def encode_joined(spark, sf_dir):
 @query("select doc_id, md5(text) as text, length(text)::bigint as n_chars from documents")
 def encode_decode(spark, sf_dir):
     """The text of every document again, with entries looked up and joined on both ways."""
-    tokens = _tokens(spark, sf_dir)
+    tokens = _blocks(spark, sf_dir)
     vocab = settle(_vocab(tokens))
     ids = encode(tokens, vocab, out="tokens", unknown=UNK, lookup_rows=FEW_LOOKED_UP)
-    text = decode(ids, vocab, "tokens", lookup_rows=FEW_LOOKED_UP)
+    text = decode(ids.withColumnRenamed("tokens", "text"), vocab, "text", lookup_rows=FEW_LOOKED_UP)
     return text.select("doc_id", F.md5("text").alias("text"), F.char_length("text").cast("long").alias("n_chars"))
 
 
@@ -667,8 +674,7 @@ def _pack_sql(length: int, seed: int, sep: int | None, drop_last: bool = True) -
 
 
 def _packed(spark: SparkSession, sf_dir: str, sep: int | None, drop_last: bool = True) -> DataFrame:
-    ids = settle(_encoded(spark, sf_dir))
-    blocks = pack(ids, "doc_id", 256, seed=17, sep=sep, drop_last=drop_last)
+    blocks = pack(_encoded(spark, sf_dir), "doc_id", 256, seed=17, sep=sep, drop_last=drop_last)
     return blocks.select("block", _joined("input_ids").alias("ids"))
 
 
@@ -698,7 +704,7 @@ def pack_all(spark, sf_dir):
 def pack_tied_keys(spark, sf_dir):
     """A key that a large share of the rows have."""
     langs = fx.table(spark, sf_dir, "documents").select("doc_id", "lang")
-    blocks = pack(settle(_encoded(spark, sf_dir).join(langs, "doc_id")), "lang", 256, seed=18)
+    blocks = pack(_encoded(spark, sf_dir).join(langs, "doc_id"), "lang", 256, seed=18)
     return blocks.select("block", _joined("input_ids").alias("ids"))
 
 

@@ -1,11 +1,15 @@
+import random
+import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import sftprep as S
+from sftprep.functions import tokens as tokens_module
 from sftprep.operators import vocabulary
 
 
@@ -31,6 +35,21 @@ def test_tokens(spark):
     assert got == [["SELECT", " ", "a_1", ",", "  ", "'", "é", "😀", "'", "\n"], [], None]
 
 
+def test_tokens_in_batches(spark, monkeypatch):
+    """The same tokens, wherever a stretch of bytes ends; slices and nulls too."""
+    draw = random.Random(5)
+    texts = [
+        None if i % 9 == 4 else "".join(draw.choices("aZ_9 \t\n\r\f\x0b\x00.,é😀ß", k=draw.randrange(12)))
+        for i in range(200)
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    assert df.select(S.tokenize("text", in_batches=True)).collect() == df.select(S.tokenize("text")).collect()
+    want = [None if t is None else re.findall(tokens_module.TOKEN_PATTERN, t) for t in texts]
+    for stretch in (1, 2, 3, 7):
+        monkeypatch.setattr(tokens_module, "_STRETCH", stretch)
+        assert tokens_module._token_arrays(pa.array(["zz", *texts]).slice(1)).to_pylist() == want
+
+
 LENGTHS = [0, 3, 4, 5, 8]
 
 
@@ -235,6 +254,60 @@ def test_blocks_within_a_batch(spark, monkeypatch, most):
         assert {r["k"]: r["input_ids"] for r in ids.collect()} == want
 
 
+@pytest.mark.parametrize("in_batches", [False, True])
+def test_column_in_blocks(spark, tokens, monkeypatch, in_batches):
+    """Arrays are computed once, and give the vocabulary and ids that they give themselves."""
+    plans = []
+
+    def settled(df):
+        plans.append(optimized(df))
+        return S.settle(df)
+
+    texts = spark.createDataFrame(list(enumerate(TEXTS)) * 2, "k bigint, text string")
+    df = texts.select("k", S.tokenize("text", in_batches).alias("tokens"))
+    specials = ["<unk>", "<eos>"]
+    want = S.build_vocab(df, "tokens", specials).orderBy("id").collect()
+    ids = S.encode(df, S.build_vocab(df, "tokens", specials), out="tokens", unknown=0).collect()
+    monkeypatch.setattr(vocabulary, "settle", settled)
+    blocks = S.in_blocks(df)
+    vocab = S.build_vocab(blocks, "tokens", specials)
+    assert vocab.orderBy("id").collect() == want
+    encoded = S.encode(blocks, vocab, out="tokens", unknown=0)
+    assert encoded.columns == ["k", "tokens"]
+    assert sorted(map(repr, encoded.collect())) == sorted(map(repr, ids))
+    # nor do the arrays leave Python between the two functions
+    tokenizer = "_token_arrays" if in_batches else "regexp_extract_all"
+    assert [p.count(tokenizer) for p in plans] == [1, 0]
+    assert plans[0].count("ArrowEvalPython") == 1
+
+
+def test_many_codes_in_a_block(spark):
+    """More different tokens than two bytes can number, and nulls."""
+    n = 70_000
+    tokens = [None, *(f"t{i}" for i in range(n)), "t0", None]
+    df = spark.createDataFrame([(tokens,), (["t5"],), (None,)], "tokens array<string>").coalesce(1)
+    vocab = spark.range(n).selectExpr(
+        "concat('t', id) as token", "cast(id as int) as id", "1L as n", "false as is_special"
+    )
+    got = [r[0] for r in S.encode(S.in_blocks(df), vocab, unknown=-1).collect()]
+    assert sorted(got, key=repr) == sorted([[-1, *range(n), 0, -1], [5], None], key=repr)
+
+
+def test_token_with_two_ids(spark):
+    vocab = spark.createDataFrame([("a", 0, 1, False), ("a", 1, 1, False)], "token string, id int, n long, is_special boolean")
+    df = spark.createDataFrame([(["a"],)], "tokens array<string>")
+    with pytest.raises(Exception, match="more than once"):
+        S.encode(df, vocab, lookup_rows=0).collect()
+
+
+@pytest.mark.parametrize("out", ["text", "input_ids", "other"])
+def test_decoded_column_takes_its_place(spark, vocab, out):
+    df = spark.createDataFrame([("x", [2, 3], 7), ("y", None, 8), ("z", [], 9)], "text string, input_ids array<int>, k int")
+    near, far = (S.decode(df, vocab, out=out, lookup_rows=n) for n in (vocabulary.LOOKUP_ROWS, 0))
+    assert near.columns == far.columns
+    assert sorted(map(repr, near.collect())) == sorted(map(repr, far.collect()))
+
+
 def test_long_rows(spark):
     """Many different rare tokens in one row."""
     n = 20_000
