@@ -28,9 +28,10 @@ import hashlib
 import re
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -75,15 +76,18 @@ class Pieces:
                 self.content.append(piece.encode())
         self.longest = max(map(len, self.ids))
         self.lattices: Lattices | None = None
-        # of each length: hashes of the pieces, in order, and their ids
-        self.hashes: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        # of each length: hashes of the pieces, in order, their ids, and the beginnings of the hashes
+        nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 16, bool)
+        self.hashes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [nothing]
         weight = np.zeros(len(self.content))
         for length in range(1, self.longest + 1):
             names = [n for n in self.ids if len(n) == length]
             codes = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
             hashes = rolled(mixed(codes.astype(np.uint64)), length)[::length] if names else np.zeros(0, np.uint64)
             order = np.argsort(hashes)
-            self.hashes.append((hashes[order], np.array([self.ids[n][0] for n in names], np.int64)[order]))
+            begins = np.zeros(1 << 16, bool)
+            begins[hashes >> np.uint64(48)] = True
+            self.hashes.append((hashes[order], np.array([self.ids[n][0] for n in names], np.int64)[order], begins))
         for i, w in self.ids.values():
             weight[i] = w
         self.weight = weight
@@ -108,7 +112,7 @@ class Lattices:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.numbers: dict[str, int] = {}
+        self.numbers: dict[str, int] = defaultdict(count().__next__)  # a new unit gets the next
         self.nodes = self.edges = self.units = self.characters = 0
         self.first, self.last = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         # node where the edge ends and the upper end of its share in 2 ** 32; length; piece
@@ -159,13 +163,16 @@ class Lattices:
                 at = np.flatnonzero(left >= size) if size == 1 else at[left[at] >= size]
                 own = hashes[at] * base + letters[at + size - 1]
                 hashes[at] = own
-                known, ids = pieces.hashes[size]
+                known, ids, begins = pieces.hashes[size]
                 if not len(known) or not len(at):
                     continue
-                place = np.searchsorted(known, own)
+                # most strings are no piece, which the beginning of the hash shows
+                hit = begins[own >> np.uint64(48)]
+                place = np.searchsorted(known, own[hit])
                 place[place == len(known)] = 0
-                hit = known[place] == own
-                found = ids[place[hit]]
+                same = known[place] == own[hit]
+                hit[hit] = same
+                found = ids[place[same]]
                 ends.append(node[at[hit]] + size)
                 ids_.append(found)
                 weights.append(pieces.weight[found])
@@ -184,9 +191,10 @@ class Lattices:
         opens = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]]))
         rank = np.arange(len(end)) - np.repeat(opens, np.diff(np.append(opens, len(end))))
         starts = begin + np.arange(len(units))
-        of_unit = np.searchsorted(starts, end, "right") - 1
+        of_unit = np.repeat(np.arange(len(units)), lengths + 1)[end]
         # the edges of a place of all units and of one rank are summed up at once
         step = (end - starts[of_unit]) * most + rank
+        step = step.astype(np.min_scalar_type(step.max()))  # short numbers are sorted by digits
         by_step = np.argsort(step, kind="stable")
         turns = np.append(np.flatnonzero(np.concatenate([[True], np.diff(step[by_step]) > 0])), len(step))
         reach = np.zeros(n + len(units))
@@ -234,7 +242,8 @@ class Lattices:
         """Pieces of all occurrences in order, and how many each has."""
         keys, size, piece = self.keys[: self.edges], self.size, self.piece
         first = self.first[unit]
-        at, going = self.last[unit], np.arange(len(unit))
+        # unit by unit, so that neighbours in the search look at the same edges
+        at, going = self.last[unit], np.argsort(unit, kind="stable")
         drawn, counts = [], np.zeros(len(unit), np.int64)
         step = 0
         while len(going):
@@ -287,7 +296,7 @@ def segmented(pieces: Pieces, texts: list[str], keys: np.ndarray) -> Iterator[li
         units = array("q")
         for text in texts[first:last]:
             found = _UNIT.findall(" " + text) if text else []
-            units.extend([numbers.setdefault(unit, len(numbers)) for unit in found])
+            units.extend(map(numbers.__getitem__, found))
             lengths.append(len(found))
         lattices.add(list(islice(numbers, known, None)))
         counts = np.array(lengths)
