@@ -24,6 +24,7 @@ from .tokens import (
     add_labels,
     append_eos,
     attention_mask,
+    join_ids,
     pad,
     pad_ids,
     prepend_bos,
@@ -48,6 +49,7 @@ __all__ = [
     "echo_ok",
     "escape_quotes",
     "from_messages",
+    "join_ids",
     "message_content",
     "message_prefix",
     "pad",

@@ -37,7 +37,7 @@ from .positions import numbered
 # 24 MB at most (tokens of a usual vocabulary have 6 bytes on average).
 LOOKUP_ROWS, LOOKUP_BYTES = 1 << 18, 96
 # Elements of a block; a longer row is a block of its own.
-BLOCK_ELEMENTS = 1 << 21
+BLOCK_ELEMENTS = 1 << 22
 # An element is in the join once for a block, so no share makes it hot; kept for callers that set it.
 HOT_SHARE = 1 / 1000
 
@@ -233,19 +233,20 @@ def _joined(blocks: Blocks, pairs: DataFrame, out: str, image: Callable, image_t
         block, F.posexplode("_coded.elements").alias("_code", "from")
     )
     asked = asked.withColumn("from", F.col("from").cast(pairs.schema["from"].dataType))
-    entries = asked.join(pairs, "from", "left").repartition("_block")
-    dictionaries = entries.groupBy("_block").agg(F.collect_list(F.struct("_code", "to")).alias("_to"))
-    # a block's dictionary, then its rows
-    first = dictionaries.withColumn("_is_row", F.lit(False))
-    behind = rows.select(*kept, block, F.col("_coded.codes").alias("_codes"), F.lit(True).alias("_is_row"))
+    # the entries of a block's dictionary, then its rows; one number is sorted, not two columns
+    place = F.shiftleft("_block", 1)
+    first = asked.join(pairs, "from", "left").select(place.alias("_place"), "_code", F.col("to").alias("_to"))
+    behind = rows.select(*kept, block, F.col("_coded.codes").alias("_codes"))
+    behind = behind.withColumn("_place", place + 1).drop("_block")
     placed = (
         first.unionByName(behind, allowMissingColumns=True)
-        .repartition("_block")
-        .sortWithinPartitions("_block", "_is_row")
+        .repartition(F.shiftright("_place", 1))
+        .sortWithinPartitions("_place")
     )
     # not deterministic, as the result depends on the rows before
-    translated = F.arrow_udf(_images(image), image_type).asNondeterministic()("_block", "_codes", "_to")
-    return placed.select(*kept, "_is_row", translated.alias(out)).filter("_is_row").select(*kept, out)
+    translated = F.arrow_udf(_images(image), image_type).asNondeterministic()("_place", "_codes", "_code", "_to")
+    images = placed.select(*kept, "_place", translated.alias(out))
+    return images.filter(F.col("_place").bitwiseAND(1) == 1).select(*kept, out)
 
 
 def _lists(offsets: np.ndarray, values: pa.Array, nulls: np.ndarray) -> pa.Array:
@@ -275,7 +276,9 @@ def _coded(most: int):
         if number is None:
             number = TaskContext.get().partitionId() << 32
         ends, values = _offsets(lists), lists.flatten()
-        of_row = ends[:-1] // most
+        # blocks of one size: a short one at the end would have most of a long one's dictionary
+        blocks_here = max(1, -(-len(values) // most))
+        of_row = ends[:-1] * blocks_here // max(1, len(values))
         is_first = np.diff(of_row, prepend=-1) != 0
         first = np.flatnonzero(is_first)
         codes, lengths, elements, counts = [], [], [], []
@@ -309,22 +312,30 @@ def _coded(most: int):
 
 
 def _images(image: Callable):
-    """What the codes of each row stand for, by the dictionary that comes before the rows
-    of a block."""
-
-    def images(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        current, table = None, None
-        for blocks, codes, dictionaries in batches:
-            entry = dictionaries.type.value_type.field("to").type
-            numbers = blocks.to_numpy(zero_copy_only=False)
-            first = np.flatnonzero(np.diff(numbers, prepend=-1))
+    """What the codes of each row stand for, by the entries of the dictionary that come before
+    the rows of a block."""
+
+    def images(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        current, entries, table = None, [], None
+        for places, codes, numbers, to in batches:
+            entry = to.type
+            own_place = places.to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.diff(own_place, prepend=-1))
             found, sizes = [pa.array([], entry)], []
-            for start, stop in zip(first, [*first[1:], len(numbers)], strict=True):
-                if numbers[start] != current:
-                    # a block of nulls has no dictionary
-                    current, table = numbers[start], pa.nulls(1, entry)
-                    if dictionaries[start].is_valid:
-                        table = pa.concat_arrays([_by_code(dictionaries[start].values), table])
+            for start, stop in zip(first, [*first[1:], len(own_place)], strict=True):
+                block, is_row = divmod(int(own_place[start]), 2)
+                if block != current:
+                    current, entries, table = block, [], None
+                if not is_row:
+                    # a copy, so that no batch is held for its entries
+                    part = (numbers.slice(start, stop - start), to.slice(start, stop - start))
+                    entries.append([pa.concat_arrays([x, x[:0]]) for x in part])
+                    sizes.append(np.zeros(stop - start, np.int64))
+                    continue
+                if table is None:
+                    # a block of nulls has no entries
+                    table = pa.concat_arrays([*_by_code(entries), pa.nulls(1, entry)])
+                    entries = []
                 kind = _code_type(len(table) - 1)
                 own = codes.slice(start, stop - start)
                 lengths = pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
@@ -337,12 +348,15 @@ def _images(image: Callable):
     return images
 
 
-def _by_code(entries: pa.StructArray) -> pa.Array:
-    codes = entries.field("_code").to_numpy()
+def _by_code(entries: list[list[pa.Array]]) -> list[pa.Array]:
+    if not entries:
+        return []
+    codes, images = (pa.concat_arrays(x) for x in zip(*entries, strict=True))
+    codes = codes.to_numpy()
     order = np.argsort(codes)
     if (codes[order] != np.arange(len(codes))).any():
         raise ValueError("an element is in the vocabulary more than once")
-    return entries.field("to").take(pa.array(order))
+    return [images.take(pa.array(order))]
 
 
 def _arrays(default: int | None):

@@ -22,6 +22,7 @@ from .functions import (
     echo_ok,
     escape_quotes,
     from_messages,
+    join_ids,
     message_prefix,
     pad,
     prepend_bos,
@@ -105,7 +106,7 @@ def query(sql: str) -> Callable[[Query], Query]:
 
 
 def _joined(array: str | Column) -> Column:
-    return F.array_join(F.col(array) if isinstance(array, str) else array, ",")
+    return join_ids(array)
 
 
 # SQL building blocks ---------------------------------------------------------

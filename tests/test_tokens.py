@@ -358,3 +358,28 @@ def test_encode_moves_no_rows(tokens, vocab):
     plan = optimized(S.encode(tokens, vocab, unknown=0))
     rows = [line for line in plan.splitlines() if not line.lstrip().startswith(":")]
     assert all("Project" in line or "LogicalRDD" in line or "LocalRelation" in line for line in rows)
+
+
+def test_blocks_of_a_batch_are_even(spark, monkeypatch):
+    """A short block behind a long one has most of its dictionary once more."""
+    monkeypatch.setattr(vocabulary, "BLOCK_ELEMENTS", 20)
+    df = spark.createDataFrame([(["a"],)] * 26, "tokens array<string>").coalesce(1)
+    rows = S.in_blocks(df).rows
+    assert [r["count"] for r in rows.groupBy("_coded.block").count().collect()] == [13, 13]
+
+
+def test_entries_of_dictionaries_are_not_put_together_first(spark):
+    """They are shuffled to their block's rows from the join, with no shuffle between."""
+    vocab = spark.createDataFrame([("a", 0, 1, False)], "token string, id int, n long, is_special boolean")
+    ids = S.encode(S.in_blocks(spark.createDataFrame([(["a"],)], "tokens array<string>")), vocab, unknown=1)
+    plan = optimized(ids)
+    assert "collect_list" not in plan and plan.count("RepartitionByExpression") == 1
+
+
+def test_join_ids(spark):
+    """The text that ``array_join`` gives, from batches."""
+    rows = [([1, None, -(2**63)],), ([],), ([None],), (None,), ([2**63 - 1, 0],)]
+    for kind, some in (("bigint", rows), ("int", [([1, None, -5],), ([],), ([None],), (None,)])):
+        df = spark.createDataFrame(some, f"ids array<{kind}>").coalesce(1)
+        got = df.select(S.join_ids("ids").alias("a"), F.array_join("ids", ",").alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in got) and len(got) == len(some)
