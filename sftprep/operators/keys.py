@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegralType, MapType, StructType
 
+from ..functions.tokens import join_ids
 from ..sources.scratch import settle
 
 Key = str | Sequence[str]
@@ -110,6 +111,9 @@ def with_row_key(df: DataFrame, name: str = "example_id") -> DataFrame:
     return repeat_rows(counted, "_copies", "_copy").select(key.alias(name), *df.columns)
 
 
-def with_content_hash(df: DataFrame, column: str, name: str) -> DataFrame:
-    """``df`` and the md5 of an array of ids, written to the shared folder on the call."""
-    return settle(df.withColumn(name, F.md5(F.array_join(column, ","))))
+def with_content_hash(df: DataFrame, column: str, name: str, kept: Column | None = None) -> DataFrame:
+    """``df`` and the md5 of an array of ids, written to the shared folder on the call; with
+    ``kept`` that is written in place of the array."""
+    integers = isinstance(df.schema[column].dataType.elementType, IntegralType)
+    joined = join_ids(column) if integers else F.array_join(column, ",")
+    return settle(df.withColumns({name: F.md5(joined), column: F.col(column) if kept is None else kept}))

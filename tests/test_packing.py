@@ -104,3 +104,23 @@ def test_sort_compares_columns(df, monkeypatch):
     sorts = [line for line in plans[0].splitlines() if "Sort [" in line]
     assert len(sorts) == 1 and "md5" not in sorts[0]
     assert "md5" in plans[0]
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "string"])
+def test_ids_of_each_type_and_nulls(spark, kind):
+    """Ids travel as bytes, and come back as they were, nulls and the type's bounds too."""
+    bits = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}.get(kind)
+    ids = [[-(2**bits), None], [2**bits - 1], [None, 0]] if bits else [["a,b", None], [""], [None, "é"]]
+    df = spark.createDataFrame([*enumerate(ids), (9, []), (10, None)], f"k bigint, input_ids array<{kind}>")
+    flat = [i for k in sorted(range(3), key=lambda k: md5(f"6:{k}")) for i in ids[k]]
+    out = pack(df, "k", 2, 6, drop_last=False)
+    assert out.schema["input_ids"].dataType.simpleString() == f"array<{kind}>"
+    assert packed(out) == [flat[i : i + 2] for i in range(0, len(flat), 2)]
+
+
+def test_integers_travel_as_bytes(df, monkeypatch):
+    """An array is written, read and cut id by id."""
+    tables = []
+    monkeypatch.setattr(packing, "settle", lambda table: tables.append(table) or table)
+    pack(df, "k", 4, 6)
+    assert tables[0].schema["_ids"].dataType.simpleString() == "binary"
