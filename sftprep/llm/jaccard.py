@@ -4,7 +4,8 @@ A document's set holds its distinct shingles of ``shingle`` lower-case words; a
 fewer words is one shingle, a text without words has no set and no links.  Two sets
 are linked if their Jaccard similarity is at least ``threshold`` (a percentage).
 
-Documents with one set are one node.  Shingles have an order, rare ones first; linked
+Documents with one set are one node.  Shingles have an order, those of the least filled
+buckets first, into which all are counted by some bits of their hash; linked
 sets share a shingle among the first of each (the prefix), and how many they share
 there has a lower bound.  The work then goes in two steps, so that no group of similar
 documents is ever compared pair by pair:
@@ -13,11 +14,14 @@ documents is ever compared pair by pair:
    two leaders, and then with the part (see 2) that it has most in common with.  The
    components of these links are the groups of similar documents.  Links that this
    step doesn't look at are not lost, they are step 2's.
-2. *Token-group matrix.*  A group is split into parts of about ``PART`` nodes.  The
-   matrix holds for each prefix shingle the parts in whose union it is.  A query is a
-   node that shares a shingle with a larger group; its overlap with each part's union
-   is counted, and only parts that reach the lower bound are opened: the query's text
-   goes to the task that has the part's, and is compared with each of them there.  Nodes inside one group need no comparison: they are linked already.
+2. *Token-group matrix.*  A group is split into parts of about ``PART`` nodes.  Of the nodes
+   without links those that share a frequent shingle make *cells*, which have parts, too, so
+   that many nodes that are nearly linked don't meet one by one.  The matrix holds for each
+   prefix shingle the parts in whose union it is.  A query is a node that shares a shingle
+   with a larger group or its own cell; its overlap with each part's union is counted, and
+   only parts that reach the lower bound are opened: the query's text goes to the task that
+   has the part's, and is compared with each of them there.  Nodes inside one group need no
+   comparison, as they are linked already; those of a cell are compared.
 
 All similarities are exact, computed on whole texts.  Components are found by the
 alternating stars of Kiveris et al.; nothing of all this passes through the driver.
@@ -54,9 +58,9 @@ from sftprep.llm.windows import (
 )
 
 #: Nodes in a part of a group, and queries that a copy of a part is compared with.
-PART, QUERIES = 16, 256
-#: A shingle is frequent if it is in one of so many documents of a task.
-FREQUENT = 500
+PART, QUERIES = 128, 256
+#: Shingles are counted in so many buckets, which travel in slices.
+BUCKETS, SLICE = 1 << 20, 1 << 12
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -87,24 +91,41 @@ def sets_of(raw: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndar
     return owner, token
 
 
-def frequent_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in many documents of some task and how many: at most ``FREQUENT`` times
-    the mean size of a set."""
+def bucket_counts(rows: DataFrame, shingle: int) -> np.ndarray:
+    """By bucket: how many documents have one of its shingles, summed over these.
+
+    All documents are counted, by bucket and not by shingle, so that what a task passes on
+    has one size, and a frequent shingle is found however the documents are dealt out.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            held = [sets_of(raw, offsets, shingle)[1] for _, _, raw, offsets in chunks(batch.column(0))]
-            token, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
-            many = n >= max(8, len(batch) / FREQUENT)
-            yield pa.record_batch(
-                [pa.array(token[many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["token", "n"]
-            )
+            for _, _, raw, offsets in chunks(batch.column(0)):
+                times += np.bincount(_bucket(sets_of(raw, offsets, shingle)[1]), minlength=BUCKETS)
+        slices = times.astype(np.int32).reshape(-1, SLICE)
+        some = np.flatnonzero(slices.any(axis=1))
+        yield pa.record_batch(
+            [pa.array(some), pa.array([slices[i].tobytes() for i in some], pa.binary())], ["slice", "times"]
+        )
 
-    found = rows.select("_text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    table = found.toArrow()
-    token = table.column(0).to_numpy().view(np.uint64)
-    order = np.argsort(token)
-    return token[order], table.column(1).to_numpy()[order]
+    def add(table: pa.Table) -> pa.Table:
+        times = np.zeros(SLICE, np.int64)
+        for part in table.column("times"):
+            times += np.frombuffer(part.as_py(), np.int32)
+        most = np.minimum(times, np.iinfo(np.int32).max).astype(np.int32)
+        return pa.table([table.column("slice").slice(0, 1), pa.array([most.tobytes()], pa.binary())], ["slice", "times"])
+
+    counted = rows.select("_text").mapInArrow(count, "slice long, times binary")
+    found = counted.groupBy("slice").applyInArrow(add, "slice long, times binary").toArrow()
+    times = np.zeros((BUCKETS // SLICE, SLICE), np.int32)
+    for i, part in zip(found.column("slice").to_pylist(), found.column("times").to_pylist(), strict=True):
+        times[i] = np.frombuffer(part, np.int32)
+    return times.reshape(-1)
+
+
+def _bucket(token: np.ndarray) -> np.ndarray:
+    return (token & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def prefix_length(n: Column | np.ndarray, threshold: int):
@@ -112,22 +133,32 @@ def prefix_length(n: Column | np.ndarray, threshold: int):
     return n - (n * threshold + 99) // 100 + 1
 
 
+def _partners(token: np.ndarray, n: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last row of the same token whose size allows a link; rows by token and size."""
+    number = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32
+    key, n = number + n, n.astype(np.int64)
+    low = np.searchsorted(key, number + (n * threshold + 99) // 100)
+    return low, np.searchsorted(key, number + n * 100 // threshold, "right") - 1
+
+
+def least_common(n: np.ndarray, m: np.ndarray, threshold: int) -> np.ndarray:
+    """Linked sets of n and m share so many shingles of their prefixes at least."""
+    of_both = ((n + m) * threshold + 99 + threshold) // (100 + threshold)
+    return of_both - (np.maximum(n, m) * threshold + 99) // 100 + 1
+
+
 def document_sets(rows: DataFrame, threshold: int, shingle: int) -> DataFrame:
     """Per row: _id, _print, k (128-bit name of the set, null without words), n, prefix."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, shingle))
+    shared = rows.sparkSession.sparkContext.broadcast(bucket_counts(rows, shingle))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, times = shared.value
+        times = shared.value
         for batch in batches:
             for first, last, raw, offsets in chunks(batch.column(2)):
                 owner, token = sets_of(raw, offsets, shingle)
                 count = last - first
                 n = np.bincount(owner, minlength=count)
-                rank = np.zeros(len(token), np.int64)
-                if len(often):
-                    at = np.searchsorted(often, token)
-                    at[at == len(often)] = 0
-                    rank = np.where(often[at] == token, times[at], 0)
+                rank = times[_bucket(token)]
                 with np.errstate(over="ignore"):
                     begins = np.minimum(np.cumsum(n) - n, max(len(token) - 1, 0))
                     name = np.zeros((count, 2), np.uint64)
@@ -155,8 +186,9 @@ def document_sets(rows: DataFrame, threshold: int, shingle: int) -> DataFrame:
 _POSTINGS = "token array<long>, k1 array<long>, k2 array<long>, n array<int>"
 
 
-def shared_postings(sets: DataFrame, groups: int) -> DataFrame:
-    """Blocks of the prefix shingles that several nodes have: token, node, size."""
+def shared_postings(sets: DataFrame, groups: int, threshold: int) -> DataFrame:
+    """Blocks of the prefix shingles that several nodes of sizes that allow a link have:
+    token, node, size, by token and size."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,8 +209,8 @@ def shared_postings(sets: DataFrame, groups: int) -> DataFrame:
         if len(token):
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
             token, k1, k2, n = token[new], k1[new], k2[new], n[new]
-            same = np.concatenate([[False], token[1:] == token[:-1]])
-            several = same | np.append(same[1:], False)
+            low, high = _partners(token, n, threshold)
+            several = low < high
             token, k1, k2, n = token[several], k1[several], k2[several], n[several]
         to = (token.view(np.uint64) >> np.uint64(33)).astype(np.int64) % groups
         return pa.Table.from_batches([blocks(to, groups, {"token": token, "k1": k1, "k2": k2, "n": n})])
@@ -192,7 +224,9 @@ def leader_pairs(postings: DataFrame, threshold: int) -> DataFrame:
     """Each node with the two leaders that it meets on most shingles: a, b.
 
     Of a shingle's nodes the smallest set is a leader, and one at random; where sizes
-    rule the first one out, the next smaller set takes its place.
+    rule the first one out, the next smaller set takes its place.  A leader is left out that
+    is met on less than half the shingles that a link needs: most such meet by chance, and
+    the others are the matrix's.
     """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,15 +253,37 @@ def leader_pairs(postings: DataFrame, threshold: int) -> DataFrame:
             yield pa.record_batch(
                 [
                     pa.array([x[3:].tobytes() for x in pairs], pa.binary()), pa.array([x[1:3].tobytes() for x in pairs], pa.binary()),
-                    pa.array(np.minimum(n[a], n[b])[first]), pa.array(times.astype(np.int32)), pa.array(pairs[:, 0]),
+                    pa.array(least_common(n[a], n[b], threshold)[first].astype(np.int32)), pa.array(times.astype(np.int32)),
+                    pa.array(pairs[:, 0]),
                 ],
-                ["a", "b", "n", "times", "rule"],
+                ["a", "b", "needed", "times", "rule"],
             )
 
-    found = postings.mapInArrow(pair, "a binary, b binary, n int, times int, rule long")
-    met = found.groupBy("a", "b", "rule").agg(F.first("n").alias("n"), F.sum("times").alias("times"))
-    best = met.groupBy("b", "rule").agg(F.max(F.struct("times", "a", "n")).alias("l"))
-    return best.select(F.col("l.a").alias("a"), "b").distinct()
+    found = postings.mapInArrow(pair, "a binary, b binary, needed int, times int, rule long")
+    met = found.groupBy("a", "b", "rule").agg(F.first("needed").alias("needed"), F.sum("times").alias("times"))
+    best = met.groupBy("b", "rule").agg(F.max(F.struct("times", "a", "needed")).alias("l"))
+    return best.where("2 * l.times >= l.needed").select(F.col("l.a").alias("a"), "b").distinct()
+
+
+def cells(postings: DataFrame, threshold: int) -> DataFrame:
+    """Nodes that share a shingle with more than ``PART`` others: k, and the name of the
+    cell of the most frequent such shingle and the class of the node's size."""
+
+    def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            token, k1, k2, n = (flat(table, c) for c in ("token", "k1", "k2", "n"))
+            _, number, times = np.unique(token, return_inverse=True, return_counts=True)
+            at = np.flatnonzero(times[number] > PART)
+            names = pa.array([x.tobytes() for x in np.stack([k1[at], k2[at]], 1)], pa.binary())
+            yield pa.record_batch(
+                [names, pa.array(times[number][at]), pa.array(token[at]), pa.array(n[at])], ["k", "times", "token", "n"]
+            )
+
+    found = postings.mapInArrow(crowded, "k binary, times long, token long, n int")
+    most = found.groupBy("k").agg(F.max(F.struct("times", "token", "n")).alias("m"))
+    size = F.floor(F.log(F.col("m.n")) / F.log(F.lit(100 / threshold)))
+    return most.select("k", F.encode(F.concat_ws(":", F.lit("cell"), "m.token", size), "utf-8").alias("cell"))
 
 
 def linked(
@@ -327,7 +383,9 @@ def opened_parts(
     """Parts that the token-group matrix can't rule out for a query (c, part, k), and the
     nodes of all parts (c, part, k).
 
-    ``groups`` has k and c of the nodes with links; other nodes are groups of their own.
+    ``groups`` has k and c of the nodes with links.  Other nodes are groups of their own, but
+    those of a larger cell make one *loose* group, which has parts like others and whose
+    nodes are queries of its parts, too.
     With ``best`` each query opens the part alone that it has most in common with.
     """
 
@@ -340,28 +398,40 @@ def opened_parts(
 
     flat_rows = postings.mapInArrow(rows, "token long, k binary, n int")
     sizes = groups.groupBy("c").agg(F.count("*").alias("size"))
-    named = groups.join(sizes, "c")
-    posted = flat_rows.join(named, "k", "left").select(
-        "token", "k", "n", F.coalesce("c", "k").alias("c"), F.coalesce("size", F.lit(1)).alias("size")
-    )
+    named = groups.join(sizes, "c").select("k", "c", "size", F.lit(False).alias("loose"))
+    alone = stored(cells(postings, threshold).join(groups, "k", "left_anti"), "cells", release=False)
+    crowds = alone.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > PART)
+    loose = alone.join(crowds, "cell").select("k", F.col("cell").alias("c"), "size", F.lit(True).alias("loose"))
+    posted = flat_rows.join(named.union(loose), "k", "left").select(
+        "token", "k", "n", F.coalesce("c", "k").alias("c"), F.coalesce("size", F.lit(1)).alias("size"),
+        F.coalesce("loose", F.lit(False)).alias("loose"),
+    )
     posted = posted.withColumn(
         "part", F.pmod(F.xxhash64("k"), F.ceil(F.col("size") / PART)).cast("int")
     )
     posted = stored(posted, "postings")
-    # shingles of one group only have nothing to compare
+    # shingles of one group only have nothing to compare, unless it is loose
     order = F.struct("size", "c")
-    major = posted.groupBy("token").agg(F.max(order).alias("major"), F.min(order).alias("minor"))
-    major = major.where("major <> minor")
+    major = posted.groupBy("token").agg(
+        F.max(order).alias("major"), F.min(order).alias("minor"), F.max("loose").alias("any_loose")
+    )
+    major = major.where("major <> minor or any_loose")
     matrix = posted.groupBy("token", "c", "part").agg(
-        F.first("size").alias("size"), F.min("n").alias("low"), F.max("n").alias("high")
+        F.first("size").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("nodes")
     )
     matrix = matrix.join(major.select("token"), "token", "left_semi")
-    asks = posted.join(major, "token").where("c <> major.c").select("token", "k", "n", "c", "size")
+    asks = posted.join(major, "token").where("c <> major.c or loose").select("token", "k", "n", "c", "size", "loose", "part")
     q, g = asks.alias("q"), matrix.alias("g")
+    inside = F.col("q.part") < F.col("g.part")
+    if not best:
+        inside = inside | ((F.col("q.part") == F.col("g.part")) & (F.col("g.nodes") > 1))
     met = q.join(
         g,
         (F.col("q.token") == F.col("g.token"))
-        & (F.struct("q.size", "q.c") < F.struct("g.size", "g.c"))
+        & (
+            (F.struct("q.size", "q.c") < F.struct("g.size", "g.c"))
+            | (F.col("q.loose") & (F.col("q.c") == F.col("g.c")) & inside)
+        )
         & (F.col("g.high") * 100 >= F.col("q.n") * threshold)
         & (F.col("q.n") * 100 >= F.col("g.low") * threshold),
     )
@@ -384,14 +454,16 @@ def opened_parts(
         open_ = open_.select("k", "o.c", "o.part", "o.n")
     opened = stored(open_.select("c", "part", "k"), "opened", release=False)
     members = stored(posted.select("c", "part", "k").distinct(), "members", release=False)
-    dropped(posted)
+    dropped(posted, alone)
     return opened, members
 
 
 def _components_of(rows: DataFrame, sets: DataFrame, groups: int, threshold: int, shingle: int) -> DataFrame:
-    postings = stored(shared_postings(sets, groups), "shared-postings")
-    # one text for each node that shares a shingle with another
-    flat_names = postings.mapInArrow(_names, "k binary").distinct()
+    postings = stored(shared_postings(sets, groups, threshold), "shared-postings")
+    # one text for each node that shares as many shingles as a link needs with others
+    flat_names = postings.mapInArrow(_names(threshold), "k binary, shared int, needed int").groupBy("k").agg(
+        F.sum("shared").alias("shared"), F.min("needed").alias("needed")
+    ).where("shared >= needed")
     chosen = sets.where("k is not null").groupBy("k").agg(F.min(F.struct("_id", "_print")).alias("d"))
     chosen = chosen.join(flat_names, "k", "left_semi").select("k", "d._id", "d._print")
     texts = rows.select("_id", "_print", F.col("_text").alias("text")).join(chosen, ["_id", "_print"])
@@ -432,11 +504,32 @@ def joined(docs: DataFrame, threshold: int = 90, shingle: int = 3, key: str = "d
     )
 
 
-def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        names = np.unique(np.stack([flat(table, "k1"), flat(table, "k2")], 1), axis=0)
-        yield pa.record_batch([pa.array([x.tobytes() for x in names], pa.binary())], ["k"])
+def _names(threshold: int):
+    """Nodes of a block, how many shingles each has there, and how many a link needs at least
+    with sets of the sizes that these shingles' other nodes have."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            token, k1, k2, n = (flat(table, c) for c in ("token", "k1", "k2", "n"))
+            low, high = _partners(token, n, threshold) if len(token) else (token, token)
+            n = n.astype(np.int64)
+            # below n it falls with the other size; above, a bound of it does (see opened_parts)
+            above = threshold * (100 * n - threshold * n[high]) // (100 * (100 + threshold)) + 1
+            needed = np.minimum(least_common(n, n[low], threshold), above)
+            order = np.lexsort((needed, k2, k1))
+            both = np.stack([k1, k2], 1)[order]
+            first = np.flatnonzero(np.concatenate([[True], (both[1:] != both[:-1]).any(axis=1)])[: len(both)])
+            shared = np.diff(np.append(first, len(both)))
+            yield pa.record_batch(
+                [
+                    pa.array([x.tobytes() for x in both[first]], pa.binary()),
+                    pa.array(shared.astype(np.int32)), pa.array(needed[order][first].astype(np.int32)),
+                ],
+                ["k", "shared", "needed"],
+            )
+
+    return names
 
 
 def one_of_each(

@@ -211,6 +211,35 @@ def test_matrix_opens_a_part_of_sets_of_two_sizes(spark, folder):
         assert (q, y) in {(bytes(r.k), bytes(r.m)) for r in found}
 
 
+def test_matrix_does_not_open_a_part_for_each_pair_of_a_cell(spark, folder):
+    # no two of the nodes are linked yet, and each shares as much as a link needs with all others
+    names = [f"{i:016d}".encode() for i in range(200)]
+    k1, k2 = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2).T.tolist()
+    rows = [(0, [t] * 200, k1, k2, [148] * 200) for t in range(1, 10)]
+    token, k1, k2, n = ([x for r in rows for x in r[i]] for i in range(1, 5))
+    postings = spark.createDataFrame([(0, token, k1, k2, n)], f"_to long, {jaccard._POSTINGS}")
+    groups = spark.createDataFrame([], "k binary, c binary")
+    for best in (True, False):
+        opened, members = jaccard.opened_parts(postings, groups, 90, best)
+        assert opened.count() <= 200 * (200 // jaccard.PART + 1)
+    met = opened.join(members.withColumnRenamed("k", "m"), ["c", "part"]).collect()
+    pairs = {frozenset((bytes(r.k), bytes(r.m))) for r in met}
+    assert len({p for p in pairs if len(p) == 2}) == 200 * 199 // 2
+
+
+def test_links_of_many_that_are_nearly_alike(table, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART", 16)
+    r = random.Random(2)
+    rows = []
+    for i in range(120):
+        words = [f"w{j}" for j in range(60)]
+        for j in r.sample(range(60), r.choice([1, 2, 2, 3])):
+            words[j] = f"x{r.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    found = jaccard.joined(table(rows), 85, 3).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == classes(rows, 85, 3)
+
+
 @pytest.mark.parametrize("threshold", [60, 80, 90, 97])
 def test_least_common_prefix_is_no_more_than_any_size_needs(spark, threshold):
     def up(x, y):
